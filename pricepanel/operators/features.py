@@ -1,0 +1,345 @@
+"""Feature engineering and selection."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Mapping, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window as W, functions as F
+
+from pricepanel.functions.numbers import divide
+from pricepanel.functions.transforms import box_cox, yeo_johnson
+
+# ---------------------------------------------------------------- calendar
+
+
+def calendar_features(df: DataFrame, date: str = "date") -> DataFrame:
+    """Days to and since Monday, month, half of the month and a month-close flag.
+
+    A row closes its month if the next date in the table has another month number; the last
+    date always does.  Next months are looked up on a frame with one row per calendar month.
+    """
+    day = F.col(date)
+    month_no = (F.year(day) * 12 + F.month(day)).alias("month_no")
+    months = df.where(day.isNotNull()).groupBy(month_no).agg(F.max(date).alias("month_last"))
+    # one row per month in the data, so a single ordered task is small
+    following = F.lead("month_no").over(W.orderBy("month_no"))
+    closes = months.select(
+        "month_no", "month_last",
+        F.coalesce(F.pmod(following - F.col("month_no"), F.lit(12)) != 0, F.lit(True)).alias("turns"),
+    )
+    dow = F.weekday(day)
+    return (
+        df.withColumn("month_no", F.year(day) * 12 + F.month(day))
+        .join(closes, "month_no", "left")
+        .withColumns({
+            "days_to_monday": F.pmod(-dow, F.lit(7)).cast("long"),
+            "days_since_monday": dow.cast("long"),
+            "month": F.month(day).cast("long"),
+            "half_month": F.when(F.dayofmonth(day) <= 15, 1).otherwise(2).cast("long"),
+            "month_close": (F.col("turns") & (day == F.col("month_last"))).cast("long"),
+        })
+        .drop("month_no", "month_last", "turns")
+    )
+
+
+# ---------------------------------------------------------------- selection
+
+
+def varying_series(panel: DataFrame) -> DataFrame:
+    """Series with more than one distinct value."""
+    span = panel.groupBy("series").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    return span.where(F.col("lo") != F.col("hi")).select("series")
+
+
+def drop_constant(panel: DataFrame) -> DataFrame:
+    return panel.join(varying_series(panel), "series", "left_semi")
+
+
+def pair_sums(wide: DataFrame, columns: Sequence[str], center: bool = True) -> DataFrame:
+    """Sums over rows where both columns have a value, one row per pair of columns.
+
+    ``a, b, n, sa, sb, saa, sbb, sab``.  Every task reduces its rows to one small matrix per
+    sum (its Arrow batches are multiplied as blocks) and Spark adds those up, so the data is
+    read once for all pairs and k * k numbers per task are shuffled.  With ``center`` the
+    column means are subtracted first: shifted sums lose no digits to large levels.
+    """
+    names = list(columns)
+    cols = [F.col(f"`{c}`").cast("double").alias(c) for c in names]
+    data = wide.select(*cols)
+    if center:
+        means = data.agg(*[F.avg(f"`{c}`").alias(f"m{i}") for i, c in enumerate(names)])
+        data = data.crossJoin(F.broadcast(means)).select(  # one row
+            *[(F.col(f"`{c}`") - F.col(f"m{i}")).alias(c) for i, c in enumerate(names)]
+        )
+
+    def reduce_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        k = len(names)
+        n, s, q, x = (np.zeros((k, k)) for _ in range(4))
+        for pdf in batches:
+            v = pdf.to_numpy(dtype="float64")
+            seen = np.isfinite(v)
+            v = np.where(seen, v, 0.0)
+            m = seen.astype("float64")
+            n += m.T @ m
+            s += v.T @ m
+            q += (v * v).T @ m
+            x += v.T @ v
+        i, j = np.triu_indices(k)
+        yield pd.DataFrame({
+            "a": [names[t] for t in i], "b": [names[t] for t in j], "n": n[i, j],
+            "sa": s[i, j], "sb": s[j, i], "saa": q[i, j], "sbb": q[j, i], "sab": x[i, j],
+        })
+
+    schema = "a string, b string, n double, sa double, sb double, saa double, sbb double, sab double"
+    sums = ["n", "sa", "sb", "saa", "sbb", "sab"]
+    parts = data.mapInPandas(reduce_rows, schema)
+    return parts.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def correlations(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``a, b, n, corr`` for every pair of columns (and the diagonal), skipping NULL pairs."""
+    s = pair_sums(wide, columns)
+    n = F.col("n")
+    cov = F.col("sab") - divide(F.col("sa") * F.col("sb"), n)
+    va = F.col("saa") - divide(F.col("sa") * F.col("sa"), n)
+    vb = F.col("sbb") - divide(F.col("sb") * F.col("sb"), n)
+    return s.select("a", "b", n.cast("long").alias("n"), divide(cov, F.sqrt(va * vb)).alias("corr"))
+
+
+def _matrix(pdf: pd.DataFrame, value: str, names: Sequence[str]) -> np.ndarray:
+    at = {c: i for i, c in enumerate(names)}
+    out = np.full((len(names), len(names)), np.nan)
+    i, j = pdf["a"].map(at), pdf["b"].map(at)
+    out[i, j] = out[j, i] = pdf[value]
+    return out
+
+
+def _vifs(r: np.ndarray) -> np.ndarray:
+    """Variance inflation factors from a correlation matrix; inf when a column is a linear
+    combination of the others."""
+    k = len(r)
+    if k == 1:
+        return np.ones(1)
+    if np.linalg.cond(r) < 1e10:
+        out = np.diag(np.linalg.inv(r)).copy()
+    else:
+        out = np.empty(k)
+        for i in range(k):
+            rest = np.arange(k) != i
+            r2 = r[i, rest] @ np.linalg.pinv(r[np.ix_(rest, rest)], rcond=1e-12) @ r[rest, i]
+            out[i] = np.inf if 1 - r2 <= 1e-12 else 1 / (1 - r2)
+    return np.where(out > 1e12, np.inf, out)
+
+
+def _on_matrix(matrix: DataFrame, fn, schema: str) -> DataFrame:
+    """Run ``fn`` on the whole k x k matrix.  One group, as small as the column list."""
+    return matrix.groupBy(F.lit(1)).applyInPandas(fn, schema)
+
+
+def correlation_prune(wide: DataFrame, ranked: Sequence[str], threshold: float = 0.90) -> DataFrame:
+    """``variable, position`` kept when walking the ranked list and skipping any column whose
+    absolute correlation with a kept one reaches the threshold."""
+    names = list(ranked)
+
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        r = np.abs(_matrix(pdf, "corr", names))
+        kept: list[int] = []
+        for i in range(len(names)):
+            if not any(r[i, j] >= threshold for j in kept):
+                kept.append(i)
+        return pd.DataFrame({"variable": [names[i] for i in kept], "position": [i + 1 for i in kept]})
+
+    return _on_matrix(correlations(wide, names), walk, "variable string, position long")
+
+
+def vif_table(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``variable, vif`` of complete, non-constant columns, from one pass over the data."""
+    names = list(columns)
+
+    def table(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"variable": names, "vif": _vifs(_matrix(pdf, "corr", names))})
+
+    return _on_matrix(correlations(wide, names), table, "variable string, vif double")
+
+
+def vif_prune(
+    wide: DataFrame, candidates: Mapping[str, Sequence[str]], threshold: float = 10.0, min_features: int = 1
+) -> DataFrame:
+    """Per target, drop the column with the largest factor until all are within the threshold.
+
+    ``target, variable, kept, drop_step, vif`` (factor at its drop, or at the end).  The data
+    is read once for all targets and steps: dropping a column only deletes a row and column
+    of the correlation matrix.
+    """
+    lists = {t: list(c) for t, c in candidates.items()}
+    names = list(dict.fromkeys(c for cols in lists.values() for c in cols))
+
+    def prune(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        target = key[0]
+        full = _matrix(pdf, "corr", names)
+        left = [names.index(c) for c in lists[target] if np.isfinite(full[names.index(c)]).any()]
+        rows, step = [], 0
+        while left:
+            v = _vifs(full[np.ix_(left, left)])
+            worst = int(np.argmax(v))
+            if len(left) <= min_features or v[worst] <= threshold:
+                rows += [(target, names[i], True, None, float(x)) for i, x in zip(left, v)]
+                break
+            step += 1
+            rows.append((target, names[left.pop(worst)], False, step, float(v[worst])))
+        return pd.DataFrame(rows, columns=["target", "variable", "kept", "drop_step", "vif"]).astype(
+            {"drop_step": "Int64"}
+        )
+
+    targets = F.array(*[F.lit(t) for t in lists])
+    per_target = correlations(wide, names).withColumn("target", F.explode(targets))
+    return per_target.groupBy("target").applyInPandas(
+        prune, "target string, variable string, kept boolean, drop_step long, vif double"
+    )
+
+
+def vif_prune_raw(wide: DataFrame, columns: Sequence[str], threshold: float = 10.0) -> DataFrame:
+    """The variant without intercept: factors from raw cross products of complete rows; stops
+    at a factor that is not finite, or with ten rows or fewer."""
+    names = list(columns)
+    complete = wide.select(*names).dropna()
+
+    def prune(pdf: pd.DataFrame) -> pd.DataFrame:
+        s, n = _matrix(pdf, "sab", names), pdf["n"].max()
+        left = list(range(len(names)))
+        while len(left) > 1 and n > 10:
+            m = s[np.ix_(left, left)]
+            scale = np.sqrt(np.diag(m))
+            scaled = m / np.outer(scale, scale)
+            if not np.isfinite(scaled).all():
+                break
+            v = _vifs(scaled)
+            if not np.isfinite(v).all() or v.max() <= threshold:
+                break
+            left.pop(int(np.argmax(v)))
+        return pd.DataFrame({"variable": [names[i] for i in left]})
+
+    return _on_matrix(pair_sums(complete, names, center=False), prune, "variable string")
+
+
+def resolve_features(config: DataFrame, columns: Sequence[str], max_features: int | None = None) -> DataFrame:
+    """Configured features (``target, variable, position``) with a flag whether the panel has
+    them, so that names that match nothing are seen and not silently skipped."""
+    if max_features is not None:
+        w = W.partitionBy("target").orderBy("position")
+        config = (
+            config.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= max_features).drop("rn")
+        )
+    return config.withColumn("found", F.col("variable").isin(list(columns)))
+
+
+# ---------------------------------------------------------------- transforms
+
+
+def fit_lambda(
+    panel: DataFrame, kind: str = "yeojohnson", low: float = -8.0, high: float = 10.0,
+    points: int = 37, rounds: int = 4,
+) -> DataFrame:
+    """``series, lam, shift``: the power parameter of maximum likelihood, all series at once.
+
+    Each round evaluates a grid of parameters as aggregates of a single pass (no row is
+    multiplied), then narrows the grid to the neighbours of the best point; a parabola
+    through the last three points gives the result.
+    """
+    if kind not in ("yeojohnson", "boxcox"):
+        raise ValueError("kind must be 'yeojohnson' or 'boxcox'")
+    rows = panel.where(F.col("value").isNotNull()).select("series", "value")
+    step = (high - low) / (points - 1)
+    start = {"from": F.lit(float(low)), "step": F.lit(step)}
+    if kind == "yeojohnson":
+        state = None  # the first grid is the same for all series: no join
+        first = rows.withColumns({"shift": F.lit(0.0), **start})
+    else:
+        lowest = F.min("value")
+        shift = F.when(lowest <= 0, -lowest + 1e-6).otherwise(0.0)
+        state = rows.groupBy("series").agg(shift.alias("shift")).withColumns(start)
+    for r in range(rounds):
+        data = first if state is None else rows.join(state, "series")
+        fits = data.groupBy("series").agg(
+            *[F.first(c).alias(c) for c in ("shift", "from", "step")],
+            *[_grid_point(kind, i).alias(f"l{i}") for i in range(points)],
+        )
+        ll = F.array(*[F.col(f"l{i}") for i in range(points)])
+        best = F.array_position(ll, F.array_max(ll)) - 1
+        if r < rounds - 1:
+            found = fits.select("series", "shift", "from", "step", best.alias("best"))
+            state = found.select(
+                "series", "shift",
+                (F.col("from") + F.col("step") * (F.col("best") - 1)).alias("from"),
+                (F.col("step") * 2 / (points - 1)).alias("step"),
+            )
+        else:
+            inner = F.greatest(F.least(best, F.lit(points - 2)), F.lit(1))
+            three = [F.get(ll, (inner + o).cast("int")) for o in (-1, 0, 1)]
+            found = fits.select("series", "shift", "from", "step", inner.alias("i"), best.alias("best"),
+                                *[x.alias(f"y{k}") for k, x in enumerate(three)])
+            bend = F.col("y0") - 2 * F.col("y1") + F.col("y2")
+            off = F.coalesce(divide(F.col("y0") - F.col("y2"), 2 * bend), F.lit(0.0))
+            peak = F.when((F.col("i") == F.col("best")) & (F.abs(off) <= 1), F.col("i") + off)
+            state = found.select(
+                "series",
+                (F.col("from") + F.col("step") * F.coalesce(peak, F.col("best"))).alias("lam"),
+                "shift",
+            )
+    return state
+
+
+def _grid_point(kind: str, i: int):
+    """Profile log-likelihood at the ``i``-th parameter of the row's grid, as an aggregate."""
+    y, shift = F.col("value"), F.col("shift")
+    lam = F.col("from") + F.col("step") * i
+    if kind == "yeojohnson":
+        slope = F.sum(F.signum(y) * F.log1p(F.abs(y)))
+        var = F.var_pop(yeo_johnson(y, lam))
+    else:
+        slope = F.sum(F.log(F.greatest(y + shift, F.lit(1e-12))))
+        var = F.var_pop(box_cox(y, lam, shift))
+    # a variance of zero has no logarithm: NULL, so it can never win
+    return -F.count(y) / 2 * F.log(F.when(var > 0, var)) + (F.first("from") + F.first("step") * i - 1) * slope
+
+
+# ---------------------------------------------------------------- model inputs
+
+
+def sequences(
+    rows: DataFrame, features: Sequence[str], targets: Sequence[str], keys: Sequence[str] = ("series",),
+    lookback: int = 28, horizon: int = 7, order: str = "date",
+) -> DataFrame:
+    """Supervised samples: feature rows of the ``lookback`` days before each date, and target
+    rows of the ``horizon`` days from it on.  Dates without both in full are left out."""
+    w = W.partitionBy(*keys).orderBy(order)
+    x = F.collect_list(F.array(*features)).over(w.rowsBetween(-lookback, -1))
+    y = F.collect_list(F.array(*targets)).over(w.rowsBetween(0, horizon - 1))
+    return (
+        rows.select(*keys, order, x.alias("x"), y.alias("y"))
+        .where((F.size("x") == lookback) & (F.size("y") == horizon))
+    )
+
+
+def train_statistics(train: DataFrame) -> DataFrame:
+    """``series, mean, std`` (population); a constant series gets a std of 1."""
+    std = F.stddev_pop("value")
+    return train.groupBy("series").agg(
+        F.avg("value").alias("mean"), F.when(std == 0, 1.0).otherwise(std).alias("std")
+    )
+
+
+def standardize(panel: DataFrame, stats: DataFrame) -> DataFrame:
+    return panel.join(stats, "series").select(
+        *[c for c in panel.columns if c != "value"],
+        divide(F.col("value") - F.col("mean"), F.col("std")).alias("value"),
+    )
+
+
+def unstandardize(panel: DataFrame, stats: DataFrame) -> DataFrame:
+    return panel.join(stats, "series").select(
+        *[c for c in panel.columns if c != "value"],
+        (F.col("value") * F.col("std") + F.col("mean")).alias("value"),
+    )
