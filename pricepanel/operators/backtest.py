@@ -123,6 +123,6 @@ def grid_points(targets: DataFrame, values: Mapping[str, Sequence[int]], key: st
     """The grid for every row of ``targets`` by exploding the value lists."""
     out = targets
     for name, options in values.items():
-        listed = F.array(*[F.lit(int(v)) for v in dict.fromkeys(options)])
-        out = out.withColumn(name, F.explode(listed).cast("long"))
+        listed = F.array(*[F.lit(int(v)).cast("long") for v in dict.fromkeys(options)])
+        out = out.withColumn(name, F.explode(listed))
     return out

@@ -135,7 +135,7 @@ def _vifs(r: np.ndarray) -> np.ndarray:
 
 def _on_matrix(matrix: DataFrame, fn, schema: str) -> DataFrame:
     """Run ``fn`` on the whole k x k matrix.  One group, as small as the column list."""
-    return matrix.groupBy(F.lit(1)).applyInPandas(fn, schema)
+    return matrix.withColumn("whole", F.lit(True)).groupBy("whole").applyInPandas(fn, schema)
 
 
 def correlation_prune(wide: DataFrame, ranked: Sequence[str], threshold: float = 0.90) -> DataFrame:
@@ -244,65 +244,61 @@ def fit_lambda(
 ) -> DataFrame:
     """``series, lam, shift``: the power parameter of maximum likelihood, all series at once.
 
-    Each round evaluates a grid of parameters as aggregates of a single pass (no row is
-    multiplied), then narrows the grid to the neighbours of the best point; a parabola
-    through the last three points gives the result.
+    Each round evaluates a grid of parameters with plain aggregates, combined before the
+    shuffle, so a series of any length is shared by all tasks.  The grid then narrows to the
+    neighbours of its best point; a parabola through the last three points gives the result.
     """
     if kind not in ("yeojohnson", "boxcox"):
         raise ValueError("kind must be 'yeojohnson' or 'boxcox'")
     rows = panel.where(F.col("value").isNotNull()).select("series", "value")
-    step = (high - low) / (points - 1)
-    start = {"from": F.lit(float(low)), "step": F.lit(step)}
-    if kind == "yeojohnson":
-        state = None  # the first grid is the same for all series: no join
-        first = rows.withColumns({"shift": F.lit(0.0), **start})
+    start = {"from": F.lit(float(low)), "step": F.lit((high - low) / (points - 1))}
+    if kind == "yeojohnson":  # the first grid is the same for all series: no join
+        data = rows.withColumns({"shift": F.lit(0.0), **start})
     else:
         lowest = F.min("value")
         shift = F.when(lowest <= 0, -lowest + 1e-6).otherwise(0.0)
-        state = rows.groupBy("series").agg(shift.alias("shift")).withColumns(start)
+        data = rows.join(rows.groupBy("series").agg(shift.alias("shift")).withColumns(start), "series")
     for r in range(rounds):
-        data = first if state is None else rows.join(state, "series")
-        fits = data.groupBy("series").agg(
-            *[F.first(c).alias(c) for c in ("shift", "from", "step")],
-            *[_grid_point(kind, i).alias(f"l{i}") for i in range(points)],
-        )
-        ll = F.array(*[F.col(f"l{i}") for i in range(points)])
-        best = F.array_position(ll, F.array_max(ll)) - 1
+        found = _best_grid_point(data, kind, points)
         if r < rounds - 1:
-            found = fits.select("series", "shift", "from", "step", best.alias("best"))
             state = found.select(
                 "series", "shift",
                 (F.col("from") + F.col("step") * (F.col("best") - 1)).alias("from"),
                 (F.col("step") * 2 / (points - 1)).alias("step"),
             )
-        else:
-            inner = F.greatest(F.least(best, F.lit(points - 2)), F.lit(1))
-            three = [F.get(ll, (inner + o).cast("int")) for o in (-1, 0, 1)]
-            found = fits.select("series", "shift", "from", "step", inner.alias("i"), best.alias("best"),
-                                *[x.alias(f"y{k}") for k, x in enumerate(three)])
-            bend = F.col("y0") - 2 * F.col("y1") + F.col("y2")
-            off = F.coalesce(divide(F.col("y0") - F.col("y2"), 2 * bend), F.lit(0.0))
-            peak = F.when((F.col("i") == F.col("best")) & (F.abs(off) <= 1), F.col("i") + off)
-            state = found.select(
-                "series",
-                (F.col("from") + F.col("step") * F.coalesce(peak, F.col("best"))).alias("lam"),
-                "shift",
-            )
-    return state
-
-
-def _grid_point(kind: str, i: int):
-    """Profile log-likelihood at the ``i``-th parameter of the row's grid, as an aggregate."""
-    y, shift = F.col("value"), F.col("shift")
-    lam = F.col("from") + F.col("step") * i
+            data = rows.join(state, "series")
+    bend = F.col("left") - 2 * F.col("top") + F.col("right")
+    offset = F.coalesce(divide(F.col("left") - F.col("right"), 2 * bend), F.lit(0.0))
+    peak = F.col("best") + F.when(F.abs(offset) <= 1, offset).otherwise(0.0)
+    return found.select("series", (F.col("from") + F.col("step") * peak).alias("lam"), "shift")
+
+
+def _best_grid_point(data: DataFrame, kind: str, points: int) -> DataFrame:
+    """Per series the grid index of the highest profile log-likelihood, with its neighbours."""
+    y, shift, lam = F.col("value"), F.col("shift"), F.col("lam")
+    tried = data.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).withColumn(
+        "lam", F.col("from") + F.col("step") * F.col("i")
+    )
     if kind == "yeojohnson":
-        slope = F.sum(F.signum(y) * F.log1p(F.abs(y)))
-        var = F.var_pop(yeo_johnson(y, lam))
+        t, log_slope = yeo_johnson(y, lam), F.signum(y) * F.log1p(F.abs(y))
     else:
-        slope = F.sum(F.log(F.greatest(y + shift, F.lit(1e-12))))
-        var = F.var_pop(box_cox(y, lam, shift))
+        t, log_slope = box_cox(y, lam, shift), F.log(F.greatest(y + shift, F.lit(1e-12)))
+    sums = tried.groupBy("series", "i").agg(
+        F.count("*").alias("n"), F.var_pop(t).alias("var"), F.sum(log_slope).alias("slope"),
+        *[F.first(c).alias(c) for c in ("shift", "from", "step", "lam")],
+    )
     # a variance of zero has no logarithm: NULL, so it can never win
-    return -F.count(y) / 2 * F.log(F.when(var > 0, var)) + (F.first("from") + F.first("step") * i - 1) * slope
+    spread = F.log(F.when(F.col("var") > 0, F.col("var")))
+    fits = sums.withColumn("ll", -F.col("n") / 2 * spread + (lam - 1) * F.col("slope"))
+    per_series = fits.groupBy("series").agg(
+        *[F.first(c).alias(c) for c in ("shift", "from", "step")],
+        F.array_sort(F.collect_list(F.struct("i", "ll")))["ll"].alias("ll"),  # one value per grid point
+    )
+    best = per_series.withColumn("best", (F.array_position("ll", F.array_max("ll")) - 1).cast("int"))
+    return best.select(
+        "series", "shift", "from", "step", "best",
+        *[F.get("ll", F.col("best") + o).alias(n) for o, n in ((-1, "left"), (0, "top"), (1, "right"))],
+    )
 
 
 # ---------------------------------------------------------------- model inputs

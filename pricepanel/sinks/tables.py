@@ -13,7 +13,7 @@ import datetime as dt
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # Characters Spark escapes in partition folder names.
 ESCAPED = set('"#%\'*/:=?\\{[]^\x7f') | {chr(i) for i in range(1, 32)}
@@ -39,16 +39,23 @@ def _folder(by: Sequence[str], values: Sequence[object]) -> str:
     return "/".join(f"{k}={text(v)}" for k, v in zip(by, values))
 
 
-def overwrite_partitions(rows: DataFrame, path: str, by: Sequence[str], sort: Sequence[str] = ()) -> set[tuple]:
-    """Write ``rows`` over the partitions they belong to; returns the partitions written."""
-    seen = Observation()
-    key = F.collect_set(F.struct(*[F.col(c).cast("string").alias(c) for c in by])).alias("parts")
+def overwrite_partitions(rows: DataFrame, path: str, by: Sequence[str], sort: Sequence[str] = ()) -> None:
+    """Write ``rows`` over the partitions they belong to, leaving all others."""
     # gathers a partition's rows into few files, and splits one too large for a task
-    out = rows.observe(seen, key).hint("rebalance", *by)
+    out = rows.hint("rebalance", *by)
     if sort:
         out = out.sortWithinPartitions(*by, *sort)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-    return {tuple(r) for r in seen.get["parts"]}
+
+
+def _partitions(table: DataFrame, by: Sequence[str]) -> dict[tuple, str]:
+    """One file name per partition that has rows.  Reads no data columns."""
+    if not table.inputFiles():
+        return {}
+    text = [F.col(c).cast("string").alias(c) for c in by]
+    files = table.select(*text, F.col("_metadata.file_path").alias("file"))
+    rows = files.groupBy(*by).agg(F.min("file").alias("file")).collect()  # one row per partition
+    return {tuple(r[:-1]): r["file"] for r in rows}
 
 
 def _empty_partitions(spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str],
@@ -71,13 +78,15 @@ def replace_rows(
     names = schema.fieldNames()
     touched = gone if touched is None else touched
     old = read_table(spark, path, schema).where(touched)
-    # distinct over partition columns alone: one row per touched partition
-    listed = old.select(*[F.col(c).cast("string") for c in by]).distinct().collect()
-    before = {tuple(r) for r in listed}
+    before = _partitions(old, by)
     kept = old.where(~F.coalesce(gone, F.lit(False)))
     fitted = new.select(*[F.col(f.name).cast(f.dataType) for f in schema])
-    written = overwrite_partitions(kept.select(*names).unionByName(fitted), path, by, sort)
-    _empty_partitions(spark, path, schema, by, before - written)
+    overwrite_partitions(kept.select(*names).unionByName(fitted), path, by, sort)
+    if before:
+        # file names are unique per job: a name that is still there was not overwritten
+        after = _partitions(read_table(spark, path, schema).where(touched), by)
+        stale = [part for part, file in before.items() if after.get(part) == file]
+        _empty_partitions(spark, path, schema, by, stale)
 
 
 def replace_model(spark: SparkSession, path: str, schema: T.StructType, model: str, new: DataFrame) -> None:

@@ -128,7 +128,7 @@ def q6b(spark, sf):
 
 @query("q7_flatline", check_sql(FLAT, "gappy_panel"))
 def q7(spark, sf):
-    return shown(Q.flatline(gappy_panel(spark, sf), REVIEW))
+    return shown(Q.flatline(gappy_panel(spark, sf), REVIEW), True)
 
 
 ALL = " UNION ALL ".join(
@@ -626,7 +626,8 @@ def e11(spark, sf):
 
 
 @query("e12_grid", """
-    SELECT s_suppkey AS target, p, d, q, sp, sd, sq, s FROM supplier, (VALUES (1)) AS a(p), (VALUES (1)) AS b(d),
+    SELECT s_suppkey AS target, CAST(p AS BIGINT) AS p, CAST(d AS BIGINT) AS d, CAST(q AS BIGINT) AS q,
+      CAST(sp AS BIGINT) AS sp, CAST(sd AS BIGINT) AS sd, CAST(sq AS BIGINT) AS sq, CAST(s AS BIGINT) AS s FROM supplier, (VALUES (1)) AS a(p), (VALUES (1)) AS b(d),
       (VALUES (1), (2)) AS c(q), (VALUES (1), (2)) AS e(sp), (VALUES (0)) AS f(sd), (VALUES (0), (1)) AS g(sq),
       (VALUES (5)) AS h(s)""")
 def e12(spark, sf):
