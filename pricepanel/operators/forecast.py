@@ -5,8 +5,9 @@ autoregressive, seasonal and covariate terms; moving-average terms use the resid
 long autoregression (the two-stage method of Hannan and Rissanen).  It is not a state-space
 likelihood fit: its numbers differ from one.  Forecasts of outside models come in as tables.
 
-Transform, parameter search, covariates, inverse and scoring are Spark expressions; Python
-sees one daily series at a time (at most 366 rows per year), only to solve the regression.
+Spark partitions the work by (target, window); windows, training rows, inverse transform and
+scoring are Spark expressions.  A task sees one daily series at a time, at most 366 rows per
+year, to fit its transform and solve its regression.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pricepanel.functions.dates import next_business_days
-from pricepanel.functions.transforms import forward, inverse
-from pricepanel.operators.features import fit_lambda
+from pricepanel.functions.transforms import inverse
+from pricepanel.operators.features import best_lambda, fit_lambda, power_transform, spread
 from pricepanel.operators.scoring import fold_summary, ljung_box
 
 # (p, d, q), (P, D, Q, s)
@@ -145,45 +146,45 @@ def target_rows(wide: DataFrame, features: Mapping[str, Sequence[str]], keep: Se
 
 def _forecast_groups(
     rows: DataFrame, keys: Sequence[str], horizon: int, orders: Mapping[str, Sequence[Order]],
-    default: Sequence[Order], method: str, median_of: str,
+    default: Sequence[Order], transform: str, method: str, median_of: str,
 ) -> DataFrame:
-    """Fit every (keys) group for each of its orders.  ``rows``: keys, date, t (transformed y), x."""
-    keys = list(keys)
+    """Fit every (keys) group for each of its orders: ``keys, grid_point, step, t_hat, lam,
+    shift, y_base, train_rows, aic, bic, status``.  ``rows``: keys, date, y, x and, to fix the
+    power parameter, ``lam`` and ``shift``.  One shuffle, no joins.
+    """
+    keys, fixed = list(keys), "lam" in rows.columns
+    kind = (transform or "none").lower()
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date")
-        y = pdf["t"].to_numpy("float64")
-        x = np.vstack(pdf["x"].to_numpy()).astype("float64") if len(pdf["x"].iloc[0]) else np.zeros((len(y), 0))
         first = pdf.iloc[0]
+        y = pdf["y"].to_numpy("float64")
+        x = np.vstack(pdf["x"].to_numpy()).astype("float64") if len(first["x"]) else np.zeros((len(y), 0))
+        lam, shift = (first["lam"], first["shift"]) if fixed else best_lambda(y, kind)
+        t = power_transform(y, kind, lam, shift)
         out = []
         for i, order in enumerate(orders.get(first["target"], default)):
-            fit, status = _attempts(y, x, horizon, order, method, median_of)
+            fit, status = _attempts(t, x, horizon, order, method, median_of)
+            group = [first[k] for k in keys]
             for h in range(horizon):
-                out.append((*[first[k] for k in keys], i + 1, h + 1, float(fit["path"][h]),
+                out.append((*group, i + 1, h + 1, float(fit["path"][h]), lam, shift, y[-1], len(y),
                             fit["aic"], fit["bic"], status))
-        return pd.DataFrame(out, columns=[*keys, "grid_point", "step", "t_hat", "aic", "bic", "status"])
+        return pd.DataFrame(out, columns=[*keys, *FIT_COLUMNS])
 
     types = dict(rows.dtypes)
     schema = ", ".join(f"{k} {types[k]}" for k in keys)
-    return rows.groupBy(*keys).applyInPandas(
-        run, schema + ", grid_point long, step long, t_hat double, aic double, bic double, status string"
-    )
+    return spread(rows, keys).groupBy(*keys).applyInPandas(run, schema + ", " + FIT_SCHEMA)
 
 
-def _with_lambda(rows: DataFrame, keys: Sequence[str], transform: str) -> DataFrame:
-    """Add the power parameter of each group and the transformed value ``t``."""
-    if transform in ("yeojohnson", "boxcox"):
-        series = F.struct(*keys)
-        lam = fit_lambda(rows.select(series.alias("series"), F.col("y").alias("value")), transform)
-        lam = lam.select("series.*", "lam", "shift")
-        rows = rows.join(lam, list(keys))
-    else:
-        rows = rows.withColumns({"lam": F.lit(0.0), "shift": F.lit(0.0)})
-    return rows.withColumn("t", forward(F.col("y"), transform, F.col("lam"), F.col("shift")))
+FIT_SCHEMA = (
+    "grid_point long, step long, t_hat double, lam double, shift double, y_base double, train_rows long, "
+    "aic double, bic double, status string"
+)
+FIT_COLUMNS = [part.split()[0] for part in FIT_SCHEMA.split(", ")]
 
 
-def _back(t: Column, transform: str, clipped: bool) -> Column:
-    return inverse(t, transform, F.col("lam"), F.col("shift"), clipped)
+def _back(transform: str, clipped: bool) -> Column:
+    return inverse(F.col("t_hat"), transform, F.col("lam"), F.col("shift"), clipped)
 
 
 def forecast(
@@ -192,19 +193,13 @@ def forecast(
 ) -> DataFrame:
     """``forecast_date, model, target, predicted, status`` for the next business days after the
     newest date with any target value.  ``rows`` as from ``target_rows``."""
-    ready = _with_lambda(rows, ["target"], transform)
-    fits = _forecast_groups(
-        ready, ["target"], horizon, {t: [o] for t, o in orders.items()}, [default], method, median_of
-    )
-    params = ready.groupBy("target").agg(F.first("lam").alias("lam"), F.first("shift").alias("shift"))
+    lists = {t: [o] for t, o in orders.items()}
+    fits = _forecast_groups(rows, ["target"], horizon, lists, [default], transform, method, median_of)
     days = rows.agg(F.max("date").alias("last")).select(
         F.posexplode(next_business_days(F.col("last"), horizon)).alias("i", "forecast_date")
     ).select((F.col("i") + 1).cast("long").alias("step"), "forecast_date")
-    return (
-        fits.join(params, "target")
-        .join(F.broadcast(days), "step")  # horizon rows
-        .select("forecast_date", F.lit(model).alias("model"), "target",
-                _back(F.col("t_hat"), transform, False).alias("predicted"), "status")
+    return fits.join(F.broadcast(days), "step").select(  # horizon rows
+        "forecast_date", F.lit(model).alias("model"), "target", _back(transform, False).alias("predicted"), "status"
     )
 
 
@@ -220,28 +215,20 @@ def backtest(
     each window, or, with ``lambda_from="global"``, from all rows of the target.  Training rows
     are the rows before the window; the base is the last of them.
     """
-    bounds = windows.select("target", "window_id", "window_start").distinct()
-    if lambda_from == "global":
-        ready = _with_lambda(rows, ["target"], transform).join(bounds, "target")
-        ready = ready.where(F.col("date") < F.col("window_start"))
-    else:
-        train = rows.join(bounds, "target").where(F.col("date") < F.col("window_start"))
-        ready = _with_lambda(train, ["target", "window_id"], transform)
     keys = ["target", "window_id"]
-    fits = _forecast_groups(ready, keys, horizon, orders, default, method, median_of)
-    params = ready.groupBy(*keys).agg(
-        F.first("lam").alias("lam"), F.first("shift").alias("shift"),
-        F.max_by("y", "date").alias("y_base"), F.count("*").alias("train_rows"),
-    ).where(F.col("train_rows") >= min_train)
+    bounds = windows.select(*keys, "window_start").distinct()
+    if lambda_from == "global" and transform in ("yeojohnson", "boxcox"):
+        bounds = bounds.join(fit_lambda(rows, transform, ["target"], "y"), "target")
+    train = rows.join(bounds, "target").where(F.col("date") < F.col("window_start")).drop("window_start")
+    fits = _forecast_groups(train, keys, horizon, orders, default, transform, method, median_of)
     steps = windows.withColumn(
         "step", F.row_number().over(W.partitionBy(*keys).orderBy("date")).cast("long")
     )
-    predicted = _back(F.col("t_hat"), transform, True)
     return (
-        fits.join(params, keys)
+        fits.where(F.col("train_rows") >= min_train)
         .join(steps.select(*keys, "step", "date", "y_true"), [*keys, "step"])
         .select("target", F.lit(model).alias("model"), "grid_point", "window_id", "date", "y_true",
-                predicted.alias("y_pred"), "y_base", "aic", "bic", "status")
+                _back(transform, True).alias("y_pred"), "y_base", "aic", "bic", "status")
     )
 
 
