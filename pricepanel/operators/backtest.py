@@ -10,13 +10,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 
-def _from_end(panel: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows with ``e`` (0 = newest) and ``n`` (rows of the series)."""
-    part = W.partitionBy(*keys)
-    newest = part.orderBy(F.desc("date"))
-    return panel.withColumns({
-        "e": F.row_number().over(newest) - 1, "n": F.count(F.lit(1)).over(part),
-    })
+def newest_rows(panel: DataFrame, n: int, keys: Sequence[str] = ("series",)) -> DataFrame:
+    """The ``n`` newest rows of each series with ``e`` (0 = newest) and ``have``, the number of
+    them.  Spark applies the rank limit before the shuffle, so history stays where it is."""
+    newest = W.partitionBy(*keys).orderBy(F.desc("date"))
+    ranked = panel.withColumn("e", F.row_number().over(newest)).where(F.col("e") <= n)
+    return ranked.withColumns({"e": F.col("e") - 1, "have": F.count(F.lit(1)).over(W.partitionBy(*keys))})
 
 
 def rolling_folds(
@@ -29,12 +28,13 @@ def rolling_folds(
     """
     total = n_folds * horizon
     block = F.floor(F.col("e") / horizon)
+    tail = newest_rows(panel, total + 6, keys).where((F.col("have") > total + 5) & (F.col("e") < total))
+    n = panel.groupBy(*keys).agg(F.count("*").alias("n"))
     return (
-        _from_end(panel, keys)
-        .where((F.col("n") > total + 5) & (F.col("e") < total))
-        .withColumn("window_id", (n_folds - block).cast("long"))
+        tail.withColumn("window_id", (n_folds - block).cast("long"))
+        .join(n, list(keys))
         .withColumn("train_rows", (F.col("n") - (block + 1) * horizon).cast("long"))
-        .drop("e", "n")
+        .drop("e", "have", "n")
     )
 
 
@@ -48,20 +48,22 @@ def holdout_windows(
     panel: DataFrame, test_rows: int = 63, window: int = 7, keys: Sequence[str] = ("series",)
 ) -> DataFrame:
     """The last ``test_rows`` rows in consecutive full windows, with id and date bounds."""
-    at = F.lit(test_rows - 1) - F.col("e")
-    n_windows = test_rows // window
     tail = (
-        _from_end(panel, keys)
-        .where((F.col("n") >= test_rows) & (F.col("e") < test_rows))
-        .withColumn("window_id", (F.floor(at / window) + 1).cast("long"))
-        .where(F.col("window_id") <= n_windows)
-        .drop("e", "n")
+        newest_rows(panel, test_rows, keys)
+        .where(F.col("have") == test_rows)
+        .withColumn("at", (F.lit(test_rows - 1) - F.col("e")).cast("int"))
+        .where(F.col("at") < (test_rows // window) * window)
     )
-    # same leading partition keys: the shuffle of the series is reused
-    w = W.partitionBy(*keys, "window_id")
+    # bounds by position within the series' own order: no sort by window
+    w = W.partitionBy(*keys).orderBy(F.desc("date"))
+    place = F.col("at") % window
+    start = F.first(F.when(place == 0, F.col("date")), ignorenulls=True)
+    end = F.last(F.when(place == window - 1, F.col("date")), ignorenulls=True)
     return tail.withColumns({
-        "window_start": F.min("date").over(w), "window_end": F.max("date").over(w),
-    })
+        "window_id": (F.floor(F.col("at") / window) + 1).cast("long"),
+        "window_start": start.over(w.rowsBetween(0, W.unboundedFollowing)),
+        "window_end": end.over(w.rowsBetween(W.unboundedPreceding, 0)),
+    }).drop("e", "have", "at")
 
 
 def window_ranges(windows: DataFrame, keys: Sequence[str] = ("series",)) -> DataFrame:
@@ -79,23 +81,29 @@ def naive_last(
     """Backtest records of the persistence forecast: every window repeats the last non-null
     value before its first day.
 
-    One shuffle by series serves the row numbers, the carried value and the window base;
-    history is never joined to the windows.
+    One shuffle and one sort by series serve the row numbers, the carried value and the window
+    base; history is never joined to the windows.
     """
     part = W.partitionBy(*keys)
-    before = part.orderBy("date").rowsBetween(W.unboundedPreceding, -1)
-    seen = _from_end(panel, keys).withColumn("carried", F.last("value", ignorenulls=True).over(before))
-    at = F.lit(test_rows - 1) - F.col("e")
-    tail = (
-        seen.where((F.col("n") >= test_rows) & (F.col("e") < test_rows))
-        .withColumn("window_id", (F.floor(at / window) + 1).cast("long"))
-        .withColumn("train_rows", F.col("n") - test_rows + (F.col("window_id") - 1) * window)
-        .where((F.col("window_id") <= test_rows // window) & (F.col("train_rows") >= min_train))
-    )
-    base = F.min_by("carried", "date").over(W.partitionBy(*keys, "window_id"))
-    return tail.withColumn("y_base", base).where(F.col("y_base").isNotNull()).select(
-        *keys, F.lit(model).alias("model"), "window_id", "date",
-        F.col("value").alias("y_true"), F.col("y_base").alias("y_pred"), "y_base",
+    by_date = part.orderBy("date")
+    seen = panel.withColumns({
+        "n": F.count(F.lit(1)).over(part),
+        "rn": F.row_number().over(by_date),
+        "carried": F.last("value", ignorenulls=True).over(by_date.rowsBetween(W.unboundedPreceding, -1)),
+    }).withColumn("at", F.col("rn") - 1 - (F.col("n") - test_rows))
+    # the value carried into a window's first day; once there is one, later days have one too
+    base = F.last(F.when((F.col("at") >= 0) & (F.col("at") % window == 0), F.col("carried")), ignorenulls=True)
+    window_id = (F.floor(F.col("at") / window) + 1).cast("long")
+    return (
+        seen.withColumn("y_base", base.over(by_date.rowsBetween(W.unboundedPreceding, 0)))
+        .where((F.col("n") >= test_rows) & F.col("at").between(0, (test_rows // window) * window - 1))
+        .withColumn("window_id", window_id)
+        .where(F.col("n") - test_rows + (F.col("window_id") - 1) * window >= min_train)
+        .where(F.col("y_base").isNotNull())
+        .select(
+            *keys, F.lit(model).alias("model"), "window_id", "date",
+            F.col("value").alias("y_true"), F.col("y_base").alias("y_pred"), "y_base",
+        )
     )
 
 

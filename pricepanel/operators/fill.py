@@ -160,5 +160,6 @@ def future_values(
             F.max_by("value", F.when(F.col("value").isNotNull(), F.col("date"))).alias("value")
         )
     row = row.withColumn("value", F.coalesce("value", F.lit(0.0)))
-    days = future_dates(history, horizon) if dates is None else dates
-    return row.crossJoin(F.broadcast(days.select("step", "date")))  # horizon rows
+    # its own calendar has ``horizon`` rows; the size of one passed in is not known
+    days = F.broadcast(future_dates(history, horizon)) if dates is None else dates
+    return row.crossJoin(days.select("step", "date"))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pricepanel.functions.dates import next_business_days
 from pricepanel.functions.transforms import inverse
-from pricepanel.operators.features import best_lambda, fit_lambda, power_transform, spread
+from pricepanel.operators.features import best_lambda, power_transform, spread
 from pricepanel.operators.scoring import fold_summary, ljung_box
 
 # (p, d, q), (P, D, Q, s)
@@ -144,38 +144,6 @@ def target_rows(wide: DataFrame, features: Mapping[str, Sequence[str]], keep: Se
     return rows.select("r.target", "date", *keep, "r.y", "r.x").where(F.col("y").isNotNull())
 
 
-def _forecast_groups(
-    rows: DataFrame, keys: Sequence[str], horizon: int, orders: Mapping[str, Sequence[Order]],
-    default: Sequence[Order], transform: str, method: str, median_of: str,
-) -> DataFrame:
-    """Fit every (keys) group for each of its orders: ``keys, grid_point, step, t_hat, lam,
-    shift, y_base, train_rows, aic, bic, status``.  ``rows``: keys, date, y, x and, to fix the
-    power parameter, ``lam`` and ``shift``.  One shuffle, no joins.
-    """
-    keys, fixed = list(keys), "lam" in rows.columns
-    kind = (transform or "none").lower()
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        first = pdf.iloc[0]
-        y = pdf["y"].to_numpy("float64")
-        x = np.vstack(pdf["x"].to_numpy()).astype("float64") if len(first["x"]) else np.zeros((len(y), 0))
-        lam, shift = (first["lam"], first["shift"]) if fixed else best_lambda(y, kind)
-        t = power_transform(y, kind, lam, shift)
-        out = []
-        for i, order in enumerate(orders.get(first["target"], default)):
-            fit, status = _attempts(t, x, horizon, order, method, median_of)
-            group = [first[k] for k in keys]
-            for h in range(horizon):
-                out.append((*group, i + 1, h + 1, float(fit["path"][h]), lam, shift, y[-1], len(y),
-                            fit["aic"], fit["bic"], status))
-        return pd.DataFrame(out, columns=[*keys, *FIT_COLUMNS])
-
-    types = dict(rows.dtypes)
-    schema = ", ".join(f"{k} {types[k]}" for k in keys)
-    return spread(rows, keys).groupBy(*keys).applyInPandas(run, schema + ", " + FIT_SCHEMA)
-
-
 FIT_SCHEMA = (
     "grid_point long, step long, t_hat double, lam double, shift double, y_base double, train_rows long, "
     "aic double, bic double, status string"
@@ -183,6 +151,23 @@ FIT_SCHEMA = (
 FIT_COLUMNS = [part.split()[0] for part in FIT_SCHEMA.split(", ")]
 
 
+def _fit_rows(
+    pdf: pd.DataFrame, horizon: int, orders: Sequence[Order], kind: str, method: str, median_of: str,
+    power: tuple[float, float] | None = None,
+) -> list[tuple]:
+    """One row of ``FIT_COLUMNS`` per order and step for the training rows ``date, y, x``."""
+    y = pdf["y"].to_numpy("float64")
+    x = np.vstack(pdf["x"].to_numpy()).astype("float64") if len(pdf["x"].iloc[0]) else np.zeros((len(y), 0))
+    lam, shift = power or best_lambda(y, kind)
+    t = power_transform(y, kind, lam, shift)
+    out = []
+    for i, order in enumerate(orders):
+        fit, status = _attempts(t, x, horizon, order, method, median_of)
+        out += [(i + 1, h + 1, float(v), lam, shift, y[-1], len(y), fit["aic"], fit["bic"], status)
+                for h, v in enumerate(fit["path"])]
+    return out
+
+
 def _back(transform: str, clipped: bool) -> Column:
     return inverse(F.col("t_hat"), transform, F.col("lam"), F.col("shift"), clipped)
 
@@ -193,8 +178,14 @@ def forecast(
 ) -> DataFrame:
     """``forecast_date, model, target, predicted, status`` for the next business days after the
     newest date with any target value.  ``rows`` as from ``target_rows``."""
-    lists = {t: [o] for t, o in orders.items()}
-    fits = _forecast_groups(rows, ["target"], horizon, lists, [default], transform, method, median_of)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        target = pdf["target"].iloc[0]
+        fits = _fit_rows(pdf.sort_values("date"), horizon, [orders.get(target, default)], transform, method, median_of)
+        return pd.DataFrame([(target, *f) for f in fits], columns=["target", *FIT_COLUMNS])
+
+    kind = dict(rows.dtypes)["target"]
+    fits = spread(rows, ["target"]).groupBy("target").applyInPandas(run, f"target {kind}, {FIT_SCHEMA}")
     days = rows.agg(F.max("date").alias("last")).select(
         F.posexplode(next_business_days(F.col("last"), horizon)).alias("i", "forecast_date")
     ).select((F.col("i") + 1).cast("long").alias("step"), "forecast_date")
@@ -214,21 +205,42 @@ def backtest(
     y_true``, one row per day to predict.  The power parameter comes from the training rows of
     each window, or, with ``lambda_from="global"``, from all rows of the target.  Training rows
     are the rows before the window; the base is the last of them.
+
+    Each series is shuffled once and meets its windows as a co-group, instead of once per
+    window.
     """
+    if lambda_from not in ("window", "global"):
+        raise ValueError("lambda_from must be 'window' or 'global'")
+    names = ["target", "window_id", "window_start"]
+    # new column ids: rows and windows usually come from the same table
+    bounds = windows.select(*[F.col(c).alias(c) for c in names]).distinct()
+
+    def run(pdf: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(pdf) and len(spans):
+            target = pdf["target"].iloc[0]
+            pdf = pdf.sort_values("date")
+            power = best_lambda(pdf["y"].to_numpy("float64"), transform) if lambda_from == "global" else None
+            for span in spans.itertuples():
+                train = pdf[pdf["date"] < span.window_start]
+                if len(train) >= min_train:
+                    fits = _fit_rows(train, horizon, orders.get(target, default), transform, method, median_of, power)
+                    out += [(target, span.window_id, *f) for f in fits]
+        return pd.DataFrame(out, columns=["target", "window_id", *FIT_COLUMNS])
+
+    kind = dict(rows.dtypes)["target"]
+    fits = (
+        spread(rows, ["target"]).groupBy("target")
+        .cogroup(spread(bounds, ["target"]).groupBy("target"))
+        .applyInPandas(run, f"target {kind}, window_id long, {FIT_SCHEMA}")
+    )
     keys = ["target", "window_id"]
-    bounds = windows.select(*keys, "window_start").distinct()
-    if lambda_from == "global" and transform in ("yeojohnson", "boxcox"):
-        bounds = bounds.join(fit_lambda(rows, transform, ["target"], "y"), "target")
-    train = rows.join(bounds, "target").where(F.col("date") < F.col("window_start")).drop("window_start")
-    fits = _forecast_groups(train, keys, horizon, orders, default, transform, method, median_of)
     steps = windows.withColumn(
         "step", F.row_number().over(W.partitionBy(*keys).orderBy("date")).cast("long")
     )
-    return (
-        fits.where(F.col("train_rows") >= min_train)
-        .join(steps.select(*keys, "step", "date", "y_true"), [*keys, "step"])
-        .select("target", F.lit(model).alias("model"), "grid_point", "window_id", "date", "y_true",
-                _back(transform, True).alias("y_pred"), "y_base", "aic", "bic", "status")
+    return fits.join(steps.select(*keys, "step", "date", "y_true"), [*keys, "step"]).select(
+        "target", F.lit(model).alias("model"), "grid_point", "window_id", "date", "y_true",
+        _back(transform, True).alias("y_pred"), "y_base", "aic", "bic", "status",
     )
 
 

@@ -379,12 +379,12 @@ def s9(spark, sf):
 
 @query("s10_features", """
     SELECT lower(p_brand) AS target, string_agg(lower(p_type), '|' ORDER BY lower(p_type)) AS variables,
-           count(*) AS n FROM part WHERE p_size % 2 = 1 GROUP BY lower(p_brand)""")
+           count(*) AS n FROM (SELECT DISTINCT p_brand, p_type FROM part WHERE p_size % 2 = 1) GROUP BY lower(p_brand)""")
 def s10(spark, sf):
     path = scratch(spark)
     raw = table(spark, sf, "part").select(
         F.concat(F.lit(" "), "p_brand").alias("Commodity "), F.concat("p_type", F.lit(" ")).alias("variable"),
-        F.when(F.col("p_size") % 4 == 2, None).otherwise(F.col("p_size") % 2).alias("usada"))
+        F.when(F.col("p_size") % 4 == 2, None).otherwise(F.col("p_size") % 2).alias("usada")).distinct()
     raw.write.csv(path, header=True)
     lists = files.feature_lists(files.read_features(spark, path))
     return lists.select("target", F.array_join(F.array_sort("variables"), "|").alias("variables"),
