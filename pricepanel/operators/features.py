@@ -292,6 +292,8 @@ def best_lambda(y: np.ndarray, kind: str, low: float = -8.0, high: float = 10.0)
     shift = 0.0
     if kind == "boxcox" and y.min() <= 0:
         shift = 1e-6 - float(y.min())
+    if np.ptp(y) == 0:
+        return 1.0, shift  # constant series: nothing to fit
     if kind == "yeojohnson":
         slope = float(np.sum(np.sign(y) * np.log1p(np.abs(y))))
     else:
@@ -307,7 +309,7 @@ def best_lambda(y: np.ndarray, kind: str, low: float = -8.0, high: float = 10.0)
     grid = np.linspace(low, high, 37)
     tries = [likelihood(x) for x in grid]
     if not np.isfinite(max(tries)):
-        return 1.0, shift  # constant series: nothing to fit
+        return 1.0, shift
     i = int(np.argmax(tries))
     a, b = grid[max(i - 1, 0)], grid[min(i + 1, len(grid) - 1)]
     ratio = (np.sqrt(5) - 1) / 2

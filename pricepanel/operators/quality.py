@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from pricepanel.functions.dates import expected_data_date, is_business_day
+from pricepanel.functions.dates import expected_data_date
 from pricepanel.functions.numbers import divide
 from pricepanel.operators.panel import business_calendar, to_long
 
@@ -132,16 +132,13 @@ def newest_dates(dates: DataFrame, n: int) -> DataFrame:
 
 
 def null_share(long: DataFrame, review: Review, n_dates: int = 20) -> DataFrame:
-    """Percent of NULLs per series on the newest dates of the table."""
-    recent = newest_dates(long, n_dates)
-    stats = (
-        long.join(F.broadcast(recent), "date", "left_semi")  # n_dates rows
-        .groupBy("series")
-        .agg(
-            F.count("*").alias("n"),
-            F.count_if(F.col("value").isNull()).alias("nulls"),
-            F.max("date").alias("newest"),
-        )
+    """Percent of NULLs per series on the newest dates of the table.
+
+    The newest dates are the ones from the oldest of them on: as a range it reaches the scan.
+    """
+    since = newest_dates(long, n_dates).agg(F.min("date")).scalar()
+    stats = long.where(F.col("date") >= since).groupBy("series").agg(
+        F.count("*").alias("n"), F.count_if(F.col("value").isNull()).alias("nulls")
     )
     pct = 100 * divide(F.col("nulls").cast("double"), F.col("n").cast("double"))
     return review.rows(

@@ -20,7 +20,10 @@ def newest_run(history: DataFrame, models: Sequence[str]) -> DataFrame:
 
 def _actuals(panel: DataFrame, targets: Sequence[str], since) -> DataFrame:
     newest = panel.agg(F.max("date").alias("d")).select(since(F.col("d"))).scalar()
-    recent = panel.where(F.col("date") >= newest).select("date", *targets)
+    recent = panel.where(F.col("date") >= newest)
+    if "month" in panel.columns:  # partition column of the stored panel
+        recent = recent.where(F.col("month") >= F.trunc(newest, "MM"))
+    recent = recent.select("date", *targets)
     return to_long(recent, targets, keep_nulls=False, series="target")
 
 

@@ -152,7 +152,7 @@ def write_errors(spark: SparkSession, t: Tables, s: Settings, since: dt.date | N
 
 def create_views(spark: SparkSession, t: Tables, s: Settings) -> None:
     """Temporary views ``report_actuals_and_forecasts`` and ``report_summary``."""
-    panel = stored_panel(spark, t, s)
+    panel = K.read_table(spark, t.panel, S.stored_panel_schema(s.columns))
     history = K.read_table(spark, t.history, S.history_schema(s.targets))
     order = {m: fv.REPORT_ORDER.get(m, fv.UNKNOWN_REPORT_ORDER) for m in s.models}
     report.actuals_and_forecasts(panel, history, s.targets, order).createOrReplaceTempView(

@@ -27,7 +27,7 @@ def model_panel(table: DataFrame, columns: Sequence[str] | None = None) -> DataF
     df = lower_names(table)
     if "date" not in df.columns:
         raise ValueError("the table needs a date column")
-    values = [c for c in (columns or df.columns) if c != "date" and c in df.columns]
+    values = [c for c in dict.fromkeys(columns or df.columns) if c != "date" and c in df.columns]
     df = df.select("date", *values).withColumn("date", to_day(F.col("date"))).where(F.col("date").isNotNull())
     return keep_last(clean_numeric(business_days_only(df), values), ["date"], [])
 

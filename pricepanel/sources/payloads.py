@@ -21,7 +21,9 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """``name, payload`` of a folder of JSON documents; the name is the file's stem."""
     files = spark.read.text(path, wholetext=True)
     stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.json)?$", 1)
-    return files.select(F.url_decode(stem).alias("name"), F.col("value").alias("payload"))
+    # metadata holds the name URL-encoded; a plus sign is not encoded in paths
+    name = F.url_decode(F.replace(stem, F.lit("+"), F.lit("%2B")))
+    return files.select(name.alias("name"), F.col("value").alias("payload"))
 
 
 def _named(names: Mapping[str, str]) -> Column:
