@@ -276,8 +276,11 @@ def power_transform(y: np.ndarray, kind: str, lam: float, shift: float = 0.0) ->
     if kind == "boxcox":
         pos = np.maximum(y + shift, 1e-12)
         return np.log(pos) if abs(lam) < 1e-12 else (pos**lam - 1) / lam
-    up, down, k = np.maximum(y, 0.0), np.maximum(-y, 0.0), 2 - lam
+    up, k = np.maximum(y, 0.0), 2 - lam
     pos = np.log1p(up) if abs(lam) < 1e-12 else ((up + 1) ** lam - 1) / lam
+    if y.min() >= 0:
+        return pos
+    down = np.maximum(-y, 0.0)
     neg = -np.log1p(down) if abs(k) < 1e-12 else -((down + 1) ** k - 1) / k
     return np.where(y >= 0, pos, neg)
 

@@ -131,12 +131,17 @@ def newest_dates(dates: DataFrame, n: int) -> DataFrame:
     return dates.where(F.col("date").isNotNull()).select("date").distinct().orderBy(F.desc("date")).limit(n)
 
 
-def null_share(long: DataFrame, review: Review, n_dates: int = 20) -> DataFrame:
+def _newest(long: DataFrame, dates: DataFrame | None) -> Column:
+    """Newest date of the table as a scalar subquery; ``dates`` spares reading the long form."""
+    return (long if dates is None else dates).agg(F.max("date")).scalar()
+
+
+def null_share(long: DataFrame, review: Review, n_dates: int = 20, dates: DataFrame | None = None) -> DataFrame:
     """Percent of NULLs per series on the newest dates of the table.
 
     The newest dates are the ones from the oldest of them on: as a range it reaches the scan.
     """
-    since = newest_dates(long, n_dates).agg(F.min("date")).scalar()
+    since = newest_dates(long if dates is None else dates, n_dates).agg(F.min("date")).scalar()
     stats = long.where(F.col("date") >= since).groupBy("series").agg(
         F.count("*").alias("n"), F.count_if(F.col("value").isNull()).alias("nulls")
     )
@@ -144,7 +149,7 @@ def null_share(long: DataFrame, review: Review, n_dates: int = 20) -> DataFrame:
     return review.rows(
         stats.select(
             "series",
-            F.lit(long.agg(F.max("date")).scalar()).alias("data_date"),
+            F.lit(_newest(long, dates)).alias("data_date"),
             pct.alias("value"),
             _level(pct, 10, 20).alias("status"),
             _text("nulls=", F.col("nulls"), " | rows=", F.col("n")).alias("detail"),
@@ -153,9 +158,9 @@ def null_share(long: DataFrame, review: Review, n_dates: int = 20) -> DataFrame:
     )
 
 
-def latest_null(long: DataFrame, review: Review) -> DataFrame:
+def latest_null(long: DataFrame, review: Review, dates: DataFrame | None = None) -> DataFrame:
     """Whether each series is NULL on the newest date."""
-    latest = long.where(F.col("date") == long.agg(F.max("date")).scalar())
+    latest = long.where(F.col("date") == _newest(long, dates))
     missing = F.col("value").isNull()
     return review.rows(
         latest.select(
@@ -169,19 +174,33 @@ def latest_null(long: DataFrame, review: Review) -> DataFrame:
     )
 
 
-def latest_zscores(long: DataFrame, lookback: int = 30) -> DataFrame:
-    """Newest-date values against the ``lookback`` observations before each of them.
+def newest_observations(long: DataFrame, n_dates: int) -> DataFrame:
+    """Non-null values of each series' ``n_dates`` newest dates: ``series, date, value, copies``.
 
-    Only the newest ``lookback + 1`` dates of a series can matter, so the rest is cut by a
-    rank limit before the shuffle.  Identical copies of a row are counted instead of carried:
-    beyond ``lookback`` copies the frame holds nothing but that value, so later copies all
-    repeat one result.
+    Identical copies of a row are counted before the shuffle instead of carried, and the rank
+    limit is applied on both sides of it, so neither a hot series nor a hot group of copies
+    reaches one task.
     """
     copies = long.where(F.col("value").isNotNull()).groupBy("series", "date", "value").agg(
         F.count("*").alias("copies")
     )
     by_date = W.partitionBy("series").orderBy(F.desc("date"))
-    recent = copies.withColumn("rank", F.dense_rank().over(by_date)).where(F.col("rank") <= lookback + 1)
+    ranked = copies.withColumn("rank", F.dense_rank().over(by_date))
+    return ranked.where(F.col("rank") <= n_dates).drop("rank")
+
+
+LOOKBACK = 30
+
+
+def latest_zscores(
+    recent: DataFrame, newest: Column, lookback: int = LOOKBACK
+) -> DataFrame:
+    """Newest-date values against the ``lookback`` observations before each of them.
+
+    ``recent``: at least the ``lookback + 1`` newest dates.  Beyond ``lookback`` copies of a
+    row the frame holds nothing but its value, so later copies all repeat one result: they
+    are left out of the window and spread again behind it.
+    """
     spread = recent.withColumn(
         "copy", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(lookback + 1)).cast("int")))
     )
@@ -189,21 +208,26 @@ def latest_zscores(long: DataFrame, lookback: int = 30) -> DataFrame:
     scored = spread.withColumns({
         "mean": F.avg("value").over(frame), "std": F.stddev_samp("value").over(frame),
     })
-    last = scored.where(F.col("date") == long.agg(F.max("date")).scalar())
     times = F.when(F.col("copy") > lookback, F.col("copies") - lookback).otherwise(1).cast("int")
     std = F.when(F.col("std") != 0, F.col("std"))
     return (
-        last.withColumn("zscore", divide(F.abs(F.col("value") - F.col("mean")), std))
+        scored.where(F.col("date") == newest)
+        .withColumn("zscore", divide(F.abs(F.col("value") - F.col("mean")), std))
         .withColumn("i", F.explode(F.sequence(F.lit(1), times)))
         .select("series", "date", "value", "mean", "std", "zscore")
     )
 
 
-def outliers(long: DataFrame, review: Review, lookback: int = 30) -> DataFrame:
+def outliers(
+    long: DataFrame, review: Review, lookback: int = LOOKBACK, dates: DataFrame | None = None,
+    recent: DataFrame | None = None,
+) -> DataFrame:
+    """Z-score of the newest values.  ``recent`` may be shared with ``flatline``."""
+    recent = newest_observations(long, lookback + 1) if recent is None else recent
     z = F.col("zscore")
     text = F.format_string("value=%f | avg_30=%f | std_30=%f", "value", "mean", "std")
     return review.rows(
-        latest_zscores(long, lookback).select(
+        latest_zscores(recent, _newest(long, dates), lookback).select(
             "series",
             F.col("date").alias("data_date"),
             F.when(z.isNull(), "na").otherwise(_level(z, 2, 3)).alias("status"),
@@ -214,21 +238,22 @@ def outliers(long: DataFrame, review: Review, lookback: int = 30) -> DataFrame:
     )
 
 
-def flatline(long: DataFrame, review: Review, n: int = 5) -> DataFrame:
+def flatline(
+    long: DataFrame, review: Review, n: int = 5, dates: DataFrame | None = None, recent: DataFrame | None = None
+) -> DataFrame:
     """Distinct values among the newest ``n`` observations of each series."""
+    recent = newest_observations(long, n) if recent is None else recent
     newest = W.partitionBy("series").orderBy(F.desc("date"), F.desc("value"))
-    ranked = (
-        long.where(F.col("value").isNotNull())
-        .withColumn("rn", F.row_number().over(newest))
-        .where(F.col("rn") <= n)  # cut before the shuffle
-    )
-    stats = ranked.groupBy("series").agg(
-        F.count("*").alias("n"), F.size(F.collect_set("value")).cast("long").alias("distinct")
+    # observations up to and including the row, copies counted
+    upto = F.sum("copies").over(newest.rowsBetween(W.unboundedPreceding, 0))
+    counted = recent.withColumn("taken", F.least(F.col("copies"), F.lit(n) - (upto - F.col("copies"))))
+    stats = counted.where(F.col("taken") > 0).groupBy("series").agg(
+        F.sum("taken").alias("n"), F.size(F.collect_set("value")).cast("long").alias("distinct")
     )
     return review.rows(
         stats.select(
             "series",
-            F.lit(long.agg(F.max("date")).scalar()).alias("data_date"),
+            F.lit(_newest(long, dates)).alias("data_date"),
             F.col("distinct").alias("value"),
             F.when(F.col("n") < n, "na").when(F.col("distinct") == 1, "warn").otherwise("ok").alias("status"),
             _text("rows=", F.col("n"), " | distinct=", F.col("distinct")).alias("detail"),
@@ -242,9 +267,10 @@ def all_checks(wide: DataFrame, columns: Sequence[str], review: Review) -> DataF
     base = wide.where(F.col("date").isNotNull()).select("date", *columns)
     long = to_long(base, columns, keep_nulls=True)
     dates = base.select("date")
+    recent = newest_observations(long, LOOKBACK + 1)
     parts = [
         no_data(dates, review), freshness(dates, review), duplicate_dates(dates, review),
-        gaps(dates, review), null_share(long, review), latest_null(long, review),
-        outliers(long, review), flatline(long, review),
+        gaps(dates, review), null_share(long, review, dates=dates), latest_null(long, review, dates),
+        outliers(long, review, dates=dates, recent=recent), flatline(long, review, dates=dates, recent=recent),
     ]
     return reduce(DataFrame.unionByName, parts)

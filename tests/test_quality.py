@@ -87,7 +87,8 @@ def test_zscore_matches_brute_force_with_copies(spark):
     pts += [("d", day(i), 3.0) for i in range(60)]  # no spread
     pts += [("e", day(58), 3.0), ("e", day(59), None)]  # null now
     pdf = pd.DataFrame(pts, columns=["series", "date", "value"])
-    z = Q.latest_zscores(spark.createDataFrame(pts, LONG)).collect()
+    df = spark.createDataFrame(pts, LONG)
+    z = Q.latest_zscores(Q.newest_observations(df, 31), F.lit(day(59))).collect()
     got = sorted(((r.series, r.value, None if r.zscore is None or r["std"] < 1e-12 else round(r.zscore, 8)) for r in z), key=str)
     assert got == brute_z(pdf)
 
@@ -103,8 +104,13 @@ def test_outlier_levels(spark):
 def test_flatline(spark):
     pts = [("flat", day(i), 1.0 if i > 2 else 9.0) for i in range(8)]
     pts += [("short", day(i), 1.0) for i in range(4)] + [("moves", day(i), float(i)) for i in range(8)]
-    got = {r.series: (r.value, r.status) for r in Q.flatline(spark.createDataFrame(pts, LONG), R).collect()}
-    assert got == {"flat": (1.0, "warn"), "short": (1.0, "na"), "moves": (5.0, "ok")}
+    pts += [("copies", day(9), 2.0)] * 4 + [("copies", day(8), 3.0)] * 9 + [("hot", day(9), 2.0)] * 7
+    df = spark.createDataFrame(pts, LONG)
+    got = {r.series: (r.value, r.status) for r in Q.flatline(df, R).collect()}
+    assert got == {"flat": (1.0, "warn"), "short": (1.0, "na"), "moves": (5.0, "ok"), "copies": (2.0, "ok"),
+                   "hot": (1.0, "warn")}
+    shared = Q.flatline(df, R, recent=Q.newest_observations(df, 31))
+    assert {r.series: (r.value, r.status) for r in shared.collect()} == got
 
 
 def test_all_checks_columns(spark):

@@ -93,17 +93,15 @@ def supplier_forecasts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def forecast_history(spark: SparkSession, sf: str) -> DataFrame:
-    """Forecast history, wide: on every market day both models forecast the next two market
-    days; one target is sometimes NULL."""
-    w = W.orderBy("date")  # one row per calendar day
-    m = market_wide(spark, sf).withColumns({"d1": F.lead("date", 1).over(w), "d2": F.lead("date", 2).over(w)})
+    """Forecast history, wide: on every market day both models forecast the next two days;
+    targets without a price that day are NULL."""
     steps = F.explode(F.array(*[
-        F.struct(F.col(d).alias("forecast_date"), F.lit(model).alias("model"), F.lit(f).alias("f"))
-        for d, model, f in [("d1", "trend", 1.125), ("d2", "trend", 0.875), ("d1", "level", 1.0), ("d2", "level", 1.0)]
+        F.struct(F.lit(k).alias("k"), F.lit(model).alias("model"), F.lit(f).alias("f"))
+        for k, model, f in [(1, "trend", 1.125), (2, "trend", 0.875), (1, "level", 1.0), (2, "level", 1.0)]
     ])).alias("s")
-    return m.select("*", steps).where(F.col("s.forecast_date").isNotNull()).select(
-        "s.forecast_date", *[(F.col(t) * F.col("s.f")).alias(t) for t in TARGETS], "s.model",
-        F.col("date").alias("run_date"),
+    return market_wide(spark, sf).select("*", steps).select(
+        F.expr("date_add(date, s.k)").alias("forecast_date"),
+        *[(F.col(t) * F.col("s.f")).alias(t) for t in TARGETS], "s.model", F.col("date").alias("run_date"),
     )
 
 
@@ -188,12 +186,11 @@ SQL = {
         f"value * CAST({f} AS DOUBLE) AS predicted FROM supplier_next WHERE {d} IS NOT NULL"
         for d, m, f, late in [("d1", "trend", 1.125, 0), ("d1", "trend", 1.125, 1), ("d2", "trend", 0.875, 0),
                               ("d1", "level", 1.0, 0), ("d2", "level", 1.0, 0)]),
-    "market_next": "SELECT *, lead(date, 1) OVER (ORDER BY date) AS d1, lead(date, 2) OVER (ORDER BY date) AS d2 "
-    "FROM market_wide",
     "forecast_history": " UNION ALL ".join(
-        f"SELECT {d} AS forecast_date, " + ", ".join(f"{t} * CAST({f} AS DOUBLE) AS {t}" for t in TARGETS)
-        + f", '{m}' AS model, date AS run_date FROM market_next WHERE {d} IS NOT NULL"
-        for d, m, f in [("d1", "trend", 1.125), ("d2", "trend", 0.875), ("d1", "level", 1.0), ("d2", "level", 1.0)]),
+        f"SELECT CAST(date + {k} AS DATE) AS forecast_date, "
+        + ", ".join(f"{t} * CAST({f} AS DOUBLE) AS {t}" for t in TARGETS)
+        + f", '{m}' AS model, date AS run_date FROM market_wide"
+        for k, m, f in [(1, "trend", 1.125), (2, "trend", 0.875), (1, "level", 1.0), (2, "level", 1.0)]),
     "supplier_last": "SELECT series, max(date) AS last, max_by(value, date) AS base FROM supplier_panel GROUP BY series",
     "current_long": """
         SELECT CAST(last + CAST(k AS INTEGER) AS DATE) AS forecast_date, m.model, series AS target,
@@ -228,7 +225,7 @@ SQL = {
 NEEDS = {
     "market_long": ["market_wide"], "drivers_long": ["drivers_wide"], "gappy_panel": ["supplier_panel"],
     "supplier_next": ["supplier_panel"], "supplier_forecasts": ["supplier_next"],
-    "market_next": ["market_wide"], "forecast_history": ["market_next"],
+    "forecast_history": ["market_wide"],
     "supplier_last": ["supplier_panel"], "current_long": ["supplier_last"], "market_last": ["market_wide"],
     "current_wide": ["market_last"], "from_end": ["supplier_panel"], "holdout": ["from_end"],
     "window_base": ["holdout"], "naive": ["window_base"], "backtest_records": ["naive"],
