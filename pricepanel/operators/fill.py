@@ -98,8 +98,11 @@ def seeded_fill(
     return wide.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(date, *columns)
 
 
-def median_fill(panel: DataFrame, train: DataFrame | None = None, median_of: str = "raw") -> DataFrame:
-    """Forward fill, then the series' median, then 0.
+def median_fill(
+    panel: DataFrame, train: DataFrame | None = None, median_of: str = "raw", default: float | None = 0.0
+) -> DataFrame:
+    """Forward fill, then the series' median, then ``default`` (None leaves a series without
+    any value empty).
 
     ``median_of``: "raw" takes the median of the values as they came, "filled" that of the
     forward-filled ones.  ``train`` is the panel the median is taken from (default: itself).
@@ -111,17 +114,17 @@ def median_fill(panel: DataFrame, train: DataFrame | None = None, median_of: str
         w = W.partitionBy("series")
         if median_of == "filled":
             mid = F.median("value").over(w)
-            return filled.withColumn("value", F.coalesce("value", mid, F.lit(0.0)))
+            return filled.withColumn("value", F.coalesce("value", mid, F.lit(default)))
         both = panel.withColumns({
             "mid": F.median("value").over(w),
             "value": F.last("value", ignorenulls=True).over(w.orderBy("date").rowsBetween(EVER, 0)),
         })
-        return both.withColumn("value", F.coalesce("value", "mid", F.lit(0.0))).drop("mid")
+        return both.withColumn("value", F.coalesce("value", "mid", F.lit(default))).drop("mid")
     base = forward_fill(train) if median_of == "filled" else train
     mid = base.groupBy("series").agg(F.median("value").alias("mid"))
     return (
         filled.join(mid, "series", "left")
-        .withColumn("value", F.coalesce("value", "mid", F.lit(0.0)))
+        .withColumn("value", F.coalesce("value", "mid", F.lit(default)))
         .drop("mid")
     )
 

@@ -39,6 +39,7 @@ def test_fills_match_pandas(spark):
         "both": (fill.fill_both_ways(p), filled.groupby(pdf["series"]).bfill()),
         "back": (fill.backward_fill(p), g.bfill()),
         "raw": (fill.median_fill(p), filled.fillna(raw_mid).fillna(0.0)),
+        "no default": (fill.median_fill(p, default=None), filled.fillna(raw_mid)),
         "filled": (fill.median_fill(p, median_of="filled"),
                    filled.fillna(filled.groupby(pdf["series"]).transform("median")).fillna(0.0)),
     }

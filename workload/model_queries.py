@@ -106,6 +106,17 @@ def q3(spark, sf):
     return shown(Q.gaps(thin, REVIEW), True)
 
 
+@query("q3b_missing_days", with_inputs(["supplier_panel"], "SELECT date FROM missing", {
+    "thin": "SELECT DISTINCT date FROM supplier_panel WHERE value >= 95", "missing": MISSING.format(p="thin")}))
+def q3b(spark, sf):
+    return Q.missing_days(supplier_panel(spark, sf).where("value >= 95").select("date"))
+
+
+@query("q4b_newest_dates", "SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem ORDER BY date DESC LIMIT 20")
+def q4b(spark, sf):
+    return Q.newest_dates(table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("date")), 20)
+
+
 @query("q4_null_share", check_sql(NULLS, "gappy_panel"))
 def q4(spark, sf):
     return shown(Q.null_share(gappy_panel(spark, sf), REVIEW), True)
