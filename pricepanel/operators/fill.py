@@ -36,16 +36,14 @@ def forward_fill_sliced(
         F.max_by("value", F.when(F.col("value").isNotNull(), F.col(order))).alias("end")
     )
     before = W.partitionBy(*keys).orderBy("slice").rowsBetween(EVER, -1)
-    carry = ends.select(
-        *keys, "slice", F.last("end", ignorenulls=True).over(before).alias("carried")
-    )
-    inside = W.partitionBy(*keys, "slice").orderBy(order).rowsBetween(EVER, 0)
-    filled = F.coalesce(F.last("value", ignorenulls=True).over(inside), F.col("carried"))
-    return (
-        cut.join(carry, [*keys, "slice"], "left")
-        .withColumn("value", filled)
-        .select(*panel.columns)
+    # the carried value joins its slice as a leading row: one sort does the merge and the fill
+    carried = ends.select(
+        *keys, "slice", F.last("end", ignorenulls=True).over(before).alias("value"), F.lit(True).alias("carried")
     )
+    rows = cut.withColumn("carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    inside = W.partitionBy(*keys, "slice").orderBy(F.desc("carried"), order).rowsBetween(EVER, 0)
+    filled = rows.withColumn("value", F.last("value", ignorenulls=True).over(inside))
+    return filled.where(~F.col("carried")).select(*panel.columns)
 
 
 def backward_fill(panel: DataFrame, keys: Sequence[str] = ("series",), order: str = "date") -> DataFrame:
