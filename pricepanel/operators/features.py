@@ -302,12 +302,16 @@ def best_lambda(y: np.ndarray, kind: str, low: float = -8.0, high: float = 10.0)
     else:
         slope = float(np.sum(np.log(np.maximum(y + shift, 1e-12))))
 
+    n = len(y)
+    values, times = np.unique(y, return_counts=True)  # repeated values are transformed once
+
     def likelihood(lam: float) -> float:
         with np.errstate(all="ignore"):
-            var = float(np.var(power_transform(y, kind, lam, shift)))
+            t = power_transform(values, kind, lam, shift)
+            var = float(times @ (t - times @ t / n) ** 2 / n)
         if not np.isfinite(var) or var <= 0:
             return -np.inf
-        return -len(y) / 2 * np.log(var) + (lam - 1) * slope
+        return -n / 2 * np.log(var) + (lam - 1) * slope
 
     grid = np.linspace(low, high, 37)
     tries = [likelihood(x) for x in grid]

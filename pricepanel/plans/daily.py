@@ -132,21 +132,29 @@ def write_quality(spark: SparkSession, t: Tables, s: Settings, as_of: dt.date, r
         watched.unpersist()
 
 
-def write_errors(spark: SparkSession, t: Tables, s: Settings, since: dt.date | None = None) -> None:
+def write_errors(
+    spark: SparkSession, t: Tables, s: Settings, as_of: dt.date | None = None, changed_from: dt.date | None = None
+) -> None:
     """Score the forecast history into the error table.
 
-    ``since`` rescores only later runs: enough while actuals of older forecast dates stand.
+    Without dates the whole table is rebuilt.  With ``as_of`` only what a day can change is
+    scored again: that day's run, and every run with a forecast for the panel's changed dates
+    (``changed_from`` on).  Older rows stay, and still count as earlier publications.
     """
     history = K.read_table(spark, t.history, S.history_schema(s.targets))
-    if since is not None:
+    stored = K.find_table(spark, t.errors, S.ERRORS)
+    if stored is not None and as_of is not None:
+        since = as_of
+        if changed_from is not None:
+            due = history.where(F.col("forecast_date") >= F.lit(changed_from))
+            since = min(as_of, due.agg(F.min("run_date")).first()[0] or as_of)
         history = history.where(F.col("run_date") >= F.lit(since))
     preds = scoring.predictions(history, s.targets, s.models)
     actuals = P.to_long(stored_panel(spark, t, s).select("date", *s.targets), s.targets, keep_nulls=False)
-    scored = scoring.forecast_errors(preds, actuals)
-    stored = K.read_table(spark, t.errors, S.ERRORS)
+    new = scoring.forecast_errors(preds, actuals)
     runs = preds.select("run_date").distinct()
-    others = stored.join(runs, "run_date", "left_anti")
-    new = scoring.new_publications(scored, others)
+    if stored is not None:
+        new = scoring.new_publications(new, stored.join(runs, "run_date", "left_anti"))
     K.replace_runs(spark, t.errors, S.ERRORS, runs, new, sort=["model", "target", "forecast_date"])
 
 
@@ -167,12 +175,12 @@ def run_daily(
 ) -> None:
     """One day, in order.  ``outside`` holds wide forecasts of models run elsewhere, by label."""
     s = settings or Settings()
-    load_panel(spark, t, s)
+    changed_from, _ = load_panel(spark, t, s)
     forecast_model(spark, t, s, features)
     for model, preds in (outside or {}).items():
         take_forecasts(spark, t, s, model, preds)
     blend_and_archive(spark, t, s, as_of)
     write_log(spark, t, s, as_of, run_ts)
     write_quality(spark, t, s, as_of, run_ts)
-    write_errors(spark, t, s)
+    write_errors(spark, t, s, as_of, changed_from)
     create_views(spark, t, s)

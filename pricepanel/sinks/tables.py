@@ -20,14 +20,20 @@ ESCAPED = set('"#%\'*/:=?\\{[]^\x7f') | {chr(i) for i in range(1, 32)}
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table, or no rows if it was never written."""
+def find_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The table, or None if it was never written."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return None
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table, or no rows if it was never written."""
+    found = find_table(spark, path, schema)
+    return spark.createDataFrame([], schema) if found is None else found
 
 
 def _folder(by: Sequence[str], values: Sequence[object]) -> str:
@@ -50,8 +56,6 @@ def overwrite_partitions(rows: DataFrame, path: str, by: Sequence[str], sort: Se
 
 def _partitions(table: DataFrame, by: Sequence[str]) -> dict[tuple, str]:
     """One file name per partition that has rows.  Reads no data columns."""
-    if not table.inputFiles():
-        return {}
     text = [F.col(c).cast("string").alias(c) for c in by]
     files = table.select(*text, F.col("_metadata.file_path").alias("file"))
     rows = files.groupBy(*by).agg(F.min("file").alias("file")).collect()  # one row per partition
@@ -75,16 +79,19 @@ def replace_rows(
     row of the partitions concerned and may use partition columns only, so that the read is
     pruned to them.  An empty ``new`` still deletes.
     """
-    names = schema.fieldNames()
     touched = gone if touched is None else touched
-    old = read_table(spark, path, schema).where(touched)
+    fitted = new.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+    table = find_table(spark, path, schema)
+    if table is None:
+        overwrite_partitions(fitted, path, by, sort)
+        return
+    old = table.where(touched)
     before = _partitions(old, by)
     kept = old.where(~F.coalesce(gone, F.lit(False)))
-    fitted = new.select(*[F.col(f.name).cast(f.dataType) for f in schema])
-    overwrite_partitions(kept.select(*names).unionByName(fitted), path, by, sort)
+    overwrite_partitions(kept.unionByName(fitted), path, by, sort)
     if before:
         # file names are unique per job: a name that is still there was not overwritten
-        after = _partitions(read_table(spark, path, schema).where(touched), by)
+        after = _partitions(find_table(spark, path, schema).where(touched), by)
         stale = [part for part, file in before.items() if after.get(part) == file]
         _empty_partitions(spark, path, schema, by, stale)
 

@@ -210,6 +210,9 @@ def test_daily_run_twice_leaves_the_same_tables(spark, tmp_path):
     assert panel.where("gold IS NULL").count() == 0 and panel.count() == panel.select("date").distinct().count() == 75
     assert {r.model: r["count"] for r in K.read_table(spark, t.forecasts, tables["forecasts"]).groupBy("model").count().collect()} == {
         "reg": 10, "ext": 10, "mix": 10, "mean": 10}
+    # scoring a day at a time ends in the table a full rebuild gives
+    daily.write_errors(spark, t, s)
+    assert sorted(map(str, K.read_table(spark, t.errors, S.ERRORS).collect())) == seen[1]["errors"]
     # the first run's forecasts meet the actuals of the reload, each target and model
     errors = K.read_table(spark, t.errors, S.ERRORS)
     assert errors.where(F.col("run_date") == F.lit(day(91))).select("model", "target").distinct().count() == 8
