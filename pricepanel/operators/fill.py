@@ -96,6 +96,19 @@ def seeded_fill(
     return wide.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(date, *columns)
 
 
+def seeded_fill_long(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """The same for panels: every series of the batch continues from its newest stored value.
+
+    Stored history is reduced to one row per series before the shuffle.
+    """
+    before = stored.where(F.col("date") < batch.agg(F.min("date")).scalar())
+    seed = before.groupBy("series").agg(F.max_by("value", "date").alias("value"), F.max("date").alias("date"))
+    rows = batch.select("series", "date", "value", F.lit(True).alias("is_new")).unionByName(
+        seed.withColumn("is_new", F.lit(False))
+    )
+    return forward_fill(rows).where("is_new").drop("is_new")
+
+
 def median_fill(
     panel: DataFrame, train: DataFrame | None = None, median_of: str = "raw", default: float | None = 0.0
 ) -> DataFrame:

@@ -92,3 +92,11 @@ def test_seeded_fill_keeps_repeated_dates(spark):
     batch = spark.createDataFrame([(day(1), None, 4.0)] * 3 + [(day(1), 2.0, None), (day(2), None, None)], WIDE)
     got = rows(fill.seeded_fill(stored, batch, ["a", "b"]), "date", "a")
     assert got == [(day(1), 1.0, 4.0)] * 3 + [(day(1), 2.0, 4.0), (day(2), 2.0, 4.0)]
+
+
+def test_seeded_fill_long(spark):
+    stored = spark.createDataFrame([("a", day(0), 1.0), ("a", day(1), 2.0), ("b", day(1), None), ("gone", day(1), 9.0)], LONG)
+    batch = spark.createDataFrame([("a", day(2), None), ("b", day(2), None), ("b", day(3), 4.0), ("new", day(2), None)], LONG)
+    got = rows(fill.seeded_fill_long(stored, batch), "series", "date")
+    assert got == [("a", day(2), 2.0), ("b", day(2), None), ("b", day(3), 4.0), ("new", day(2), None)]
+    assert fill.seeded_fill_long(stored, batch.where("false")).count() == 0

@@ -191,6 +191,18 @@ def f2(spark, sf):
     return fill.seeded_fill(m.where(cut), m.where(~cut), TARGETS)
 
 
+@query("f2b_seeded_fill_long", with_inputs(["gappy_panel"], f"""
+    SELECT series, date, {FFILL.format(o="date")} AS value FROM (
+      SELECT * FROM gappy_panel WHERE date >= DATE '1999-06-01'
+      UNION ALL SELECT * FROM (SELECT * FROM gappy_panel WHERE date < DATE '1999-06-01'
+        QUALIFY row_number() OVER (PARTITION BY series ORDER BY date DESC) = 1))
+    QUALIFY date >= DATE '1999-06-01'"""))
+def f2b(spark, sf):
+    p = gappy_panel(spark, sf)
+    cut = F.col("date") < F.lit(dt.date(1999, 6, 1))
+    return fill.seeded_fill_long(p.where(cut), p.where(~cut))
+
+
 @query("f3_range", with_inputs(["market_wide"], """
     SELECT min(date) AS lo, max(date) AS hi FROM market_wide WHERE brent IS NOT NULL"""))
 def f3(spark, sf):
