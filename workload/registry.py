@@ -6,8 +6,15 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import pricepanel
+
+# Send the package's functions to the workers with the task: the queries are started from any
+# folder, where workers could not import it.  Jobs of one's own ship it with --py-files.
+cloudpickle.register_pickle_by_value(pricepanel)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
