@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import functools
 from collections.abc import Callable
 
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-import pricepanel
-
-# Send the package's functions to the workers with the task: the queries are started from any
-# folder, where workers could not import it.  Jobs of one's own ship it with --py-files.
-cloudpickle.register_pickle_by_value(pricepanel)
+from pricepanel.session import scratch, ship  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,7 +17,12 @@ def query(name: str, sql: str | None = None):
     """Register a query, with its SQL if SQL can express it."""
 
     def add(fn: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)  # the queries are started from any folder
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -44,12 +43,3 @@ def q6(expr: str) -> str:
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
-
-
-def scratch(spark: SparkSession) -> str:
-    """A new folder below the shared checkpoint folder of the cluster; a local one only where
-    none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return f"{base.rstrip('/')}/pricepanel-{uuid.uuid4().hex}"
