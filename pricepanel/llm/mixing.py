@@ -22,7 +22,7 @@ from pricepanel.session import saved
 
 WORD = r"[^\x20\x09-\x0D]+"
 PACKET = 256
-ROWS_PER_RANGE = 10_000
+ROWS_PER_RANGE = 2_000
 MOST_RANGES = 65_536
 
 

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from pricepanel.llm.filters import passes, slot_filter
 from pricepanel.llm.words import pieces, words
 from pricepanel.session import saved, ship
 
@@ -44,7 +45,6 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Words on either side of an entity that count as its context.
 CONTEXT_WORDS = 8
 CONTEXT_CHARS = 400
-FILTER_BITS = 1 << 20
 
 
 def luhn(digits: str) -> bool:
@@ -133,8 +133,8 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def text_counts(docs: DataFrame, keep: np.ndarray) -> DataFrame:
     """term, texts: number of texts that hold each word let through by a filter of word hashes.
 
-    ``keep`` is a table of FILTER_BITS flags, of the same size however many words are asked for;
-    it lets some others through, which the join after it drops.
+    ``keep`` is a filter of fixed size; it lets some others through, which the join after it
+    drops.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +149,7 @@ def text_counts(docs: DataFrame, keep: np.ndarray) -> DataFrame:
         for b in batches:
             for _, _, data, offsets in pieces(b):
                 w = words(data, offsets)
-                pick = keep[(w.hashes & np.uint64(FILTER_BITS - 1)).astype(np.int64)]
+                pick = passes(keep, w.hashes)
                 h, d = w.hashes[pick], w.doc[pick]
                 order = np.lexsort((h, d))
                 h, d = h[order], d[order]
@@ -179,9 +179,7 @@ def find(docs: DataFrame, generalise: float = 0.5, remove: float = 0.8, least_co
     pairs = pairs.where(F.col("together") >= least_contexts)
     holders = near.select("kind", "value", "row").distinct().groupBy("kind", "value").agg(F.count("*").alias("holders"))
     pairs = saved(pairs.join(holders, ["kind", "value"]), "privacy-pairs")
-    keep = np.zeros(FILTER_BITS, bool)
-    slots = pairs.select((F.col("term").bitwiseAND(FILTER_BITS - 1)).alias("slot")).distinct()
-    keep[[r.slot for r in slots.toLocalIterator()]] = True
+    keep = slot_filter(pairs, "term")
     texts = text_counts(docs.select(F.col(text_col).alias("text")), keep)
     total = F.lit(float(max(2, found.count())))
     entity = F.least(F.col("holders") / total, F.lit(0.5))

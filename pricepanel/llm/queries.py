@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricepanel.llm import chat, mixing, privacy, secrets, tokens
+from pricepanel.llm import chat, mixing, neardup, privacy, secrets, tokens
 from pricepanel.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -81,6 +81,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+@query("op7_super_minhash")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op9_owned_secrets")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))

@@ -36,7 +36,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers.get("up", ())) < n:
+    if len(_powers.get("up", ())) <= n:
         size = max(n, PIECE_BYTES)
         for key, base in (("up", _BASE), ("down", _BASE_INVERSE)):
             p = np.full(size, base, np.uint64)
