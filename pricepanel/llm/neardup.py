@@ -6,10 +6,12 @@ later steps are larger, a text is done as soon as the largest of its places is b
 step: long texts need one or two steps, and no place is left to chance as with independent hashes.
 
 Texts with the same shingle set are one class.  Classes that agree in all rows of a band meet in a
-bucket.  In a bucket all are first compared with its least member, which links a large group of
-copies at a cost that grows with its size; classes that then still belong to different components
-are compared with each other.  A bucket of many such classes is cut further by pairs of bands, as
-similar classes share many bands and strangers hardly two.  Links are confirmed on whole sets.
+bucket.  In a bucket all are first compared with its most central member, which links a large group
+of copies at a cost that grows with its size; classes that then still belong to different components
+are compared with each other, unless their differences from that member rule a link out: sets that
+differ from it in D and E can be similar only if D and E have much in common, and what a set
+differs in alone nobody shares.  That bound leaves out the pairs of a large family of edited
+copies without looking at them, and no link.  Links are confirmed on whole sets.
 
 Chance: classes at the limit of 0.8 share no band of 32 with probability 3e-6.
 
@@ -32,8 +34,6 @@ from pricepanel.llm.words import distinct, mix, pieces, shingles, words
 from pricepanel.session import saved, ship
 
 BANDS, ROWS = 32, 5
-#: Classes of different components in one bucket from which the bucket is cut by a second band.
-CROWDED = 64
 _LOW32, _32 = np.uint64(0xFFFFFFFF), np.uint64(32)
 _SECOND = np.uint64(0xA0761D6478BD642F)
 
@@ -124,14 +124,12 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             b = b.filter(pa.array(passes(flags, b.column("text_key").to_numpy())))
             for lo, hi, data, offsets in pieces(b):
                 v, first = _sets(data, offsets, k)
-                raw = v.tobytes()
                 part = b.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("text_key"), pa.array([raw[8 * s:8 * e] for s, e in zip(first[:-1], first[1:])], pa.binary())],
-                    ["doc_id", "text_key", "shingles"])
+                sets = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(v.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_key"), sets], ["doc_id", "text_key", "shingles"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sets = docs.select("doc_id", "text_key", "text").mapInArrow(run, f"doc_id {kind}, text_key long, shingles binary")
+    sets = docs.select("doc_id", "text_key", "text").mapInArrow(run, f"doc_id {kind}, text_key long, shingles array<long>")
     sets = sets.withColumnRenamed("doc_id", "d").withColumnRenamed("text_key", "t")
     return (wanted.join(sets, (F.col("text_key") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")))
             .groupBy("node").agg(F.first("shingles").alias("shingles")))
@@ -143,9 +141,11 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                u, v = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([u, v]), kind="stable")
+            x, y = (batch.column(c) for c in ("x", "y"))
+            (xs, xo), (ys, yo) = ((c.values.to_numpy(), c.offsets.to_numpy()) for c in (x, y))
+            for i in range(batch.num_rows):
+                u, v = xs[xo[i]:xo[i + 1]], ys[yo[i]:yo[i + 1]]
+                both = np.sort(np.concatenate([u, v]))
                 common = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * common >= percent * (len(u) + len(v) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -175,18 +175,39 @@ def _sized(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.where(100 * F.least("n", "other_n") >= percent * F.greatest("n", "other_n"))
 
 
-def across(members: DataFrame, labels: DataFrame, percent: int, crowded: int = CROWDED) -> DataFrame:
-    """Pairs (a, b) of one bucket and different components; ``members(bucket, node, n, bands)``."""
+def differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """head, node, differs, common of ``pairs(head, node)``: in how many shingles the node differs
+    from the head, and in how many of these some other node of that head differs too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (xs, xo), (ys, yo) = ((c.values.to_numpy(), c.offsets.to_numpy()) for c in (batch.column("x"), batch.column("y")))
+            found = [np.setxor1d(xs[xo[i]:xo[i + 1]], ys[yo[i]:yo[i + 1]], assume_unique=True) for i in range(batch.num_rows)]
+            ends = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *found])))
+            yield pa.RecordBatch.from_arrays([batch.column("head"), batch.column("node"), lists], ["head", "node", "shingles"])
+
+    x, y = sets.select(F.col("node").alias("head"), F.col("shingles").alias("x")), sets.select("node", F.col("shingles").alias("y"))
+    each = pairs.join(x, "head").join(y, "node").select("head", "node", "x", "y").mapInArrow(run, "head long, node long, shingles array<long>")
+    each = saved(each, "differences")
+    by_shingle = each.select("head", "node", F.explode("shingles").alias("shingle")).groupBy("head", "shingle").agg(F.count("*").alias("sets"), F.min("node").alias("node"))
+    alone = by_shingle.where("sets = 1").groupBy("head", "node").agg(F.count("*").alias("alone"))
+    each = each.select("head", "node", F.size("shingles").cast("long").alias("differs"))
+    return each.join(alone, ["head", "node"], "left").withColumn("common", F.col("differs") - F.coalesce("alone", F.lit(0))).drop("alone")
+
+
+def across(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one bucket and different components that could be links;
+    ``members(bucket, head, node, n)``."""
     m = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    split = m.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo < hi")
-    m = m.join(split.select("bucket", "size"), "bucket")
-    few = m.where(F.col("size") <= crowded).select(F.struct("bucket", F.lit(0).cast("long").alias("second")).alias("key"), "node", "n", "component")
-    many = (m.where(F.col("size") > crowded).select("bucket", "node", "n", "component", F.explode("bands").alias("second")).where("second != bucket")
-            .select(F.struct("bucket", "second").alias("key"), "node", "n", "component"))
-    m = few.unionByName(many)
-    other = m.select("key", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("component").alias("other_component"))
-    pairs = m.join(other, "key").where((F.col("node") < F.col("other")) & (F.col("component") != F.col("other_component")))
-    return _sized(pairs, percent).select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
+    split = m.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    m = saved(m.join(split.select("bucket"), "bucket"), "open").where("node != head")  # the head is done
+    m = m.join(differences(m.select("head", "node").distinct(), sets), ["head", "node"])
+    other = m.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "n", "component", "differs", "common")])
+    least = F.col("differs") + F.col("other_differs") - 2 * F.least("common", "other_common")  # shingles only one of the two has
+    possible = (100 + percent) * least <= (100 - percent) * (F.col("n") + F.col("other_n"))
+    pairs = m.join(other, "bucket").where((F.col("node") < F.col("other_node")) & (F.col("component") != F.col("other_component")) & possible)
+    return pairs.select(F.col("node").alias("a"), F.col("other_node").alias("b")).distinct()
 
 
 def groups(docs: DataFrame, k: int, percent: int, bands: int, rows: int) -> DataFrame:
@@ -197,16 +218,19 @@ def groups(docs: DataFrame, k: int, percent: int, bands: int, rows: int) -> Data
     classes = saved(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
     filed = classes.select("node", "n", F.explode("bands").alias("bucket"))
-    met = filed.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("size")).where("size > 1")
-    members = saved(filed.join(met.select("bucket", "head"), "bucket"), "members")
+    met = filed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = saved(filed.join(met, "bucket"), "members")
+    # the head of a bucket is the member that meets most others in all its buckets: the least edited
+    central = members.groupBy("node").agg(F.sum("size").alias("meets"))
+    heads = members.join(central, "node").groupBy("bucket").agg(F.max(F.struct("meets", "node", "n")).alias("head"))
+    members = saved(members.join(heads, "bucket").select("bucket", "head", "node", "n"), "members")
     first = members.select("node", "n", F.col("head.node").alias("other"), F.col("head.n").alias("other_n")).where("node != other").distinct()
     pairs = _sized(first, percent).select(F.col("other").alias("a"), F.col("node").alias("b"))
     wanted = members.select("node").distinct().join(classes.select("node", "least.doc_id", "least.text_key"), "node")
     sets = saved(shingle_sets(docs, wanted, k), "sets")
     links = saved(confirmed(pairs, sets, percent), "links")
     labels = components(links)
-    with_bands = members.select("bucket", "node", "n").join(classes.select("node", "bands"), "node")
-    more = saved(confirmed(across(with_bands, labels, percent), sets, percent), "links")
+    more = saved(confirmed(across(members.select("bucket", F.col("head.node").alias("head"), "node", "n"), labels, sets, percent), sets, percent), "links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
