@@ -203,11 +203,13 @@ def across(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int)
     split = m.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     m = saved(m.join(split.select("bucket"), "bucket"), "open").where("node != head")  # the head is done
     m = m.join(differences(m.select("head", "node").distinct(), sets), ["head", "node"])
-    other = m.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "n", "component", "differs", "common")])
+    m = m.join(m.groupBy("node").agg(F.array_sort(F.collect_set("bucket")).alias("buckets")), "node")  # one per band at most
+    other = m.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "n", "component", "differs", "common", "buckets")])
     least = F.col("differs") + F.col("other_differs") - 2 * F.least("common", "other_common")  # shingles only one of the two has
     possible = (100 + percent) * least <= (100 - percent) * (F.col("n") + F.col("other_n"))
-    pairs = m.join(other, "bucket").where((F.col("node") < F.col("other_node")) & (F.col("component") != F.col("other_component")) & possible)
-    return pairs.select(F.col("node").alias("a"), F.col("other_node").alias("b")).distinct()
+    once = F.array_min(F.array_intersect("buckets", "other_buckets")) == F.col("bucket")
+    pairs = m.join(other, "bucket").where((F.col("node") < F.col("other_node")) & (F.col("component") != F.col("other_component")) & possible & once)
+    return pairs.select(F.col("node").alias("a"), F.col("other_node").alias("b"))
 
 
 def groups(docs: DataFrame, k: int, percent: int, bands: int, rows: int) -> DataFrame:
