@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricepanel.llm import chat, mixing, neardup, privacy, secrets, tokens
+from pricepanel.llm import chat, decontaminate, mixing, neardup, privacy, quality, secrets, tokens
 from pricepanel.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+@query("op1_test_leaks")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op2_private_spans")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.report(privacy.find(table(spark, sf_dir, "documents")))
@@ -47,6 +52,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.report(chat.format_conversations(rows))
 
 
+@query("op5_attention_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 _MIX_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key

@@ -23,6 +23,9 @@ _BYTE = _BYTE[LOWER]
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+#: ASCII punctuation, for words without it at their ends.
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 _powers: dict[str, np.ndarray] = {}
 
 PIECE_BYTES = 1 << 20
@@ -82,8 +85,24 @@ def split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Words:
+def trim(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words without ASCII punctuation at either end; words of nothing else are left out."""
+    for _ in range(8):
+        left = (starts < ends) & _PUNCTUATION[data[np.minimum(starts, len(data) - 1)]]
+        starts = starts + left
+        right = (starts < ends) & _PUNCTUATION[data[np.maximum(ends - 1, 0)]]
+        ends = ends - right
+        if not (left.any() or right.any()):
+            break
+    keep = starts < ends
+    starts, ends = starts[keep], ends[keep]
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def words(data: np.ndarray, offsets: np.ndarray, trimmed: bool = False) -> Words:
     starts, ends, first = split(data, offsets)
+    if trimmed and len(starts):
+        starts, ends, first = trim(data, offsets, starts, ends)
     n = len(data)
     up, down = _power_tables(n)
     total = np.zeros(n + 1, np.uint64)
