@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricepanel.llm import chat, decontaminate, mixing, neardup, privacy, quality, secrets, tokens
+from pricepanel.llm import ann, chat, decontaminate, mixing, neardup, ngram_lm, privacy, quality, secrets, tokens
 from pricepanel.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -20,6 +20,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.report(privacy.find(table(spark, sf_dir, "documents")))
 
 
+@query("op3_dimension_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 # Markers and escapes as in chat.py: a text is escaped where it holds a marker or would change
 # when read; every marker and backslash in it then takes one character more.
 _CHAT_SQL = r"""
@@ -96,6 +101,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op8_trie_lm")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(table(spark, sf_dir, "documents"))
+
+
 @query("op9_owned_secrets")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
@@ -106,3 +116,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -128,5 +128,6 @@ def redact(docs: DataFrame, with_text: str = "[SECRET]", most_owners: int = 2) -
     text = F.aggregate(longest_first, F.col("text"), lambda t, v: F.replace(t, v, F.lit(with_text)))
     joined = docs.join(values, docs["doc_id"].eqNullSafe(values["_id"]), "left")
     out = joined.withColumn("text", F.when(F.col("_values").isNull(), F.col("text")).otherwise(text))
-    out = out.withColumn("n_chars", F.when(F.col("_values").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("_values").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)
