@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pricepanel.llm.words import mix, pieces, split, words
+from pricepanel.llm.words import mix, pieces, split, word_hashes
 from pricepanel.session import saved, ship
 
 END = np.uint64(0x5EED0FE11D0C5EED)
@@ -161,14 +161,14 @@ class Chunk:
     def __init__(self, rows: bytes, trains: bytes, offsets: bytes, texts: bytes, size: int) -> None:
         self.rows, self.trains = np.frombuffer(rows, np.int64), np.frombuffer(trains, bool)
         data = np.frombuffer(pa.decompress(texts, decompressed_size=size, codec="zstd", asbytes=True), np.uint8) if size else np.empty(0, np.uint8)
-        t = words(data, np.frombuffer(offsets, np.int64))
-        n = t.counts + 1  # and the end token
+        hashes, counts = word_hashes(data, np.frombuffer(offsets, np.int64))
+        n = counts + 1  # and the end token
         self.first = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
         last = self.first[1:] - 1
         w = np.empty(self.first[-1], np.uint64)
         inside = np.ones(len(w), bool)
         inside[last] = False
-        w[inside], w[last] = t.hashes, END
+        w[inside], w[last] = hashes, END
         before = np.empty_like(w)
         before[1:] = w[:-1]
         before[self.first[:-1]] = END

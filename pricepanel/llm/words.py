@@ -139,6 +139,18 @@ def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE_BYTES
         a = b
 
 
+def word_hashes(data: np.ndarray, offsets: np.ndarray, limit: int = PIECE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words and the number of words of each text, about ``limit`` bytes at a time."""
+    hashes, counts, a, n = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0, len(offsets) - 1
+    while a < n:
+        b = min(n, max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1))
+        w = words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+        hashes.append(w.hashes)
+        counts.append(w.counts)
+        a = b
+    return np.concatenate(hashes), np.concatenate(counts)
+
+
 def shingles(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the k-word shingles of every text, and the first shingle of each text (and
     their number).  A text of fewer words has one, its whole sequence; one without words none."""
