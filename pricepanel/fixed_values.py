@@ -42,7 +42,12 @@ PANEL_COLUMNS = [
 PANEL_DATE = "Date"
 ALTERNATE_NAMES = {"BRK_B": "BRK-B"}
 # Quality checks watch markets, shares and rates; macro columns are not watched.
-WATCHED_COLUMNS = PANEL_COLUMNS[:44]
+WATCHED_COLUMNS = [
+    "petroleo_brent", "oro", "gas_natural", "cobre", "plata", "vix", "sp500", "shanghai", "emergentes",
+    "Nikkei", "DAX", "FTSE", "AAPL", "NVDA", "MSFT", "AMZN", "GOOGL", "BRK_B", "JPM", "UNH", "TSM", "AMD",
+    "SPY", "QQQ", "DIA", "NEM", "KGC", "AEM", "PAAS", "WPM", "AG", "FCX", "SCCO", "BHP", "EQT", "CTRA", "LNG",
+    "XOM", "CVX", "SHEL", "dolar_index", "tasa_10y", "tasa_2y", "tasa_5y",
+]
 
 # Ticker -> column, by source group.
 TARGET_SYMBOLS = {

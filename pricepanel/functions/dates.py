@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def is_business_day(day: Column) -> Column:
@@ -28,3 +28,11 @@ def years_before(day: Column, years: int) -> Column:
 def to_day(value: Column) -> Column:
     """Day of a date, timestamp or text column; NULL where the text is no date."""
     return F.to_date(F.try_to_timestamp(value.cast("string")))
+
+
+def day_of(df: DataFrame, column: str) -> Column:
+    """Day of a column of ``df``; only text is parsed, so a filter on a date column still reaches
+    the scan."""
+    kind = df.schema[column].dataType.typeName()
+    day = F.col(column)
+    return day if kind == "date" else F.to_date(day) if kind.startswith("timestamp") else to_day(day)

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from pricepanel.functions.numbers import divide
+from pricepanel.functions.numbers import clean_number, divide
 
 # ---------------------------------------------------------------- calendar
 
@@ -65,8 +65,8 @@ def pair_sums(wide: DataFrame, columns: Sequence[str], center: bool = True) -> D
     column means are subtracted first: shifted sums lose no digits to large levels.
     """
     names = list(columns)
-    cols = [F.col(f"`{c}`").cast("double").alias(c) for c in names]
-    data = wide.select(*cols)
+    # infinities and NaN count as missing, in the means too
+    data = wide.select(*[clean_number(F.col(f"`{c}`")).alias(c) for c in names])
     if center:
         means = data.agg(*[F.avg(f"`{c}`").alias(f"m{i}") for i, c in enumerate(names)])
         data = data.crossJoin(F.broadcast(means)).select(  # one row

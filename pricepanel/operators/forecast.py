@@ -92,19 +92,27 @@ def fit_and_forecast(y: np.ndarray, x: np.ndarray, x_next: np.ndarray, order: Or
     return {"path": out, "aic": fit + 2 * (k + 1), "bic": fit + np.log(n) * (k + 1)}
 
 
+def _most_common(column: np.ndarray) -> float:
+    """Most frequent number, the lowest on a tie."""
+    values, times = np.unique(column, return_counts=True)
+    return values[times.argmax()]
+
+
 def _covariates(x: np.ndarray, horizon: int, method: str, median_of: str) -> tuple[np.ndarray, np.ndarray]:
-    """Covariate history with gaps filled, and its continuation over the horizon."""
-    raw = pd.DataFrame(x).replace([np.inf, -np.inf], np.nan)
-    filled = raw.ffill()
-    mid = (raw if median_of == "raw" else filled).median().fillna(0.0)
-    filled = filled.fillna(mid)
-    if method == "median":
-        row = mid
-    elif method == "mode":
-        row = filled.mode().iloc[0]
-    else:
-        row = filled.iloc[-1]
-    return filled.to_numpy(), np.repeat(row.to_numpy()[None, :], horizon, axis=0)
+    """Covariate history without gaps, and what stands for each covariate over the horizon.
+
+    A gap takes the newest number before it, a gap at the start the column's median (0 for a
+    column without numbers).
+    """
+    seen = np.isfinite(x)
+    newest = np.maximum.accumulate(np.where(seen, np.arange(len(x))[:, None], -1), axis=0)
+    held = newest >= 0
+    carried = np.take_along_axis(x, np.maximum(newest, 0), axis=0)
+    known = seen if median_of == "raw" else held
+    centre = np.array([np.median(carried[k, j]) if k.any() else 0.0 for j, k in enumerate(known.T)])
+    past = np.where(held, carried, centre)
+    row = {"median": lambda: centre, "mode": lambda: np.array([_most_common(c) for c in past.T]), "last": lambda: past[-1]}[method]()
+    return past, np.tile(row, (horizon, 1))
 
 
 def _attempts(y, x, horizon, order, method, median_of) -> tuple[dict, str]:

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from pricepanel.functions.dates import is_business_day, next_business_days, to_day
+from pricepanel.functions.dates import day_of, is_business_day, next_business_days
 from pricepanel.functions.numbers import clean_number
 
 # ---------------------------------------------------------------- rows
@@ -50,7 +50,7 @@ def sanitize(df: DataFrame, date: str = "date", order: Sequence[str] = ()) -> Da
     if len(keep) < len(df.columns):
         named = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
         df = named.select(*[F.col(f"c{i}").alias(df.columns[i]) for i in keep])
-    day = df.withColumn(date, to_day(F.col(date))).where(F.col(date).isNotNull())
+    day = df.withColumn(date, day_of(df, date)).where(F.col(date).isNotNull())
     last = keep_last(day, [date], list(order))
     return last.drop(*[c for c in order if c != date])
 

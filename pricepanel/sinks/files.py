@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from pricepanel.functions.dates import to_day
+from pricepanel.functions.dates import day_of
 
 
 def write_panel(df: DataFrame, path: str, date: str = "date", name: str = "Date") -> None:
     """Write a wide panel with an explicit DATE column; rows without a date are dropped."""
-    dated = df.withColumn(date, to_day(F.col(date))).where(F.col(date).isNotNull())
+    dated = df.withColumn(date, day_of(df, date)).where(F.col(date).isNotNull())
     dated.withColumnRenamed(date, name).write.mode("overwrite").parquet(path)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from pricepanel.functions.dates import to_day
+from pricepanel.functions.dates import day_of
 from pricepanel.operators.panel import (
     business_days_only, clean_numeric, keep_last, lower_names, to_long,
 )
@@ -28,7 +28,7 @@ def model_panel(table: DataFrame, columns: Sequence[str] | None = None) -> DataF
     if "date" not in df.columns:
         raise ValueError("the table needs a date column")
     values = [c for c in dict.fromkeys(columns or df.columns) if c != "date" and c in df.columns]
-    df = df.select("date", *values).withColumn("date", to_day(F.col("date"))).where(F.col("date").isNotNull())
+    df = df.select("date", *values).withColumn("date", day_of(df, "date")).where(F.col("date").isNotNull())
     return keep_last(clean_numeric(business_days_only(df), values), ["date"], [])
 
 
