@@ -37,7 +37,7 @@ from pricepanel.llm.words import mix, pieces, split, word_hashes
 from pricepanel.session import saved, ship
 
 END = np.uint64(0x5EED0FE11D0C5EED)
-CHUNK_WORDS = 1_500_000
+CHUNK_WORDS = 800_000
 #: Keys a shard is meant to hold.
 SHARD_KEYS = 1_500_000
 STEPS = 6  # codes per doubling
