@@ -66,6 +66,25 @@ def holdout_windows(
     }).drop("e", "have", "at")
 
 
+def calendar_windows(dates: DataFrame, test_rows: int = 63, window: int = 7) -> DataFrame:
+    """``date, window_id, window_start, window_end`` cut once from the panel's distinct dates, the
+    same for every series whatever gaps it has."""
+    days = dates.select("date").where(F.col("date").isNotNull()).distinct()
+    return holdout_windows(days.withColumn("calendar", F.lit(0)), test_rows, window, ["calendar"]).drop("calendar")
+
+
+def skipped_windows(
+    panel: DataFrame, test_rows: int = 63, window: int = 7, min_train: int = 21, keys: Sequence[str] = ("series",),
+) -> DataFrame:
+    """Windows that ``naive_last`` leaves out for their few training rows: ``keys, window_id,
+    train_rows``."""
+    n = panel.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") >= test_rows)
+    ids = F.sequence(F.lit(1).cast("long"), F.lit(test_rows // window).cast("long"))
+    trained = n.withColumn("window_id", F.explode(ids)).withColumn(
+        "train_rows", F.col("n") - test_rows + (F.col("window_id") - 1) * window)
+    return trained.where(F.col("train_rows") < min_train).drop("n")
+
+
 def window_ranges(windows: DataFrame, keys: Sequence[str] = ("series",)) -> DataFrame:
     """One row per window with its bounds."""
     return windows.groupBy(*keys, "window_id").agg(

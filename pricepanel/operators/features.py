@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -119,8 +119,8 @@ def _vifs(r: np.ndarray) -> np.ndarray:
     """Variance inflation factors from a correlation matrix; inf when a column is a linear
     combination of the others."""
     k = len(r)
-    if k == 1:
-        return np.ones(1)
+    if k < 2:
+        return np.ones(k)
     if np.linalg.cond(r) < 1e10:
         out = np.diag(np.linalg.inv(r)).copy()
     else:
@@ -132,6 +132,11 @@ def _vifs(r: np.ndarray) -> np.ndarray:
     return np.where(out > 1e12, np.inf, out)
 
 
+def _varying(r: np.ndarray, at: Iterable[int]) -> list[int]:
+    """The columns among ``at`` that have correlations."""
+    return [i for i in at if np.isfinite(r[i, i])]
+
+
 def _on_matrix(matrix: DataFrame, fn, schema: str) -> DataFrame:
     """Run ``fn`` on the whole k x k matrix.  One group, as small as the column list."""
     return matrix.withColumn("whole", F.lit(True)).groupBy("whole").applyInPandas(fn, schema)
@@ -154,11 +159,18 @@ def correlation_prune(wide: DataFrame, ranked: Sequence[str], threshold: float =
 
 
 def vif_table(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``variable, vif`` of complete, non-constant columns, from one pass over the data."""
+    """``variable, vif`` of complete columns, from one pass over the data.
+
+    A column that does not vary explains nothing and is explained by nothing: its factor is 1.
+    """
     names = list(columns)
 
     def table(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"variable": names, "vif": _vifs(_matrix(pdf, "corr", names))})
+        full = _matrix(pdf, "corr", names)
+        left = _varying(full, range(len(names)))
+        vif = np.ones(len(names))
+        vif[left] = _vifs(full[np.ix_(left, left)])
+        return pd.DataFrame({"variable": names, "vif": vif})
 
     return _on_matrix(correlations(wide, names), table, "variable string, vif double")
 
@@ -168,7 +180,8 @@ def vif_prune(
 ) -> DataFrame:
     """Per target, drop the column with the largest factor until all are within the threshold.
 
-    ``target, variable, kept, drop_step, vif`` (factor at its drop, or at the end).  The data
+    ``target, variable, kept, drop_step, vif`` (factor at its drop, or at the end; 1 for a
+    column that does not vary).  The data
     is read once for all targets and steps: dropping a column only deletes a row and column
     of the correlation matrix.
     """
@@ -178,8 +191,9 @@ def vif_prune(
     def prune(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         target = key[0]
         full = _matrix(pdf, "corr", names)
-        left = [names.index(c) for c in lists[target] if np.isfinite(full[names.index(c)]).any()]
-        rows, step = [], 0
+        asked = [names.index(c) for c in lists[target]]
+        left = _varying(full, asked)
+        rows, step = [(target, names[i], True, None, 1.0) for i in asked if i not in left], 0
         while left:
             v = _vifs(full[np.ix_(left, left)])
             worst = int(np.argmax(v))
@@ -199,39 +213,44 @@ def vif_prune(
     )
 
 
-def vif_prune_raw(wide: DataFrame, columns: Sequence[str], threshold: float = 10.0) -> DataFrame:
-    """The variant without intercept: factors from raw cross products of complete rows; stops
-    at a factor that is not finite, or with ten rows or fewer."""
+def vif_prune_raw(wide: DataFrame, columns: Sequence[str], threshold: float = 10.0, min_rows: int = 11) -> DataFrame:
+    """The variant without intercept: ``variable, kept, status`` from raw cross products of
+    complete rows.
+
+    Status ``pruned`` for all variables if the walk ended by itself, ``not_finite`` if it
+    stopped at a factor that is not finite, ``few_rows`` if fewer than ``min_rows`` complete rows
+    leave every column in.
+    """
     names = list(columns)
     complete = wide.select(*names).dropna()
 
     def prune(pdf: pd.DataFrame) -> pd.DataFrame:
         s, n = _matrix(pdf, "sab", names), pdf["n"].max()
-        left = list(range(len(names)))
-        while len(left) > 1 and n > 10:
+        left, status = list(range(len(names))), "pruned" if n >= min_rows else "few_rows"
+        while len(left) > 1 and n >= min_rows:
             m = s[np.ix_(left, left)]
             scale = np.sqrt(np.diag(m))
-            scaled = m / np.outer(scale, scale)
-            if not np.isfinite(scaled).all():
+            with np.errstate(all="ignore"):
+                scaled = m / np.outer(scale, scale)
+            v = _vifs(scaled) if np.isfinite(scaled).all() else scaled
+            if not np.isfinite(v).all():
+                status = "not_finite"
                 break
-            v = _vifs(scaled)
-            if not np.isfinite(v).all() or v.max() <= threshold:
+            if v.max() <= threshold:
                 break
             left.pop(int(np.argmax(v)))
-        return pd.DataFrame({"variable": [names[i] for i in left]})
+        return pd.DataFrame({"variable": names, "kept": [i in left for i in range(len(names))], "status": status})
 
-    return _on_matrix(pair_sums(complete, names, center=False), prune, "variable string")
+    return _on_matrix(pair_sums(complete, names, center=False), prune, "variable string, kept boolean, status string")
 
 
 def resolve_features(config: DataFrame, columns: Sequence[str], max_features: int | None = None) -> DataFrame:
     """Configured features (``target, variable, position``) with a flag whether the panel has
-    them, so that names that match nothing are seen and not silently skipped."""
-    if max_features is not None:
-        w = W.partitionBy("target").orderBy("position")
-        config = (
-            config.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= max_features).drop("rn")
-        )
-    return config.withColumn("found", F.col("variable").isin(list(columns)))
+    them (``found``) and whether they are among the target's first ``max_features`` (``chosen``):
+    names that match nothing or come too late are seen and not silently skipped."""
+    place = F.row_number().over(W.partitionBy("target").orderBy("position", "variable"))
+    chosen = F.lit(True) if max_features is None else place <= max_features
+    return config.withColumns({"found": F.col("variable").isin(list(columns)), "chosen": chosen})
 
 
 # ---------------------------------------------------------------- transforms
@@ -288,7 +307,9 @@ def power_transform(y: np.ndarray, kind: str, lam: float, shift: float = 0.0) ->
 def best_lambda(y: np.ndarray, kind: str, low: float = -8.0, high: float = 10.0) -> tuple[float, float]:
     """Parameter with the highest profile likelihood, and the shift that makes values positive.
 
-    A coarse grid finds the hill, a golden-section search its top.
+    A coarse grid finds the hill, a golden-section search its top.  ``low`` and ``high`` are
+    where the search starts, not limits: a side on which the likelihood still rises is moved out
+    until it falls or is no longer a number.
     """
     if kind not in ("yeojohnson", "boxcox"):
         return 0.0, 0.0
@@ -297,28 +318,38 @@ def best_lambda(y: np.ndarray, kind: str, low: float = -8.0, high: float = 10.0)
         shift = 1e-6 - float(y.min())
     if np.ptp(y) == 0:
         return 1.0, shift  # constant series: nothing to fit
-    if kind == "yeojohnson":
-        slope = float(np.sum(np.sign(y) * np.log1p(np.abs(y))))
-    else:
-        slope = float(np.sum(np.log(np.maximum(y + shift, 1e-12))))
-
     n = len(y)
     values, times = np.unique(y, return_counts=True)  # repeated values are transformed once
+    one_sided = kind == "boxcox" or values[0] >= 0
+    if one_sided:
+        # over the geometric mean: the same likelihood but for a constant, and nothing overflows
+        logs = np.log(np.maximum(values + shift, 1e-12)) if kind == "boxcox" else np.log1p(values)
+        logs = logs - times @ logs / n
+        slope = 0.0
+    else:
+        slope = float(times @ (np.sign(values) * np.log1p(np.abs(values))))
 
     def likelihood(lam: float) -> float:
         with np.errstate(all="ignore"):
-            t = power_transform(values, kind, lam, shift)
+            if not one_sided:
+                t = power_transform(values, kind, lam, shift)
+            else:
+                t = logs if abs(lam) < 1e-12 else np.expm1(lam * logs) / lam
             var = float(times @ (t - times @ t / n) ** 2 / n)
         if not np.isfinite(var) or var <= 0:
             return -np.inf
         return -n / 2 * np.log(var) + (lam - 1) * slope
 
-    grid = np.linspace(low, high, 37)
-    tries = [likelihood(x) for x in grid]
-    if not np.isfinite(max(tries)):
-        return 1.0, shift
-    i = int(np.argmax(tries))
-    a, b = grid[max(i - 1, 0)], grid[min(i + 1, len(grid) - 1)]
+    while True:
+        grid = np.linspace(low, high, 37)
+        tries = [likelihood(x) for x in grid]
+        if not np.isfinite(max(tries)):
+            return 1.0, shift
+        i = int(np.argmax(tries))
+        if 0 < i < len(grid) - 1:
+            break
+        low, high = (low - (high - low), high) if i == 0 else (low, high + (high - low))
+    a, b = grid[i - 1], grid[i + 1]
     ratio = (np.sqrt(5) - 1) / 2
     c, d = b - ratio * (b - a), a + ratio * (b - a)
     fc, fd = likelihood(c), likelihood(d)

@@ -1,13 +1,17 @@
-"""Forecast jobs: one regression per (target, window), all of them in parallel.
+"""Forecast jobs: one regression per (target, window, grid point), all of them in parallel.
 
 The bundled estimator is least squares on differenced, power-transformed values with
 autoregressive, seasonal and covariate terms; moving-average terms use the residuals of a
 long autoregression (the two-stage method of Hannan and Rissanen).  It is not a state-space
 likelihood fit: its numbers differ from one.  Forecasts of outside models come in as tables.
 
-Spark partitions the work by (target, window); windows, training rows, inverse transform and
-scoring are Spark expressions.  A task sees one daily series at a time, at most 366 rows per
-year, to fit its transform and solve its regression.
+Spark partitions the work by target, and in backtests by (target, window, grid point): every
+fit is a group of its own.  Windows, training rows, inverse transform and scoring are Spark
+expressions.  A fit sees one daily series, at most 366 rows per year.
+
+``status`` says how a forecast came about: ``covariates``, ``no_covariates``, ``naive`` (only
+where a fallback is asked for), ``failed`` (no fit, NULL forecast), ``no_rows`` (the target has
+no value, NULL forecast) or, in backtests, ``few_rows`` (window skipped, NULL forecast).
 """
 
 from __future__ import annotations
@@ -20,8 +24,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pricepanel.functions.dates import next_business_days
 from pricepanel.functions.transforms import inverse
-from pricepanel.operators.features import best_lambda, power_transform, spread
-from pricepanel.operators.scoring import fold_summary, ljung_box
+from pricepanel.operators.features import best_lambda, fit_lambda, power_transform, spread
+from pricepanel.operators.scoring import fold_summary, ljung_box, rank_grid
 
 # (p, d, q), (P, D, Q, s)
 Order = tuple[tuple[int, int, int], tuple[int, int, int, int]]
@@ -43,7 +47,9 @@ def _design(y: np.ndarray, e: np.ndarray, x: np.ndarray, ar: list[int], ma: list
 def fit_and_forecast(y: np.ndarray, x: np.ndarray, x_next: np.ndarray, order: Order) -> dict:
     """Forecast ``len(x_next)`` steps; ``x``/``x_next`` may have no columns.
 
-    Returns the path and the Gaussian AIC and BIC of the regression.
+    Returns the path and the Gaussian AIC and BIC of the regression.  Raises ``ValueError``
+    where there are too few rows for the terms.  The long autoregression behind moving-average
+    terms has as many lags as the longest term of the model and five more.
     """
     (p, d, q), (sp, sd, sq, s) = order
     lags = [1] * d + [s] * (sd if s else 0)
@@ -61,7 +67,9 @@ def fit_and_forecast(y: np.ndarray, x: np.ndarray, x_next: np.ndarray, order: Or
 
     e = np.zeros(len(z))
     if ma:
-        m = min(max(ma + ar) + 5, len(z) // 4)
+        m = max(ma + ar) + 5
+        if len(z) - m <= m + xz.shape[1]:
+            raise ValueError(f"{len(z)} rows for {m} lags")
         long_ar = _design(z, e, xz, list(range(1, m + 1)), [], m)
         e[m:] = z[m:] - long_ar @ np.linalg.lstsq(long_ar, z[m:], rcond=None)[0]
         start = m + max(ma)
@@ -115,19 +123,23 @@ def _covariates(x: np.ndarray, horizon: int, method: str, median_of: str) -> tup
     return past, np.tile(row, (horizon, 1))
 
 
-def _attempts(y, x, horizon, order, method, median_of) -> tuple[dict, str]:
-    """With covariates, then without, then the last value repeated."""
+def _attempts(y, x, horizon, order, method, median_of, fallback, min_rows) -> tuple[dict, str]:
+    """The model with its covariates; with ``fallback`` then without them, then the last value
+    repeated, which is also all a series of fewer than ``min_rows`` rows gets."""
     none = np.zeros((len(y), 0))
-    if len(y) >= max(20, 3 * horizon):
-        tries = [("no_covariates", none, np.zeros((horizon, 0)))]
-        if x.shape[1]:
-            tries.insert(0, ("covariates", *_covariates(x, horizon, method, median_of)))
-        for status, past, ahead in tries:
-            try:
-                return fit_and_forecast(y, past, ahead, order), status
-            except (ValueError, np.linalg.LinAlgError):
-                continue
-    return {"path": np.repeat(y[-1], horizon), "aic": None, "bic": None}, "naive"
+    tries = [("no_covariates", none, np.zeros((horizon, 0)))]
+    if x.shape[1]:
+        with_x = ("covariates", *_covariates(x, horizon, method, median_of))
+        tries = [with_x, *tries] if fallback else [with_x]
+    if fallback and len(y) < min_rows:
+        tries = []
+    for status, past, ahead in tries:
+        try:
+            return fit_and_forecast(y, past, ahead, order), status
+        except (ValueError, np.linalg.LinAlgError):
+            continue
+    path = np.repeat(y[-1] if fallback else np.nan, horizon)
+    return {"path": path, "aic": None, "bic": None}, "naive" if fallback else "failed"
 
 
 # ---------------------------------------------------------------- jobs
@@ -153,27 +165,23 @@ def target_rows(wide: DataFrame, features: Mapping[str, Sequence[str]], keep: Se
 
 
 FIT_SCHEMA = (
-    "grid_point long, step long, t_hat double, lam double, shift double, y_base double, train_rows long, "
+    "step long, t_hat double, lam double, shift double, y_base double, train_rows long, "
     "aic double, bic double, status string"
 )
 FIT_COLUMNS = [part.split()[0] for part in FIT_SCHEMA.split(", ")]
 
 
 def _fit_rows(
-    pdf: pd.DataFrame, horizon: int, orders: Sequence[Order], kind: str, method: str, median_of: str,
-    power: tuple[float, float] | None = None,
+    pdf: pd.DataFrame, horizon: int, order: Order, kind: str, method: str, median_of: str, fallback: bool,
+    min_rows: int, power: tuple[float, float] | None = None,
 ) -> list[tuple]:
-    """One row of ``FIT_COLUMNS`` per order and step for the training rows ``date, y, x``."""
+    """One row of ``FIT_COLUMNS`` per step for the training rows ``date, y, x``."""
     y = pdf["y"].to_numpy("float64")
     x = np.vstack(pdf["x"].to_numpy()).astype("float64") if len(pdf["x"].iloc[0]) else np.zeros((len(y), 0))
     lam, shift = power or best_lambda(y, kind)
-    t = power_transform(y, kind, lam, shift)
-    out = []
-    for i, order in enumerate(orders):
-        fit, status = _attempts(t, x, horizon, order, method, median_of)
-        out += [(i + 1, h + 1, float(v), lam, shift, y[-1], len(y), fit["aic"], fit["bic"], status)
-                for h, v in enumerate(fit["path"])]
-    return out
+    fit, status = _attempts(power_transform(y, kind, lam, shift), x, horizon, order, method, median_of, fallback, min_rows)
+    return [(h + 1, None if np.isnan(v) else float(v), lam, shift, y[-1], len(y), fit["aic"], fit["bic"], status)
+            for h, v in enumerate(fit["path"])]
 
 
 def _back(transform: str, clipped: bool) -> Column:
@@ -183,13 +191,22 @@ def _back(transform: str, clipped: bool) -> Column:
 def forecast(
     rows: DataFrame, horizon: int, orders: Mapping[str, Order], model: str, transform: str = "yeojohnson",
     method: str = "last", median_of: str = "raw", default: Order = ((1, 1, 0), (0, 0, 0, 0)),
+    fallback: bool = False, min_rows: int | None = None, targets: Sequence[str] | None = None,
 ) -> DataFrame:
     """``forecast_date, model, target, predicted, status`` for the next business days after the
-    newest date with any target value.  ``rows`` as from ``target_rows``."""
+    newest date with any target value.  ``rows`` as from ``target_rows``.
+
+    ``fallback``: a target that cannot be fitted, or has fewer than ``min_rows`` values (default
+    three horizons, at least 20), repeats its last value; otherwise its forecasts are NULL with
+    status ``failed``.  ``targets`` lists those that must appear: one without any value gets
+    NULL forecasts with status ``no_rows``.
+    """
+    least = max(20, 3 * horizon) if min_rows is None else min_rows
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         target = pdf["target"].iloc[0]
-        fits = _fit_rows(pdf.sort_values("date"), horizon, [orders.get(target, default)], transform, method, median_of)
+        fits = _fit_rows(pdf.sort_values("date"), horizon, orders.get(target, default), transform, method,
+                         median_of, fallback, least)
         return pd.DataFrame([(target, *f) for f in fits], columns=["target", *FIT_COLUMNS])
 
     kind = dict(rows.dtypes)["target"]
@@ -197,8 +214,14 @@ def forecast(
     days = rows.agg(F.max("date").alias("last")).select(
         F.posexplode(next_business_days(F.col("last"), horizon)).alias("i", "forecast_date")
     ).select((F.col("i") + 1).cast("long").alias("step"), "forecast_date")
-    return fits.join(F.broadcast(days), "step").select(  # horizon rows
-        "forecast_date", F.lit(model).alias("model"), "target", _back(transform, False).alias("predicted"), "status"
+    if targets is None:
+        dated = fits.join(F.broadcast(days), "step")  # horizon rows
+    else:
+        asked = days.withColumn("target", F.explode(F.array(*[F.lit(t).cast(kind) for t in targets])))
+        dated = asked.join(fits, ["target", "step"], "left")
+    return dated.select(
+        "forecast_date", F.lit(model).alias("model"), "target", _back(transform, False).alias("predicted"),
+        F.coalesce("status", F.lit("no_rows")).alias("status"),
     )
 
 
@@ -206,56 +229,78 @@ def backtest(
     rows: DataFrame, windows: DataFrame, horizon: int, orders: Mapping[str, Sequence[Order]], model: str,
     transform: str = "yeojohnson", method: str = "last", median_of: str = "raw", min_train: int = 21,
     default: Sequence[Order] = (((1, 1, 0), (0, 0, 0, 0)),), lambda_from: str = "window",
+    fallback: bool = False, min_rows: int | None = None,
 ) -> DataFrame:
     """Backtest records of every target, window and grid point.
 
     ``rows`` as from ``target_rows``; ``windows``: ``target, window_id, window_start, date,
     y_true``, one row per day to predict.  The power parameter comes from the training rows of
     each window, or, with ``lambda_from="global"``, from all rows of the target.  Training rows
-    are the rows before the window; the base is the last of them.
+    are the rows before the window; the base is the last of them.  A window with fewer than
+    ``min_train`` training rows keeps its records, with NULL forecasts and status ``few_rows``.
 
-    Each series is shuffled once and meets its windows as a co-group, instead of once per
-    window.
+    A target's rows are copied to each of its fits, so that a fit, by far the dearer part, is
+    the unit of work: tasks grow with windows and grid points, not with targets alone.
     """
     if lambda_from not in ("window", "global"):
         raise ValueError("lambda_from must be 'window' or 'global'")
-    names = ["target", "window_id", "window_start"]
-    # new column ids: rows and windows usually come from the same table
-    bounds = windows.select(*[F.col(c).alias(c) for c in names]).distinct()
-
-    def run(pdf: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(pdf) and len(spans):
-            target = pdf["target"].iloc[0]
-            pdf = pdf.sort_values("date")
-            power = best_lambda(pdf["y"].to_numpy("float64"), transform) if lambda_from == "global" else None
-            for span in spans.itertuples():
-                train = pdf[pdf["date"] < span.window_start]
-                if len(train) >= min_train:
-                    fits = _fit_rows(train, horizon, orders.get(target, default), transform, method, median_of, power)
-                    out += [(target, span.window_id, *f) for f in fits]
-        return pd.DataFrame(out, columns=["target", "window_id", *FIT_COLUMNS])
-
+    least = max(20, 3 * horizon) if min_rows is None else min_rows
+    keys = ["target", "window_id", "grid_point"]
     kind = dict(rows.dtypes)["target"]
-    fits = (
-        spread(rows, ["target"]).groupBy("target")
-        .cogroup(spread(bounds, ["target"]).groupBy("target"))
-        .applyInPandas(run, f"target {kind}, window_id long, {FIT_SCHEMA}")
-    )
-    keys = ["target", "window_id"]
-    steps = windows.withColumn(
-        "step", F.row_number().over(W.partitionBy(*keys).orderBy("date")).cast("long")
-    )
-    return fits.join(steps.select(*keys, "step", "date", "y_true"), [*keys, "step"]).select(
+    counts = F.create_map(*[F.lit(v) for t, o in orders.items() for v in (t, len(o))]) if orders else F.create_map()
+    points = F.coalesce(F.try_element_at(counts, F.col("target").cast("string")), F.lit(len(default))) if orders else F.lit(len(default))
+    # new column ids: rows and windows usually come from the same table
+    names = ["target", "window_id", "window_start"]
+    bounds = windows.select(*[F.col(c).alias(c) for c in names]).distinct().withColumn(
+        "grid_point", F.explode(F.sequence(F.lit(1).cast("long"), points.cast("long"))))
+    past = rows.join(bounds, "target").where(F.col("date") < F.col("window_start"))
+    if lambda_from == "global":
+        past = past.join(fit_lambda(rows, transform, ["target"], "y"), "target")
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        target, window_id, point = key
+        fits = []
+        if len(pdf) >= min_train:
+            power = (pdf["lam"].iloc[0], pdf["shift"].iloc[0]) if "lam" in pdf else None
+            order = orders.get(target, default)[point - 1]
+            fits = _fit_rows(pdf.sort_values("date"), horizon, order, transform, method, median_of, fallback, least, power)
+        return pd.DataFrame([(*key, *f) for f in fits], columns=[*keys, *FIT_COLUMNS])
+
+    fits = spread(past, keys).groupBy(*keys).applyInPandas(
+        run, f"target {kind}, window_id long, grid_point long, {FIT_SCHEMA}")
+    by_date = W.partitionBy(*keys).orderBy("date")
+    steps = windows.select("target", "window_id", "date", "y_true").join(
+        bounds.select(*keys), ["target", "window_id"]
+    ).withColumn("step", F.row_number().over(by_date).cast("long"))
+    return steps.join(fits, [*keys, "step"], "left").select(
         "target", F.lit(model).alias("model"), "grid_point", "window_id", "date", "y_true",
-        _back(transform, True).alias("y_pred"), "y_base", "aic", "bic", "status",
+        _back(transform, True).alias("y_pred"), "y_base", "aic", "bic",
+        F.coalesce("status", F.lit("few_rows")).alias("status"),
     )
 
 
+FITTED = ("covariates", "no_covariates")
+
+
 def grid_results(records: DataFrame, lags: int = 10) -> DataFrame:
-    """Fold summary, information criteria and whiteness of every grid point."""
+    """Fold summary, information criteria and whiteness of every grid point.
+
+    Only windows whose model was fitted count; ``windows`` and ``fitted`` say how many there
+    were and how many were fitted.  A point without a fitted window keeps its row, with NULLs.
+    """
     by = ["target", "model", "grid_point"]
-    criteria = records.groupBy(*by, "window_id").agg(F.first("aic").alias("aic"), F.first("bic").alias("bic"))
-    means = criteria.groupBy(*by).agg(F.avg("aic").alias("aic_mean"), F.avg("bic").alias("bic_mean"))
-    white = ljung_box(records.withColumn("residual", F.col("y_true") - F.col("y_pred")), lags, by=by)
-    return fold_summary(records, by).join(means, by).join(white.select(*by, "lb_pvalue", "lb_ok"), by)
+    ok = F.col("status").isin(*FITTED)
+    windows = records.groupBy(*by, "window_id").agg(
+        F.max(ok).alias("ok"), F.max(F.when(ok, F.col("aic"))).alias("aic"), F.max(F.when(ok, F.col("bic"))).alias("bic"))
+    means = windows.groupBy(*by).agg(
+        F.count("*").alias("windows"), F.count_if("ok").alias("fitted"), F.avg("aic").alias("aic_mean"), F.avg("bic").alias("bic_mean"))
+    fitted = records.where(ok)
+    white = ljung_box(fitted.withColumn("residual", F.col("y_true") - F.col("y_pred")), lags, by=by)
+    return means.join(fold_summary(fitted, by), by, "left").join(white.select(*by, "lb_pvalue", "lb_ok"), by, "left")
+
+
+def rank_fitted(results: DataFrame) -> DataFrame:
+    """``rank_grid`` over the points fitted in every window; the others follow without a rank."""
+    whole = F.col("fitted") == F.col("windows")
+    rest = results.where(~whole).withColumn("rank", F.lit(None).cast("long"))
+    return rank_grid(results.where(whole)).unionByName(rest)

@@ -177,13 +177,14 @@ def latest_null(long: DataFrame, review: Review, dates: DataFrame | None = None)
 def newest_observations(long: DataFrame, n_dates: int) -> DataFrame:
     """Non-null values of each series' ``n_dates`` newest dates: ``series, date, value, copies``.
 
-    Identical copies of a row are counted before the shuffle instead of carried, and the rank
-    limit is applied on both sides of it, so neither a hot series nor a hot group of copies
-    reaches one task.
+    Every input partition first keeps its own ``n_dates`` newest dates of each series, so older
+    history is never shuffled.  What is left is counted per distinct row before the next
+    shuffle, so neither a hot series nor a hot group of copies reaches one task.
     """
-    copies = long.where(F.col("value").isNotNull()).groupBy("series", "date", "value").agg(
-        F.count("*").alias("copies")
-    )
+    seen = long.where(F.col("value").isNotNull()).withColumn("part", F.spark_partition_id())
+    own = W.partitionBy("series", "part").orderBy(F.desc("date"))
+    near = seen.withColumn("rank", F.dense_rank().over(own)).where(F.col("rank") <= n_dates)
+    copies = near.groupBy("series", "date", "value").agg(F.count("*").alias("copies"))
     by_date = W.partitionBy("series").orderBy(F.desc("date"))
     ranked = copies.withColumn("rank", F.dense_rank().over(by_date))
     return ranked.where(F.col("rank") <= n_dates).drop("rank")

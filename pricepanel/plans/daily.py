@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pricepanel import fixed_values as fv, schema as S
 from pricepanel.operators import blend, fill, forecast as fc, panel as P, quality, report, runlog, scoring
+from pricepanel.session import saved
 from pricepanel.sinks import tables as K
 from pricepanel.sources.files import model_panel, read_panel
 
@@ -60,7 +61,7 @@ class Settings:
 def raw_rows(spark: SparkSession, t: Tables, s: Settings) -> DataFrame:
     raw = read_panel(spark, t.raw)
     fitted = P.reconcile(raw, S.panel_schema(s.columns, s.raw_date), s.alternates)
-    return fitted.withColumnRenamed(s.raw_date, "date")
+    return P.clean_numeric(fitted.withColumnRenamed(s.raw_date, "date"), s.columns)  # NaN is no value
 
 
 def load_panel(spark: SparkSession, t: Tables, s: Settings) -> tuple[dt.date | None, dt.date | None]:
@@ -82,13 +83,20 @@ def stored_panel(spark: SparkSession, t: Tables, s: Settings) -> DataFrame:
 
 
 def forecast_model(spark: SparkSession, t: Tables, s: Settings, features: Mapping[str, Sequence[str]]) -> None:
-    """Fit the bundled estimator for all targets and replace its rows."""
+    """Fit the bundled estimator for all targets and replace its rows.
+
+    Raises ``ValueError``, with the stored rows untouched, where a target has no values or its
+    model cannot be fitted.
+    """
     lists = {x.lower(): [f.lower() for f in features.get(x, [])] for x in s.targets}
     needed = [*lists, *{f for fs in lists.values() for f in fs}]
     wide = model_panel(stored_panel(spark, t, s), needed)
     rows = fc.target_rows(wide, lists)
     orders = {k.lower(): v for k, v in s.orders.items()}
-    long = fc.forecast(rows, s.horizon, orders, s.model_a, s.transform)
+    long = saved(fc.forecast(rows, s.horizon, orders, s.model_a, s.transform, targets=list(lists)))
+    lost = long.where(F.col("predicted").isNull()).select("target", "status").distinct().collect()  # targets
+    if lost or not long.take(1):
+        raise ValueError("no forecast for " + (", ".join(sorted(f"{r.target} ({r.status})" for r in lost)) or "any target"))
     names = {x.lower(): x for x in s.targets}
     preds = P.to_wide(long, list(names), ["forecast_date", "model"], series="target", value="predicted")
     K.replace_model(spark, t.forecasts, S.forecast_schema(s.targets), s.model_a, preds.withColumnsRenamed(names))

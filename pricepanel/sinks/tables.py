@@ -3,8 +3,10 @@
 Plain files have no DELETE.  A slice is replaced by rewriting just the partitions it touches
 with Spark's dynamic partition overwrite: the job writes to a staging folder and partitions
 are swapped in when all tasks are done, so the table may be read by the same job, and a lost
-executor only repeats its tasks.  Partitions left without rows are emptied afterwards.  All
-writers can be repeated after a failure and end in the same state.
+executor only repeats its tasks.  Partitions left without rows are emptied afterwards.  A writer
+can be repeated after a failure and ends in the same state, with one exception: a driver lost
+while the staged partitions are renamed, the last step, can leave a partition out, and
+``replace_range`` has then lost the rows it kept of the range's two boundary months.
 """
 
 from __future__ import annotations

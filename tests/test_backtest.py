@@ -129,14 +129,23 @@ def rows_frame(spark, sizes, k=0, seed=0):
 
 def test_forecast_job_falls_back_and_dates_are_business_days(spark):
     df = rows_frame(spark, {"long": 200, "tiny": 5, "mid": 40}, k=2)
-    out = fc.forecast(df, 5, {"long": ((2, 1, 1), (1, 0, 0, 5))}, "m").orderBy("target", "forecast_date").collect()
+    def run(rows, **more):
+        return fc.forecast(rows, 5, {"long": ((2, 1, 1), (1, 0, 0, 5))}, "m", **more).orderBy("target", "forecast_date").collect()
+
+    out = run(df, fallback=True)
     status = {r.target: r.status for r in out}
     assert status == {"long": "covariates", "tiny": "naive", "mid": "covariates"}
     assert len(out) == 15 and all(r.forecast_date.weekday() < 5 for r in out)
     last = df.where("target = 'tiny'").orderBy(F.desc("date")).first().y
     assert all(r.predicted == pytest.approx(last) for r in out if r.target == "tiny")
-    again = fc.forecast(df.repartition(2), 5, {"long": ((2, 1, 1), (1, 0, 0, 5))}, "m").orderBy("target", "forecast_date")
-    assert [r.predicted for r in again.collect()] == pytest.approx([r.predicted for r in out], rel=1e-9)
+    again = run(df.repartition(2), fallback=True)
+    assert [r.predicted for r in again] == pytest.approx([r.predicted for r in out], rel=1e-9)
+    # without a fallback nothing is made up, and no asked target is left out
+    strict = run(df, targets=["long", "tiny", "mid", "none"])
+    assert {(r.target, r.status, r.predicted is None) for r in strict} == {
+        ("long", "covariates", False), ("mid", "covariates", False), ("tiny", "failed", True), ("none", "no_rows", True)}
+    assert len(strict) == 20
+    assert {r.status for r in run(df, fallback=True, min_rows=41) if r.target == "mid"} == {"naive"}
 
 
 def test_target_rows_skip_missing_features(spark):
@@ -164,3 +173,25 @@ def test_backtest_uses_only_earlier_rows(spark, lambda_from):
     np.testing.assert_allclose([v for _, v in mine], path, rtol=1e-9)
     ranked = M.rank_grid(fc.grid_results(rec))
     assert ranked.count() == 3 and ranked.where("lb_pvalue IS NULL").count() == 0
+
+
+def test_skipped_windows_and_failed_fits_keep_their_records(spark):
+    df = rows_frame(spark, {"a": 40, "b": 90})
+    held = bt.holdout_windows(df.drop("x"), 28, 7, ["target"]).withColumnRenamed("y", "y_true")
+    orders = {"a": [((1, 1, 0), (0, 0, 0, 0)), ((9, 1, 9), (0, 0, 0, 0))]}
+    rec = fc.backtest(df, held, 7, orders, "m", transform="none").cache()
+    a = {(r.window_id, r.grid_point): r for r in rec.where("target = 'a'").collect()}
+    assert {k: r.status for k, r in a.items()} == {
+        (w, g): "few_rows" if w < 3 else "no_covariates" if g == 1 else "failed" for w in (1, 2, 3, 4) for g in (1, 2)}
+    assert all((r.y_pred is None) == (r.status != "no_covariates") for r in a.values())
+    ranked = {(r.target, r.grid_point): r for r in fc.rank_fitted(fc.grid_results(rec, 3)).collect()}
+    assert {k: (r.windows, r.fitted, r.rank) for k, r in ranked.items()} == {
+        ("a", 1): (4, 2, None), ("a", 2): (4, 0, None), ("b", 1): (4, 4, 1)}
+    assert [tuple(r) for r in bt.skipped_windows(df, 28, 7, 21, ["target"]).orderBy("window_id").collect()] == [("a", 1, 12), ("a", 2, 19)]
+
+
+def test_windows_of_one_calendar(spark):
+    df = spark.createDataFrame([(day(i), float(i)) for i in range(30) for _ in range(2)], "date date, a double")
+    got = bt.calendar_windows(df, 14, 7).orderBy("date").collect()
+    assert [(r.date, r.window_id, r.window_start, r.window_end) for r in got] == [
+        (day(i), 1 if i < 23 else 2, day(16 if i < 23 else 23), day(22 if i < 23 else 29)) for i in range(16, 30)]

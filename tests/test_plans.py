@@ -47,12 +47,20 @@ def test_wide_to_long_is_one_scan(spark):
 
 def test_rank_limits_cut_before_the_shuffle(spark):
     p = inputs.supplier_panel(spark, SF)
-    for df in (bt.newest_rows(p, 63), Q.newest_observations(p, 31), bt.holdout_windows(p)):
+    for df in (bt.newest_rows(p, 63), bt.holdout_windows(p)):
         text = plan(df)
         partial = text.index("Partial")  # below (after) the exchange it feeds
         assert text.count("WindowGroupLimit") >= 2 and "Exchange hashpartitioning(series" in text[:partial]
 
 
+def test_value_checks_never_shuffle_history(spark, tmp_path):
+    path = str(tmp_path / "panel")
+    inputs.supplier_panel(spark, SF).write.parquet(path)
+    text = plan(Q.newest_observations(spark.read.parquet(path), 31))
+    first = text.rindex("Exchange ")  # the lowest one
+    assert "WindowGroupLimit [series" in text[first:] and "Partial" in text[first:]
+
+
 def test_scoring_ends_without_another_shuffle(spark):
     preds = M.one_prediction(inputs.supplier_forecasts(spark, SF))
     text = plan(M.forecast_errors(preds, inputs.supplier_panel(spark, SF)))

@@ -99,17 +99,22 @@ def q2(spark, sf):
     return shown(Q.duplicate_dates(table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("date")), REVIEW), True)
 
 
-@query("q3_gaps", check_sql(GAPS, "thin", inputs=["supplier_panel"], more={
-    "thin": "SELECT DISTINCT date FROM supplier_panel WHERE value >= 95", "missing": MISSING.format(p="thin")}))
+def urgent_days(spark, sf):
+    """Days with urgent orders: a series with gaps."""
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    return table(spark, sf, "orders").where(urgent).select(F.to_date("o_orderdate").alias("date"))
+
+
+@query("q3_gaps", check_sql(GAPS, "thin", inputs=[], more={
+    "thin": "SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders WHERE o_orderpriority = '1-URGENT'", "missing": MISSING.format(p="thin")}))
 def q3(spark, sf):
-    thin = supplier_panel(spark, sf).where("value >= 95").select("date")
-    return shown(Q.gaps(thin, REVIEW), True)
+    return shown(Q.gaps(urgent_days(spark, sf), REVIEW), True)
 
 
-@query("q3b_missing_days", with_inputs(["supplier_panel"], "SELECT date FROM missing", {
-    "thin": "SELECT DISTINCT date FROM supplier_panel WHERE value >= 95", "missing": MISSING.format(p="thin")}))
+@query("q3b_missing_days", with_inputs([], "SELECT date FROM missing", {
+    "thin": "SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders WHERE o_orderpriority = '1-URGENT'", "missing": MISSING.format(p="thin")}))
 def q3b(spark, sf):
-    return Q.missing_days(supplier_panel(spark, sf).where("value >= 95").select("date"))
+    return Q.missing_days(urgent_days(spark, sf))
 
 
 @query("q4b_newest_dates", "SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem ORDER BY date DESC LIMIT 20")
@@ -394,7 +399,20 @@ def x3(spark, sf):
     return rounded(X.correlations(drivers_wide(spark, sf), DRIVERS), "corr")
 
 
-@query("x3b_correlation_prune")
+def _walk_sql(threshold: float) -> tuple[str, dict[str, str]]:
+    """One step per driver: kept unless it is too close to a kept one before it."""
+    pairs = [(i, j) for j in range(len(DRIVERS)) for i in range(j)]
+    steps = {"w0": "SELECT " + ", ".join(f"coalesce(abs(corr({DRIVERS[i]}, {DRIVERS[j]})), 0) AS r{i}{j}" for i, j in pairs)
+             + " FROM drivers_wide"}
+    for j in range(len(DRIVERS)):
+        near = " OR ".join(f"(k{i} AND r{i}{j} >= {threshold})" for i in range(j)) or "FALSE"
+        steps[f"w{j + 1}"] = f"SELECT *, NOT ({near}) AS k{j} FROM w{j}"
+    body = " UNION ALL ".join(f"SELECT '{c}' AS variable, CAST({i + 1} AS BIGINT) AS position FROM w{len(DRIVERS)} WHERE k{i}"
+                              for i, c in enumerate(DRIVERS))
+    return body, steps
+
+
+@query("x3b_correlation_prune", with_inputs(["drivers_wide"], *_walk_sql(0.5)))
 def x3b(spark, sf):
     return X.correlation_prune(drivers_wide(spark, sf), DRIVERS, 0.5)
 
@@ -402,17 +420,30 @@ def x3b(spark, sf):
 THREE = ["af_px", "nf_px", "rf_px"]
 
 
-@query("x4_vif", with_inputs(["drivers_wide"], f"""
-    SELECT 'af_px' AS variable, {q6('(1 - r23 * r23) / det')} AS vif FROM m
-    UNION ALL SELECT 'nf_px', {q6('(1 - r13 * r13) / det')} FROM m
-    UNION ALL SELECT 'rf_px', {q6('(1 - r12 * r12) / det')} FROM m""", {
+CORR_THREE = {
     "r": "SELECT corr(af_px, nf_px) AS r12, corr(af_px, rf_px) AS r13, corr(nf_px, rf_px) AS r23 FROM drivers_wide "
          "WHERE af_px IS NOT NULL AND nf_px IS NOT NULL AND rf_px IS NOT NULL",
-    "m": "SELECT *, 1 + 2 * r12 * r13 * r23 - r12 * r12 - r13 * r13 - r23 * r23 AS det FROM r"}))
+    "m": "SELECT *, 1 + 2 * r12 * r13 * r23 - r12 * r12 - r13 * r13 - r23 * r23 AS det FROM r",
+    "v": "SELECT 'af_px' AS variable, (1 - r23 * r23) / det AS vif, r23 AS rest FROM m UNION ALL "
+         "SELECT 'nf_px', (1 - r13 * r13) / det, r13 FROM m UNION ALL SELECT 'rf_px', (1 - r12 * r12) / det, r12 FROM m",
+}
+
+
+@query("x4_vif", with_inputs(["drivers_wide"], f"SELECT variable, {q6('vif')} AS vif FROM v", CORR_THREE))
 def x4(spark, sf):
     return rounded(X.vif_table(drivers_wide(spark, sf).dropna(subset=THREE), THREE), "vif")
 
 
+@query("x5c_vif_prune_three", with_inputs(["drivers_wide"], f"""
+    SELECT 't' AS target, variable, variable <> worst AS kept, CASE WHEN variable = worst THEN CAST(1 AS BIGINT) END AS drop_step,
+           {q6('CASE WHEN variable = worst THEN vif ELSE 1 / (1 - rest2 * rest2) END')} AS vif
+    FROM v, (SELECT arg_max(variable, vif) AS worst, arg_max(rest, vif) AS rest2 FROM v)""", CORR_THREE))
+def x5c(spark, sf):
+    """One step of pruning, any factor above 1 being too high."""
+    wide = drivers_wide(spark, sf).dropna(subset=THREE)
+    return rounded(X.vif_prune(wide, {"t": THREE}, 1.0, min_features=2), "vif")
+
+
 def covariates(spark, sf):
     """Market and driver columns on market dates, without gaps, with derived near copies."""
     wide = P.left_align(market_wide(spark, sf), [drivers_wide(spark, sf)])
@@ -434,8 +465,8 @@ def x5b(spark, sf):
 
 
 @query("x6_resolve_features", """
-    SELECT p_brand AS target, p_name AS variable, p_partkey AS position, p_name IN ('red ring', 'small bolt') AS found
-    FROM part QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) <= 20""")
+    SELECT p_brand AS target, p_name AS variable, p_partkey AS position, p_name IN ('red ring', 'small bolt') AS found,
+    row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) <= 20 AS chosen FROM part""")
 def x6(spark, sf):
     config = table(spark, sf, "part").select(
         F.col("p_brand").alias("target"), F.col("p_name").alias("variable"), F.col("p_partkey").alias("position"))
@@ -473,9 +504,9 @@ def x8(spark, sf):
 
 
 def _lambda_sql() -> str:
-    """The same grid search, one step per round."""
+    """A grid search from -12 to 24, one step per round."""
     y, pts = "value", 37
-    steps = {"g0": "SELECT DISTINCT series, CAST(-8 AS DOUBLE) AS f, CAST(0.5 AS DOUBLE) AS s FROM supplier_panel"}
+    steps = {"g0": "SELECT DISTINCT series, CAST(-12 AS DOUBLE) AS f, CAST(1 AS DOUBLE) AS s FROM supplier_panel"}
     yj = ("CASE WHEN abs(lam) < 1e-12 THEN ln(1 + value) ELSE (pow(value + 1, lam) - 1) / lam END")
     for r in range(4):
         steps[f"l{r}"] = (
@@ -690,26 +721,54 @@ def e4(spark, sf):
     return rounded(fc.forecast(rows, 10, ORDERS, "regression"), "predicted")
 
 
-@query("e4b_forecast_suppliers")
+def _slope_steps(source: str, before: str = "TRUE") -> dict[str, str]:
+    """The default model in closed form, from ``key, date, y`` rows: one autoregressive term on
+    first differences without intercept is a ratio of two sums, its path a geometric sum."""
+    return {
+        "z0": f"SELECT *, y - lag(y) OVER (PARTITION BY key ORDER BY date) AS z FROM {source} WHERE {before}",
+        "z1": "SELECT *, lag(z) OVER (PARTITION BY key ORDER BY date) AS zp FROM z0",
+        "fit": "SELECT key, count(*) AS n, max_by(y, date) AS y0, max_by(z, date) AS z0, coalesce(sum(z * zp) / nullif(sum("
+               "CASE WHEN z IS NOT NULL AND zp IS NOT NULL THEN zp * zp END), 0), 0) AS phi FROM z1 GROUP BY key",
+    }
+
+
+PATH = "y0 + z0 * list_sum(list_transform(range(1, step + 1), lambda i: pow(phi, i)))"
+NEXT_DAYS = ("SELECT row_number() OVER (ORDER BY d) AS step, d AS forecast_date FROM (SELECT CAST(last + CAST(i AS INTEGER) AS DATE) AS d "
+             "FROM (SELECT max(date) AS last FROM src), range(1, 40) AS k(i)) WHERE isodow(d) <= 5")
+
+
+@query("e4b_forecast_suppliers", with_inputs(["supplier_panel"], f"""
+    SELECT forecast_date, 'regression' AS model, key AS target, CASE WHEN n >= 5 THEN {q6(PATH)} END AS predicted,
+           CASE WHEN n >= 5 THEN 'no_covariates' ELSE 'failed' END AS status FROM fit, next_days WHERE step <= 10""",
+       {"src": "SELECT series AS key, date, value AS y FROM supplier_panel WHERE value IS NOT NULL", **_slope_steps("src"),
+        "next_days": NEXT_DAYS}))
 def e4b(spark, sf):
     """One model per supplier, no covariates."""
-    p = supplier_panel(spark, sf)
-    rows = p.select(F.col("series").alias("target"), "date", F.col("value").alias("y"),
-                    F.array().cast("array<double>").alias("x"))
-    return rounded(fc.forecast(rows, 10, {}, "regression", "none"), "predicted")
+    return rounded(fc.forecast(supplier_rows(spark, sf), 10, {}, "regression", "none"), "predicted")
 
 
-@query("e5_fallback")
+def supplier_rows(spark, sf):
+    return supplier_panel(spark, sf).select(
+        F.col("series").alias("target"), "date", F.col("value").alias("y"), F.array().cast("array<double>").alias("x"))
+
+
+@query("e5_fallback", with_inputs([], f"""
+    SELECT forecast_date, 'regression' AS model, key AS target, CASE WHEN n >= 20 THEN {q6(PATH)} ELSE round(y0, 6) END AS predicted,
+           CASE WHEN n >= 20 THEN 'no_covariates' ELSE 'naive' END AS status FROM fit, next_days WHERE step <= 5""",
+       {"src": "SELECT o_custkey AS key, CAST(o_orderdate AS DATE) AS date, max(o_totalprice) AS y FROM orders GROUP BY ALL",
+        **_slope_steps("src"), "next_days": NEXT_DAYS}))
 def e5(spark, sf):
     """Series of customers are often too short to fit: those fall back to the last value."""
     rows = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("target"), F.to_date("o_orderdate").alias("date")).agg(
         F.max("o_totalprice").alias("y")).withColumn("x", F.array().cast("array<double>"))
-    return rounded(fc.forecast(rows, 5, {}, "regression", "none"), "predicted")
+    return rounded(fc.forecast(rows, 5, {}, "regression", "none", fallback=True), "predicted")
 
 
 def market_windows(spark, sf):
+    """Target rows, and the windows of the panel's own calendar for every target."""
     wide, rows = market_rows(spark, sf)
-    held = bt.holdout_windows(rows.drop("x"), keys=["target"])
+    windows = bt.calendar_windows(wide)
+    held = rows.drop("x").join(F.broadcast(windows), "date")  # 63 rows
     return rows, held.withColumnRenamed("y", "y_true")
 
 
@@ -720,10 +779,31 @@ def e6(spark, sf):
                    "y_pred", "aic", "bic")
 
 
+WINDOW_ROWS = ("SELECT {{'series': p.series, 'window_id': w.window_id}} AS key, p.date, p.value AS y FROM supplier_panel p JOIN "
+               "(SELECT series, window_id, min(date) AS start FROM holdout GROUP BY ALL) w ON p.series = w.series AND p.date < w.start")
+
+
+@query("e6c_backtest_suppliers", with_inputs(["holdout"], f"""
+    SELECT series AS target, 'regression' AS model, CAST(1 AS BIGINT) AS grid_point, window_id, date, value AS y_true,
+           CASE WHEN n >= 21 THEN {q6(PATH)} END AS y_pred, CASE WHEN n >= 21 THEN round(y0, 6) END AS y_base,
+           CASE WHEN n >= 21 THEN 'no_covariates' ELSE 'few_rows' END AS status
+    FROM (SELECT series, window_id, date, value, row_number() OVER (PARTITION BY series, window_id ORDER BY date) AS step FROM holdout) h
+    LEFT JOIN fit ON fit.key = {{'series': h.series, 'window_id': h.window_id}}""",
+       {"src": WINDOW_ROWS.format(), **_slope_steps("src")}))
+def e6c(spark, sf):
+    """The default model for every supplier in every window."""
+    windows = bt.holdout_windows(supplier_panel(spark, sf)).withColumnsRenamed({"series": "target", "value": "y_true"})
+    records = fc.backtest(supplier_rows(spark, sf), windows, 7, {}, "regression", "none")
+    return rounded(records.drop("aic", "bic"), "y_pred", "y_base")
+
+
 @query("e6b_grid_search")
 def e6b(spark, sf):
-    """Five folds for every grid point of every target, summarised and ranked."""
-    _, rows = market_rows(spark, sf)
+    """Five folds for every grid point of every target, summarised and ranked, on the panel
+    before the dates held out for the final test."""
+    wide, rows = market_rows(spark, sf)
+    held = bt.calendar_windows(wide).agg(F.min("window_start")).scalar()
+    rows = rows.where(F.col("date") < held)
     folds = bt.rolling_folds(rows.drop("x"), keys=["target"])
     windows = folds.withColumnRenamed("y", "y_true").join(
         folds.groupBy("target", "window_id").agg(F.min("date").alias("window_start")), ["target", "window_id"])
@@ -731,7 +811,7 @@ def e6b(spark, sf):
         t: [((g["p"], g["d"], g["q"]), (g["P"], g["D"], g["Q"], g["s"])) for g in bt.grid(fv.GRID[k])]
         for t, k in zip(TARGETS, fv.TARGETS)}
     records = fc.backtest(rows, windows, 7, orders, "regression", lambda_from="global")
-    return M.rank_grid(rounded(fc.grid_results(records), *SUMMARY_COLS, "aic_mean", "bic_mean", "lb_pvalue"))
+    return fc.rank_fitted(rounded(fc.grid_results(records), *SUMMARY_COLS, "aic_mean", "bic_mean", "lb_pvalue"))
 
 
 # ---------------------------------------------------------------- table writers
@@ -834,18 +914,46 @@ def daily_settings() -> daily.Settings:
         orders=ORDERS)
 
 
-@query("r4_daily_run")
-def r4(spark, sf):
-    """Two daily runs over the market panel: a first load, then a reload of its last days.
-    Returns the report view's rows."""
+def _loads_sql() -> tuple[str, dict[str, str]]:
+    """What two loads leave: both ranges with an anchor value, the later one in place of the
+    earlier, working days only, carried forward."""
+    columns = [*TARGETS, *DRIVERS]
+    steps = {
+        "raw": "SELECT * FROM market_wide LEFT JOIN drivers_wide USING (date)",
+        "spans": "SELECT min(date) FILTER (date < DATE '2001-07-20') AS lo1, max(date) FILTER (date < DATE '2001-07-20') AS hi1, "
+                 "min(date) FILTER (date >= DATE '2001-07-10') AS lo2, max(date) FILTER (date >= DATE '2001-07-10') AS hi2 "
+                 "FROM raw WHERE brent IS NOT NULL",
+        "loaded": "SELECT raw.* FROM raw, spans WHERE isodow(date) <= 5 AND (date BETWEEN lo1 AND hi1 OR date BETWEEN lo2 AND hi2)",
+    }
+    filled = ", ".join(q6(f"last_value({c} IGNORE NULLS) OVER (ORDER BY date ROWS UNBOUNDED PRECEDING)") + f" AS {c}" for c in columns)
+    return f"SELECT date, {filled} FROM loaded", steps
+
+
+def _loaded_twice(spark, sf, then):
+    """A first load, then a reload of the last days; ``then`` runs after each."""
     base = scratch(spark)
     t = daily.Tables(*[f"{base}/{n}" for n in ("raw", "panel", "forecasts", "history", "errors", "quality", "run_log")])
     wide = P.left_align(market_wide(spark, sf), [drivers_wide(spark, sf)])
-    outside = current_wide(spark, sf).where("model = 'level'")
-    s = daily_settings()
     for as_of, raw in ((dt.date(2001, 7, 23), wide.where("date < '2001-07-20'")),
                        (AS_OF, wide.where("date >= '2001-07-10'"))):
         out.write_panel(raw, t.raw)
-        daily.run_daily(spark, t, as_of, dt.datetime.combine(as_of, dt.time(9)), {x: DRIVERS for x in TARGETS},
-                        {"outside": outside}, s)
+        then(t, as_of)
+    return t
+
+
+@query("r2_loaded_panel", with_inputs(["market_wide", "drivers_wide"], *_loads_sql()))
+def r2(spark, sf):
+    """The stored panel after two loads."""
+    s = daily_settings()
+    t = _loaded_twice(spark, sf, lambda t, as_of: daily.load_panel(spark, t, s))
+    return rounded(daily.stored_panel(spark, t, s), *TARGETS, *DRIVERS)
+
+
+@query("r4_daily_run")
+def r4(spark, sf):
+    """Two daily runs over the market panel: a first load, then a reload of its last days.
+    Returns the report view's rows."""
+    s, outside = daily_settings(), current_wide(spark, sf).where("model = 'level'")
+    _loaded_twice(spark, sf, lambda t, as_of: daily.run_daily(
+        spark, t, as_of, dt.datetime.combine(as_of, dt.time(9)), {x: DRIVERS for x in TARGETS}, {"outside": outside}, s))
     return rounded(spark.table("report_actuals_and_forecasts"), "value")
