@@ -11,9 +11,10 @@ from pricepanel.operators import (
     backtest as bt, blend, features as X, fill, forecast as fc, panel as P, quality as Q, report, runlog,
     scoring as M,
 )
-from pricepanel.plans import daily
+from pricepanel.plans import daily, landing
 from pricepanel.schema import columns_of
 from pricepanel.sinks import files as out, tables as K
+from pricepanel.sources import files
 from workload.inputs import (
     AS_OF, DRIVERS, MODELS, TARGETS, backtest_records, current_long, current_wide, drivers_wide,
     forecast_history, gappy_panel, market_long, market_wide, supplier_forecasts, supplier_panel, table,
@@ -412,9 +413,9 @@ def _walk_sql(threshold: float) -> tuple[str, dict[str, str]]:
     return body, steps
 
 
-@query("x3b_correlation_prune", with_inputs(["drivers_wide"], *_walk_sql(0.5)))
+@query("x3b_correlation_prune", with_inputs(["drivers_wide"], *_walk_sql(0.02)))
 def x3b(spark, sf):
-    return X.correlation_prune(drivers_wide(spark, sf), DRIVERS, 0.5)
+    return X.correlation_prune(drivers_wide(spark, sf), DRIVERS, 0.02)
 
 
 THREE = ["af_px", "nf_px", "rf_px"]
@@ -949,6 +950,52 @@ def r2(spark, sf):
     return rounded(daily.stored_panel(spark, t, s), *TARGETS, *DRIVERS)
 
 
+def _best_price(name: str, priority: str) -> str:
+    return f"max(o_totalprice) FILTER (o_orderpriority = '{priority}') AS {name}"
+
+
+LANDED_ON = dt.date(2001, 1, 6)  # the look-back holds a 31 December, the date of yearly values
+LANDED = {"gold": "1-URGENT", "silver": "2-HIGH", "vix": "3-MEDIUM", "rate": "4-NOT SPECIFIED", "oil": "5-LOW"}
+
+
+@query("r5_landed_panel", with_inputs([], f"""
+    SELECT date AS "Date", {", ".join(LANDED)}, money_1, money_2, CAST(NULL AS DOUBLE) AS gas
+    FROM days LEFT JOIN money USING (date) WHERE gold IS NOT NULL OR silver IS NOT NULL""", {
+    "days": "SELECT CAST(o_orderdate AS DATE) AS date, " + ", ".join(_best_price(n, p) for n, p in LANDED.items())
+            + " FROM orders WHERE o_orderdate >= DATE '2000-12-27' AND o_orderdate < DATE '2001-01-06' GROUP BY 1",
+    "money": "SELECT make_date(CAST(year(o_orderdate) AS INTEGER), 12, 31) AS date, "
+             "max(o_totalprice) FILTER (n_name = 'NATION_1') AS money_1, max(o_totalprice) FILTER (n_name = 'NATION_2') AS money_2 "
+             "FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1"}))
+def r5(spark, sf):
+    """Orders as landed documents, one each, of four kinds; one asked energy series never came."""
+    o = table(spark, sf, "orders")
+    name = F.element_at(F.create_map(*[F.lit(x) for n, p in LANDED.items() for x in (p, n)]), F.col("o_orderpriority"))
+    day = F.to_date("o_orderdate")
+    points = o.select(name.alias("name"), day.alias("day"), F.col("o_totalprice").alias("price"))
+    result = F.struct(F.array(F.unix_seconds(F.col("day").cast("timestamp"))).alias("timestamp"),
+                      F.struct(F.array(F.struct(F.array("price").alias("close"))).alias("quote")).alias("indicators"))
+    charts = points.where(F.col("name").isin("gold", "silver", "vix")).select(
+        "name", F.to_json(F.struct(F.struct(F.array(result).alias("result")).alias("chart"))).alias("payload"))
+    data = F.array(F.struct(F.col("day").cast("string").alias("period"), F.col("price").cast("string").alias("value")))
+    energy = points.where("name = 'oil'").select(
+        "name", F.to_json(F.struct(F.struct(data.alias("data")).alias("response"))).alias("payload"))
+    macro = points.where("name = 'rate'").select(
+        F.col("name").alias("code"), F.col("day").cast("string").alias("date"), F.col("price").cast("string").alias("value"))
+    best = (
+        o.join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .groupBy(F.year("o_orderdate").cast("string").alias("date"), F.col("n_name").alias("countryiso3code"))
+        .agg(F.max("o_totalprice").alias("value")))
+    money = best.select(F.concat("countryiso3code", "date").alias("name"), F.concat(
+        F.lit('[{"page": 1}, '), F.to_json(F.array(F.struct("date", "countryiso3code", "value"))), F.lit("]")).alias("payload"))
+    names = landing.Names(
+        {"gold": "gold", "silver": "silver"}, {"vix": "vix"}, {"rate": "rate"}, {"oil": "oil", "gas": "gas"},
+        {"NATION_1": "money_1", "NATION_2": "money_2"})
+    path = scratch(spark)
+    landing.land(landing.Landed(charts, macro, energy, money), LANDED_ON, path, names)
+    return files.read_panel(spark, path)
+
+
 @query("r4_daily_run")
 def r4(spark, sf):
     """Two daily runs over the market panel: a first load, then a reload of its last days.
