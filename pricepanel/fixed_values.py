@@ -11,7 +11,6 @@ TARGETS = ["oro", "plata", "cobre", "petroleo_brent", "gas_natural"]
 BASE_MODELS = ["sarimax", "autogluon"]
 MIXED_MODEL = "model_mixto"
 ENSEMBLE_MODEL = "ensamblado"
-SCORED_MODELS = ["sarimax", "autogluon", "model_mixto", "ensamblado"]
 LOGGED_MODELS = ["sarimax", "autogluon", "model_mixto"]
 # Order of the report legend: actuals are 1, unknown models 99.
 REPORT_ORDER = {"sarimax": 2, "autogluon": 3, "ensamblado": 4, "model_mixto": 5}

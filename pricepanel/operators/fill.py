@@ -158,7 +158,7 @@ def future_values(
 
     ``method``: "last" repeats the newest filled value, "median" the median, "mode" the most
     frequent filled value.  ``dates`` (``step, date``) defaults to the next business days
-    after the newest date of the history.
+    after the newest date of the history; more than ``horizon`` of them raise ``ValueError``.
     """
     if method not in ("last", "median", "mode"):
         raise ValueError("method must be 'last', 'median' or 'mode'")
@@ -174,6 +174,7 @@ def future_values(
             F.max_by("value", F.when(F.col("value").isNotNull(), F.col("date"))).alias("value")
         )
     row = row.withColumn("value", F.coalesce("value", F.lit(0.0)))
-    # its own calendar has ``horizon`` rows; the size of one passed in is not known
-    days = F.broadcast(future_dates(history, horizon)) if dates is None else dates
-    return row.crossJoin(days.select("step", "date"))
+    if dates is not None and dates.limit(horizon + 1).count() > horizon:
+        raise ValueError(f"more than {horizon} dates")
+    days = future_dates(history, horizon) if dates is None else dates
+    return row.crossJoin(F.broadcast(days.select("step", "date")))  # at most horizon rows

@@ -72,8 +72,14 @@ def load_panel(spark: SparkSession, t: Tables, s: Settings) -> tuple[dt.date | N
         return None, None
     batch = P.business_days_only(raw.where(F.col("date").between(F.lit(lo), F.lit(hi))))
     schema = S.stored_panel_schema(s.columns)
-    stored = K.read_table(spark, t.panel, schema).where(F.col("date") < F.lit(lo))
-    filled = fill.seeded_fill(stored, batch, s.columns)
+    # the fill goes on from the newest row before the range: in its first month, or else in the
+    # newest one before that, which partition values alone tell
+    table, month = K.read_table(spark, t.panel, schema), F.trunc(F.lit(lo), "MM")
+    newest = table.where(F.col("month") < month).agg(F.max("month")).first()[0]
+    months = F.col("month") == month
+    if newest is not None:
+        months = months | (F.col("month") == F.lit(newest))
+    filled = fill.seeded_fill(table.where(months & (F.col("date") < F.lit(lo))), batch, s.columns)
     K.replace_range(spark, t.panel, schema, lo, hi, filled)
     return lo, hi
 

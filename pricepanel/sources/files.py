@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pricepanel.functions.dates import day_of
 from pricepanel.operators.panel import (
-    business_days_only, clean_numeric, keep_last, lower_names, to_long,
+    business_days_only, clean_numeric, keep_last, lower_names,
 )
 
 
@@ -77,8 +77,3 @@ def melt_features(raw: DataFrame) -> DataFrame:
         F.lower(F.trim("asset")).alias("target"), F.trim("variable").alias("variable"),
         order[F.col("column")].cast("long").alias("position"),
     )
-
-
-def panel_long(table: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long form of a stored wide panel, NULLs kept."""
-    return to_long(table.select("date", *columns), columns, keep_nulls=True)

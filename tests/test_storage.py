@@ -218,3 +218,16 @@ def test_daily_run_twice_leaves_the_same_tables(spark, tmp_path):
     assert errors.where(F.col("run_date") == F.lit(day(91))).select("model", "target").distinct().count() == 8
     assert K.read_table(spark, t.run_log, S.RUN_LOG).where("status <> 'ok'").count() == 0
     assert spark.table("report_summary").where("kind = 'prediccion'").count() == 80
+    # a value that is no number counts as none; a target that cannot be forecast stops the run
+    before = sorted(map(str, K.read_table(spark, t.forecasts, tables["forecasts"]).collect()))
+    out.write_panel(spark.createDataFrame(
+        [(day(105), 50.0, float("nan"), 1.0), (day(106), 51.0, None, 2.0)], "Date date, BRENT double, gold double, `v-i-x` double"),
+        t.raw, date="Date")
+    daily.load_panel(spark, t, s)
+    last = K.read_table(spark, t.panel, tables["panel"]).orderBy("date").collect()[-3:]
+    assert [r["date"] for r in last[1:]] == [day(105), day(106)]
+    assert len({r["gold"] for r in last}) == 1 and not any(r["gold"] != r["gold"] for r in last)
+    short = daily.Settings(**{**s.__dict__, "orders": {"Brent": ((200, 1, 0), (0, 0, 0, 0))}})
+    with pytest.raises(ValueError, match=r"brent \(failed\)"):
+        daily.forecast_model(spark, t, short, {})
+    assert sorted(map(str, K.read_table(spark, t.forecasts, tables["forecasts"]).collect())) == before
