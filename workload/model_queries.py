@@ -962,7 +962,7 @@ LANDED = {"gold": "1-URGENT", "silver": "2-HIGH", "vix": "3-MEDIUM", "rate": "4-
     SELECT date AS "Date", {", ".join(LANDED)}, money_1, money_2, CAST(NULL AS DOUBLE) AS gas
     FROM days LEFT JOIN money USING (date) WHERE gold IS NOT NULL OR silver IS NOT NULL""", {
     "days": "SELECT CAST(o_orderdate AS DATE) AS date, " + ", ".join(_best_price(n, p) for n, p in LANDED.items())
-            + " FROM orders WHERE o_orderdate >= DATE '2000-12-27' AND o_orderdate < DATE '2001-01-06' GROUP BY 1",
+            + " FROM orders WHERE o_orderdate >= DATE '2000-11-27' AND o_orderdate < DATE '2001-01-06' GROUP BY 1",
     "money": "SELECT make_date(CAST(year(o_orderdate) AS INTEGER), 12, 31) AS date, "
              "max(o_totalprice) FILTER (n_name = 'NATION_1') AS money_1, max(o_totalprice) FILTER (n_name = 'NATION_2') AS money_2 "
              "FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1"}))
@@ -992,7 +992,7 @@ def r5(spark, sf):
         {"gold": "gold", "silver": "silver"}, {"vix": "vix"}, {"rate": "rate"}, {"oil": "oil", "gas": "gas"},
         {"NATION_1": "money_1", "NATION_2": "money_2"})
     path = scratch(spark)
-    landing.land(landing.Landed(charts, macro, energy, money), LANDED_ON, path, names)
+    landing.land(landing.Landed(charts, macro, energy, money), LANDED_ON, path, names, days=40)
     return files.read_panel(spark, path)
 
 
