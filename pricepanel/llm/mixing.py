@@ -7,7 +7,8 @@ sorted by finish time over all sources, and the line is cut at the total budget.
 sent in packets of a few words, so a very long one neither blocks the line nor misses the cut.
 
 Running totals are taken in two steps, totals of ranges first and rows within a range second, so
-neither a hot source nor the whole table is sorted in one task.
+neither a hot source nor the whole table is sorted in one task.  Packets that finish after the cut
+are not sorted at all.
 
 Defined cases: a null or blank text has size 0 and is never taken; null sources form one source,
 sorted last; repeated rows count as documents of their own; an empty table gives an empty result.
@@ -81,12 +82,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     start = F.col("copy") * F.col("source_size") + F.col("before") + F.col("so_far") - F.col("size")
     c = c.withColumn("finish", F.coalesce(F.try_divide(start + F.col("packet") * PACKET + F.col("words"), F.col("target")), F.lit(0.0)))
     c = c.withColumn("slot", F.least(F.floor(F.col("finish") * slots), F.lit(4 * slots)))
-    line = c.groupBy("slot").agg(F.sum("words").alias("slot_words"))
+    budget = int(total * share)
     earlier = W.orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
-    line = line.withColumn("ahead", F.coalesce(F.sum("slot_words").over(earlier), F.lit(0)))
+    line = c.groupBy("slot").agg(F.sum("words").alias("slot_words"))
+    line = saved(line.select("slot", F.coalesce(F.sum("slot_words").over(earlier), F.lit(0)).alias("ahead")), "mix-line")
+    last = line.where(F.col("ahead") < budget).agg(F.coalesce(F.max("slot"), F.lit(-1))).first()[0]
+    # nothing is taken beyond the slot of the cut: of the packets there only the first of each
+    # document goes on, to a slot of its own kind, so that the late end of the line is not one group
+    late, first = F.col("slot") > last, (F.col("copy") == 0) & (F.col("packet") == 0)
+    aside = F.lit(last + 1) + F.pmod(F.xxhash64("key", "row"), F.lit(slots))
+    c = c.where(~late | first).withColumn("slot", F.when(late, aside).otherwise(F.col("slot")))
     in_slot = W.partitionBy("slot").orderBy("finish", F.col("source").asc_nulls_last(), "key", "copy", "packet", "size", "row")
-    c = c.withColumn("sent", F.coalesce(F.sum("words").over(in_slot.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).join(line, "slot")
-    left = F.lit(int(total * share)) - F.col("ahead") - F.col("sent")
+    c = c.withColumn("sent", F.coalesce(F.sum("words").over(in_slot.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    c = c.join(line.where(F.col("ahead") < budget), "slot", "left")
+    left = F.lit(budget) - F.coalesce("ahead", F.lit(budget)) - F.col("sent")
     c = c.withColumn("taken", F.greatest(F.lit(0), F.least(F.col("words"), left)))
     return (c.groupBy("source", "part", "row", "doc_id", "key", "size", "source_size", "target").agg(F.sum("taken").alias("taken"))
             .select("doc_id", "source", "size", "source_size", "target", "taken"))
