@@ -6,8 +6,10 @@ weighted sum of the passages represents the document, and a logistic layer score
 documents have labels: which passages speak for a low quality is learned.
 
 The network is fitted on the driver on at most ``sample`` labelled documents, the ones with the
-least digest of their id, a bound that does not depend on the corpus.  Every document is scored, by
-its whole text; each task holds the passages of about a megabyte of text.
+least digest of their id, and of these on as many as have ``SAMPLE_PASSAGES`` passages together,
+bounds that do not depend on the corpus; texts of more than ``LONGEST`` passages are scored, but
+not learned from.  Every document is scored, by its whole text; each task holds the passages of
+about a megabyte of text.
 
 Features come from the text alone.
 
@@ -24,14 +26,16 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pricepanel.llm.words import mix, pieces, split, text_bytes, words
-from pricepanel.session import ship
+from pricepanel.session import saved, ship
 
 PASSAGE = 64  # words
 HASHED = 64
 SAMPLE = 6_000
+SAMPLE_PASSAGES = 300_000
+LONGEST = 20_000
 
 _CLASSES = np.zeros((256, 8), np.float32)  # upper, lower, digit, white, sentence mark, other mark, repeated mark sign, beyond ASCII
 for _b in range(256):
@@ -179,13 +183,19 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label_col: s
             for lo, hi, data, offsets in pieces(b):
                 x, first = encode(data, offsets)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(c).slice(lo, hi - lo) for c in ("doc_id", "y")] + [pa.array([x[s:e].astype(np.float16).tobytes() for s, e in zip(first[:-1], first[1:])], pa.binary())],
-                    ["doc_id", "y", "x"])
+                    [b.column(c).slice(lo, hi - lo) for c in ("doc_id", "y")] + [pa.array([x[s:e].astype(np.float16).tobytes() for s, e in zip(first[:-1], first[1:])], pa.binary()),
+                                                                                pa.array(np.diff(first).astype(np.int64))], ["doc_id", "y", "x", "passages"])
 
     # at most ``sample`` ids: small enough to send to every task, so no text moves
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("doc_id", "y", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    got = rows.mapInArrow(encoded, f"doc_id {kind}, y double, x binary").dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+    bags = rows.mapInArrow(encoded, f"doc_id {kind}, y double, x binary, passages long").where(F.col("passages") <= LONGEST)
+    bags = bags.groupBy("doc_id").agg(F.min(F.struct("x", "y", "passages")).alias("bag")).select("doc_id", "bag.*")
+    bags = saved(bags, "sample")
+    # one window over at most ``sample`` small rows
+    so_far = F.sum("passages").over(W.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(W.unboundedPreceding, 0))
+    fits = bags.select(F.col("doc_id").alias("id"), so_far.alias("so_far")).where(F.col("so_far") <= SAMPLE_PASSAGES)
+    got = bags.join(F.broadcast(fits), F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "x", "y").toArrow().sort_by("doc_id")
     width = encode(*text_bytes(pa.array([""])))[0].shape[1]
     bags = [np.frombuffer(v.as_buffer(), np.float16).reshape(-1, width) for v in got.column("x")]
     x = np.concatenate(bags).astype(np.float64) if bags else np.empty((0, width))

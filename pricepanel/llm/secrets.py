@@ -124,7 +124,9 @@ def redact(docs: DataFrame, with_text: str = "[SECRET]", most_owners: int = 2) -
     live = F.transform(F.filter("spans", lambda m: m["live"]), lambda m: m["value"])
     values = spans.select(F.col("doc_id").alias("_id"), F.array_distinct(live).alias("_values")).groupBy("_id").agg(
         F.array_distinct(F.flatten(F.collect_set("_values"))).alias("_values"))
-    longest_first = F.array_sort(F.coalesce("_values", F.array()), lambda a, b: F.length(b) - F.length(a))
+    # longest first; of equal length by code point, so that reruns agree
+    by_length = lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0)
+    longest_first = F.array_sort(F.coalesce("_values", F.array()), by_length)
     text = F.aggregate(longest_first, F.col("text"), lambda t, v: F.replace(t, v, F.lit(with_text)))
     joined = docs.join(values, docs["doc_id"].eqNullSafe(values["_id"]), "left")
     out = joined.withColumn("text", F.when(F.col("_values").isNull(), F.col("text")).otherwise(text))

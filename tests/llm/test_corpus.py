@@ -1,6 +1,7 @@
 """Operators over the whole corpus, against brute force."""
 
 import collections
+import hashlib
 import math
 import random
 import re
@@ -107,6 +108,30 @@ def test_fair_mix(spark):
     assert mixing.mix(docs(spark, [])).count() == 0
 
 
+def test_fair_mix_of_a_hot_source_with_a_small_weight(spark):
+    """Every word of every document, against one sorted line of all packets."""
+    r = random.Random(14)
+    rows = [(i, "w " * r.randint(0, 700), "s00b" if r.random() < 0.25 else f"s{r.randint(0, 30):02}") for i in range(1500)]
+    sizes = collections.Counter()
+    for _, t, s in rows:
+        sizes[s] += len(t.split())
+    goal, line, at, size = plain_targets(sizes), [], collections.Counter(), {}
+    assert goal["s00b"] < sizes["s00b"] / 2  # most of its packets finish long after the cut
+    for i, t, s in sorted(rows, key=lambda x: hashlib.md5(str(x[0]).encode()).hexdigest()):
+        n = size[i] = len(t.split())
+        for copy in (0, 1):
+            for p in range(0, n, 256):
+                w = min(256, n - p)
+                line.append(((copy * sizes[s] + at[s] + p + w) / goal[s], s, i, w))
+        at[s] += n
+    left, want = int(1.5 * sum(sizes.values())), collections.Counter()
+    for _, _, i, w in sorted(line):
+        want[i] += min(w, left)
+        left -= min(w, left)
+    got = {g.doc_id: g.taken for g in mixing.mix(docs(spark, rows)).collect()}
+    assert got == {i: want[i] for i in size}
+
+
 def test_decontamination(spark):
     r = random.Random(6)
     items = [(i, prose(r, n)) for i, n in enumerate([6, 15, 38, 59, 300, 2])] + [(90, None), (91, "")]
