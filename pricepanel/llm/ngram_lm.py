@@ -125,27 +125,29 @@ def trains(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 7 != 2, F.lit(True))
 
 
-_CHUNK = "chunk string, rows binary, trains binary, offsets binary, texts binary, size long"
 _PARTS = "chunk string, shard long, words binary, word_counts binary, pairs binary, pair_counts binary"
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts in chunks of about ``CHUNK_WORDS`` words, compressed: read twice, as text is smaller
-    than the numbers of its words."""
-    names = [x.split()[0] for x in _CHUNK.split(", ")]
+    than the numbers of its words.  ``learned``: tokens of the training texts."""
     task, number, held, size = TaskContext.get().partitionId(), 0, [], 0
 
     def out() -> pa.RecordBatch:
-        rows, trains, lengths, data = (np.concatenate(x) for x in zip(*held))
+        ids, trains, lengths, data, counts = zip(*held)
+        trains, lengths, data, counts = (np.concatenate(x) for x in (trains, lengths, data, counts))
+        ids = pa.concat_arrays(ids)
+        one = {"chunk": pa.array([f"{task}-{number}"]), "ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)}
         offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
         packed = pa.compress(data.tobytes(), codec="zstd", asbytes=True)
-        return pa.RecordBatch.from_arrays([pa.array([f"{task}-{number}"]), *[pa.array([x], pa.binary()) for x in (rows.tobytes(), trains.tobytes(), offsets.tobytes(), packed)],
-                                           pa.array([len(data)], pa.int64())], names)
+        one |= {k: pa.array([x], pa.binary()) for k, x in (("trains", trains.tobytes()), ("offsets", offsets.tobytes()), ("texts", packed))}
+        one |= {"size": pa.array([len(data)], pa.int64()), "learned": pa.array([int((counts + 1)[trains].sum())], pa.int64())}
+        return pa.RecordBatch.from_pydict(one)
 
     for b in batches:
         for lo, hi, data, offsets in pieces(b):
             part = b.slice(lo, hi - lo)
-            held.append((part.column("row").to_numpy(), part.column("trains").to_numpy(zero_copy_only=False), np.diff(offsets), data))
+            held.append((part.column("doc_id"), part.column("trains").to_numpy(zero_copy_only=False), np.diff(offsets), data, np.diff(split(data, offsets)[2])))
             size += len(data)
             if size >= 6 * CHUNK_WORDS:
                 yield out()
@@ -158,8 +160,8 @@ class Chunk:
     """The distinct words and pairs of a chunk, both by mixed hash, and where its tokens are in
     them."""
 
-    def __init__(self, rows: bytes, trains: bytes, offsets: bytes, texts: bytes, size: int) -> None:
-        self.rows, self.trains = np.frombuffer(rows, np.int64), np.frombuffer(trains, bool)
+    def __init__(self, trains: bytes, offsets: bytes, texts: bytes, size: int) -> None:
+        self.trains = np.frombuffer(trains, bool)
         data = np.frombuffer(pa.decompress(texts, decompressed_size=size, codec="zstd", asbytes=True), np.uint8) if size else np.empty(0, np.uint8)
         hashes, counts = word_hashes(data, np.frombuffer(offsets, np.int64))
         n = counts + 1  # and the end token
@@ -181,28 +183,30 @@ class Chunk:
         self.pair = np.empty_like(self.pairs)
         self.pair[self.of_pair] = pair
         learns = np.repeat(self.trains, n)
-        self.learned = int(learns.sum())
         self.word_counts = np.bincount(self.of_word[learns], minlength=len(self.words)).astype(np.uint32)
         self.pair_counts = np.bincount(self.of_pair[learns], minlength=len(self.pairs)).astype(np.uint32)
 
 
 def _of(table) -> Iterator[tuple[str, Chunk]]:
-    for r in table.to_pylist():
-        yield r["chunk"], Chunk(r["rows"], r["trains"], r["offsets"], r["texts"], r["size"])
+    for r in table.select(["chunk", "trains", "offsets", "texts", "size"]).to_pylist():
+        yield r["chunk"], Chunk(r["trains"], r["offsets"], r["texts"], r["size"])
 
 
 def _cut(chunks: DataFrame, shards: int) -> DataFrame:
-    """A row per chunk and shard with the keys the chunk sends there."""
+    """A row per chunk and shard with the keys the chunk sends there, if any: never more rows than
+    keys, however many chunks and shards there are."""
     edges = (np.arange(1, shards, dtype=np.float64) * (2.0**64 / shards)).astype(np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 for name, c in _of(b.slice(i, 1)):
-                    wc, pc = np.r_[0, np.searchsorted(c.words, edges), len(c.words)], np.r_[0, np.searchsorted(c.pairs, edges), len(c.pairs)]
-                    cells = lambda x, at: pa.array([x[s:e].tobytes() for s, e in zip(at[:-1], at[1:])], pa.binary())
+                    of_word, of_pair = (np.searchsorted(edges, x, "right") for x in (c.words, c.pairs))
+                    used = np.union1d(of_word, of_pair)
+                    wc, pc = ((np.searchsorted(x, used, "left"), np.searchsorted(x, used, "right")) for x in (of_word, of_pair))
+                    cells = lambda x, at: pa.array([x[s:e].tobytes() for s, e in zip(*at)], pa.binary())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([name] * shards), pa.array(np.arange(shards)), cells(c.word, wc), cells(c.word_counts, wc), cells(c.pair, pc), cells(c.pair_counts, pc)],
+                        [pa.array([name] * len(used)), pa.array(used), cells(c.word, wc), cells(c.word_counts, wc), cells(c.pair, pc), cells(c.pair_counts, pc)],
                         [x.split()[0] for x in _PARTS.split(", ")])
 
     return chunks.mapInArrow(run, _PARTS)
@@ -253,7 +257,8 @@ def _sum_up(total: int, kinds: int, weight: float):
         both = np.minimum(both, before)
         full = (both + weight * p) / (before + weight)
         add = lambda x: np.add.reduceat(x, first[:-1])
-        return pa.table({"row": t.rows, "n_tokens": np.diff(first), "n_known": add((c > 0).astype(np.int64)), "base_score": add(np.log10(p)), "score": add(np.log10(full))})
+        ids = chunk.column("ids").combine_chunks().flatten()
+        return pa.table({"doc_id": ids, "held_out": ~t.trains, "n_tokens": np.diff(first), "n_known": add((c > 0).astype(np.int64)), "base_score": add(np.log10(p)), "score": add(np.log10(full))})
 
     return run
 
@@ -264,24 +269,15 @@ def score(docs: DataFrame, weight: float = 4.0, id_col: str = "doc_id", text_col
     ``weight``: how many observations the unigram estimate counts for (m).
     """
     ship(docs.sparkSession)
-    src = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), trains(F.col(id_col)).alias("trains"), F.col(text_col).alias("text"))
-    size = src.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    src = docs.select(F.col(id_col).alias("doc_id"), trains(F.col(id_col)).alias("trains"), F.col(text_col).alias("text"))
+    kind = src.schema["doc_id"].dataType.simpleString()
+    # the texts are read once; all that follows starts from the stored chunks
+    chunks = saved(src.mapInArrow(_chunks, f"chunk string, ids array<{kind}>, trains binary, offsets binary, texts binary, size long, learned long"), "lm-chunks")
+    size, learned = chunks.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("size", "learned")]).first()
     shards = int(max(1, -(-size // (6 * SHARD_KEYS))))
-    ids = saved(src.select("row", "doc_id", "trains"), "lm-ids")
-    chunks = saved(src.select("row", "trains", "text").mapInArrow(_chunks, _CHUNK), "lm-chunks")
-    learned = ids.where("trains").count() + _words(src.where("trains"))
     answers = saved(_cut(chunks, shards).groupBy("shard").applyInArrow(
         _answer(learned), "chunk string, shard long, word_answer binary, pair_answer binary, known long"), "lm-answers")
     kinds = answers.groupBy("shard").agg(F.max("known").alias("known")).agg(F.coalesce(F.sum("known"), F.lit(0))).first()[0]
     scores = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        _sum_up(learned, kinds, weight), "row long, n_tokens long, n_known long, base_score double, score double")
-    return ids.join(scores, "row").select("doc_id", (~F.col("trains")).alias("held_out"), "n_tokens", "n_known", F.lit(learned).cast("long").alias("train_tokens"), "base_score", "score")
-
-
-def _words(texts: DataFrame) -> int:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n = sum(len(split(data, offsets)[0]) for _, _, data, offsets in pieces(b))
-            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
-
-    return texts.select("text").mapInArrow(count, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        _sum_up(learned, kinds, weight), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return scores.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(learned).cast("long").alias("train_tokens"), "base_score", "score")
