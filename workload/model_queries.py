@@ -11,7 +11,7 @@ from pricepanel.operators import (
     backtest as bt, blend, features as X, fill, forecast as fc, panel as P, quality as Q, report, runlog,
     scoring as M,
 )
-from pricepanel.plans import daily, landing
+from pricepanel.plans import daily, landing, research
 from pricepanel.schema import columns_of
 from pricepanel.sinks import files as out, tables as K
 from pricepanel.sources import files
@@ -815,6 +815,16 @@ def e6b(spark, sf):
     return fc.rank_fitted(rounded(fc.grid_results(records), *SUMMARY_COLS, "aic_mean", "bic_mean", "lb_pvalue"))
 
 
+@query("r6_research")
+def r6_research(spark, sf):
+    """Features, grid search before the held-out dates, and the comparison on them."""
+    panel = P.left_align(market_wide(spark, sf), [drivers_wide(spark, sf)])
+    orders = {t: [o, ((1, 1, 0), (0, 0, 0, 0))] for t, o in ORDERS.items()}
+    found = research.run_research(spark, panel, TARGETS, DRIVERS, orders, scratch(spark, "features"))
+    measures = [c for c, kind in found.dtypes if kind == "double"]
+    return rounded(found.withColumn("features", F.array_join("features", ",")), *measures)
+
+
 # ---------------------------------------------------------------- table writers
 
 CURRENT = columns_of("forecast_date date, model string, target bigint, predicted double")
