@@ -154,16 +154,30 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+SALTS = 16
+
+
+def _looked_up(rows: DataFrame, key: str, table: DataFrame, at: str, value: str) -> DataFrame:
+    """``rows`` with ``value`` of the row of ``table`` whose unique ``at`` is their ``key`` (NULL if
+    none).  Rows of one key are spread by their ``spread`` over some salts, and the table is asked
+    once per key and salt, so that a key many rows look up is not one task."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("spread"), F.lit(SALTS)))
+    asked = salted.select(F.col(key).alias("k"), F.col("salt").alias("s")).distinct()
+    answers = asked.join(table.select(F.col(at).alias("t"), F.col(value).alias(value)), F.col("k") == F.col("t"), "left").drop("t")
+    return salted.join(answers, (F.col(key) == F.col("k")) & (F.col("salt") == F.col("s")), "left").drop("k", "s", "salt", "spread")
+
+
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """node, component: the least node reachable over links (a, b), by passing labels on and
     following them; every round is a table in the shared folder."""
     both = saved(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     labels = saved(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component")), "labels")
     for _ in range(most_rounds):
-        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("near"))
+        near = _looked_up(both.withColumn("spread", F.col("a")), "b", labels, "node", "component").groupBy("a").agg(F.min("component").alias("near"))
         step = labels.join(near, labels["node"] == near["a"]).select("node", F.col("component").alias("old"), F.least("component", "near").alias("new"))
         jump = step.select(F.col("node").alias("at"), F.col("new").alias("beyond"))
-        moved = saved(step.join(jump, step["new"] == jump["at"], "left").select("node", "old", F.least("new", "beyond").alias("component")), "labels")
+        ahead = _looked_up(step.withColumn("spread", F.col("node")), "new", jump, "at", "beyond")
+        moved = saved(ahead.select("node", "old", F.least("new", "beyond").alias("component")), "labels")
         labels = moved.select("node", "component")
         if moved.where(F.col("old") != F.col("component")).isEmpty():
             return labels
