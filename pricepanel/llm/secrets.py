@@ -29,8 +29,9 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 BASE_KINDS = ("assign", "access", "hex")
 SHORTEST = {"assign": 12, "access": 18, "hex": 16}
-#: The method's own kind: strings of one owner that mix digits with letters of both cases.
-MIXED = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,12}[0-9])[A-Za-z0-9+/_-]{24,}"
+#: The method's own kind: strings of one owner that mix digits with letters of both cases. Whole
+#: runs; what they hold is asked of the value, wherever in it the digits stand.
+MIXED = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}"
 
 MARK, OTHER = "\x01", "\x02"
 

@@ -104,6 +104,18 @@ def test_secrets(spark):
     assert clean[3].n_chars == len(clean[3].text) and secrets.report(secrets.scan(docs(spark, []))).count() == 0
 
 
+def test_secrets_whose_first_digit_comes_late(spark):
+    keys = ["sk_live_AbCdEfGh12JkLm34NoPq56", "aBcDeFgHiJkLmNoPqRsTuVwXyZ" * 3 + "123", "abCdefGhijklmnopqrstu1v2w3"]
+    few = "aBcDeFgHiJkLmNoPqRsTuVwXyZ12"
+    rows = [(i, f"own {k} here", "a") for i, k in enumerate(keys)] + [(9, f"own {few} here", "a")]
+    rows += [(20 + i, f"copied {keys[0][::-1]}Example {i}", f"o{i}") for i in range(5)]
+    got = {r.doc_id: r for r in secrets.report(secrets.scan(docs(spark, rows))).collect()}
+    clean = {r.doc_id: r.text for r in secrets.redact(docs(spark, rows)).collect()}
+    for i, k in enumerate(keys):
+        assert got[i].spans == f"mixed:4:{4 + len(k)}" and got[i].n_live == 1 and clean[i] == "own [SECRET] here"
+    assert got[9].spans == "" and got[20].spans == "" and clean[20] == rows[4][1]
+
+
 TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]"), (1, 0, None, None), (1, 1, "tööl]", "\\[a\\"), (1, 2, "tool", "<\\s><<s>"),
          (1, 2, "assistant", " a\n"), (1, 3, "assistant", "b "), (1, 3, "assistant", "b "), (2, None, "system", "[ROLE x"), (2, 0, "user", "y" * 100_000), (None, 0, "user", "z")]
 
