@@ -2,17 +2,18 @@
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers.  Each distinct value is a
 protected entity.  Words that stand near an entity may reveal it too: from the whole corpus we
-count in how many texts a word occurs and in how many distinct contexts it stands near an entity.
-A word discloses the share of the entity's information that knowing the word gives,
+count how many distinct texts hold a word, an entity, and both.  A word discloses the share of the
+entity's information that knowing the word gives,
 
     log2(p(entity | word) / p(entity)) / -log2 p(entity)
 
 and is generalised from ``generalise`` on, removed from ``remove`` on.  A word seen near an entity
-in one context only says nothing about co-occurrence and is left alone; copies of the same context
-count once.
+in one context only says nothing about co-occurrence and is left alone.  All counts are of distinct
+texts (by their hash), however many rows hold copies of a text.
 
 Each text is read by itself; counts are combined per task before the shuffle, so neither a common
-word nor an entity that many texts hold meets in one task row by row.
+word nor an entity that many texts hold meets in one task row by row.  Only texts that have copies
+or hold an entity with candidate terms send their words one by one.
 
 Defined cases: null and empty texts have no spans; repeated rows are read each; rows may share
 ids; an empty table gives an empty result; other columns are kept out of the way by name.
@@ -105,7 +106,7 @@ def hash_words(items: list[str]) -> np.ndarray:
     return words(np.frombuffer(data, np.uint8), np.array([0, len(data)])).hashes.view(np.int64)
 
 
-_FOUND = ("row long, spans array<struct<start:long,kind:int,end:long>>, "
+_FOUND = ("row long, spans array<struct<start:long,kind:int,end:long>>, entities array<struct<kind:int,value:string>>, "
           "near array<struct<kind:int,value:string,context:long,term:long,start:long,end:long>>")
 
 
@@ -113,11 +114,13 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
     close = pa.list_(pa.struct([("kind", pa.int32()), ("value", pa.string()), ("context", pa.int64()), ("term", pa.int64()),
                                 ("start", pa.int64()), ("end", pa.int64())]))
+    entity = pa.list_(pa.struct([("kind", pa.int32()), ("value", pa.string())]))
     for b in batches:
-        spans, near = [], []
+        spans, entities, near = [], [], []
         for text in b.column("text").to_pylist():
             found = base_spans(text) if text else []
             spans.append([{"start": s, "kind": k, "end": e} for s, k, e in found])
+            entities.append([{"kind": k, "value": v} for k, v in sorted({(k, text[s:e].lower()) for s, k, e in found})])
             inside, rows = [(s, e) for s, _, e in found], []
             for s, k, e in found:
                 w = [x for x in _near(text, s, e) if not any(x[0] < q and p < x[1] for p, q in inside)]
@@ -127,40 +130,59 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     rows += [{"kind": k, "value": text[s:e].lower(), "context": context, "term": int(h), "start": p, "end": q}
                              for h, (p, q) in zip(hash_words(terms), w)]
             near.append(rows)
-        yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(spans, span), pa.array(near, close)], ["row", "spans", "near"])
+        yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(spans, span), pa.array(entities, entity), pa.array(near, close)],
+                                          ["row", "spans", "entities", "near"])
 
 
-def text_counts(docs: DataFrame, keep: np.ndarray) -> DataFrame:
-    """term, texts: number of texts that hold each word let through by a filter of word hashes.
+def text_words(docs: DataFrame, keep: np.ndarray, marked: np.ndarray) -> DataFrame:
+    """term, text_key, texts: words of ``docs(text, text_key)`` let through by a filter of word hashes.
 
-    ``keep`` is a filter of fixed size; it lets some others through, which the join after it
-    drops.
+    Texts let through by ``marked``, a filter of text keys, give a row of each of their words;
+    of the others, which must be distinct, words are counted, without a key.  Both filters are
+    of fixed size and let some others through: the join after it drops the words, and a text
+    marked without need is counted by its own rows.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["term", "texts"]
+        names = ["term", "text_key", "texts"]
         held: list[np.ndarray] = []
-
-        def out() -> pa.RecordBatch:
-            t, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.uint64), np.empty(0, np.int64))
+        single: list[tuple[np.ndarray, np.ndarray]] = []
+        seen: set[int] = set()
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if held:
+                t, n = np.unique(np.concatenate(held), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.nulls(len(t), pa.int64()), pa.array(n.astype(np.int64))], names)
+            if single:
+                t, k = (np.concatenate(x) for x in zip(*single))
+                yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(k), pa.array(np.ones(len(t), np.int64))], names)
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(n.astype(np.int64))], names)
+            single.clear()
 
         for b in batches:
-            for _, _, data, offsets in pieces(b):
+            keys = b.column("text_key").to_numpy(zero_copy_only=False)
+            mark = passes(marked, keys)
+            again = np.zeros(len(keys), bool)
+            for i in np.flatnonzero(mark).tolist():
+                again[i] = int(keys[i]) in seen
+                seen.add(int(keys[i]))
+            for lo, hi, data, offsets in pieces(b):
                 w = words(data, offsets)
-                pick = passes(keep, w.hashes)
+                pick = passes(keep, w.hashes) & ~again[lo:hi][w.doc]
                 h, d = w.hashes[pick], w.doc[pick]
                 order = np.lexsort((h, d))
                 h, d = h[order], d[order]
                 new = np.ones(len(h), bool)
                 new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
-                held.append(h[new])
-            if sum(map(len, held)) > 2_000_000:
-                yield out()
-        yield out()
+                h, d = h[new], d[new]
+                one = mark[lo:hi][d]
+                held.append(h[~one])
+                single.append((h[one], keys[lo:hi][d[one]]))
+                if sum(map(len, held)) + sum(len(t) for t, _ in single) > 2_000_000:
+                    yield from out()
+        yield from out()
 
-    return docs.select("text").mapInArrow(count, "term long, texts long").groupBy("term").agg(F.sum("texts").alias("texts"))
+    return docs.select("text", "text_key").mapInArrow(count, "term long, text_key long, texts long")
 
 
 def find(docs: DataFrame, generalise: float = 0.5, remove: float = 0.8, least_contexts: int = 2,
@@ -172,21 +194,32 @@ def find(docs: DataFrame, generalise: float = 0.5, remove: float = 0.8, least_co
                       F.xxhash64(text_col).alias("text_key"))
     kept = f"doc_id {src.schema['doc_id'].dataType.simpleString()}, text_key long"
     found = saved(src.mapInArrow(_with_ids(_find), f"{kept}, {_FOUND}"), "privacy")
-    near = found.where(F.size("near") > 0).select("row", F.explode("near").alias("n")).select("row", "n.*")
-
-    # how often a word stands near an entity, over distinct contexts
-    pairs = near.groupBy("kind", "value", "term", "context").agg(F.lit(1).alias("one")).groupBy("kind", "value", "term").agg(F.count("*").alias("together"))
-    pairs = pairs.where(F.col("together") >= least_contexts)
-    holders = near.select("kind", "value", "row").distinct().groupBy("kind", "value").agg(F.count("*").alias("holders"))
-    pairs = saved(pairs.join(holders, ["kind", "value"]), "privacy-pairs")
-    keep = slot_filter(pairs, "term")
-    texts = text_counts(docs.select(F.col(text_col).alias("text")), keep)
-    total = F.lit(float(max(2, found.count())))
-    entity = F.least(F.col("holders") / total, F.lit(0.5))
-    given = F.least(F.col("together") / F.col("texts"), F.lit(1.0))
-    share = F.log2(given / entity) / -F.log2(entity)
-    strong = pairs.join(texts, "term").withColumn("share", share).where(F.col("share") >= generalise).select("kind", "value", "term", "share")
-    term_spans = near.join(strong, ["kind", "value", "term"]).groupBy("row", "start", "end").agg(F.max("share").alias("share"))
+    entity = F.xxhash64("kind", "value").alias("entity")
+    near = found.where(F.size("near") > 0).select("row", F.explode("near").alias("n")).select("row", "n.*").select("row", entity, "term", "context", "start", "end")
+
+    # terms of an entity: words near it in several contexts
+    pairs = near.groupBy("entity", "term", "context").agg(F.lit(1).alias("one")).groupBy("entity", "term").agg(F.count("*").alias("contexts"))
+    pairs = saved(pairs.where(F.col("contexts") >= least_contexts).select("entity", "term"), "privacy-pairs")
+    # the texts that hold these entities, each text once
+    holding = found.where(F.size("entities") > 0).select("text_key", F.explode("entities").alias("e")).select("text_key", "e.*").select("text_key", entity)
+    holding = saved(holding.distinct().join(pairs.select("entity").distinct(), "entity", "left_semi"), "privacy-holding")
+    copies = found.groupBy("text_key").agg(F.count("*").alias("copies"))
+    copied = copies.where(F.col("copies") > 1).select("text_key")
+    marked = slot_filter(holding.select("text_key").unionByName(copied), "text_key")
+    counted = saved(text_words(src, slot_filter(pairs, "term"), marked), "privacy-words")
+    held = saved(counted.where(F.col("text_key").isNotNull()).select("term", "text_key").distinct(), "privacy-held")
+    # how many distinct texts hold a term, an entity, both, and how many there are
+    texts = counted.where(F.col("text_key").isNull()).select("term", "texts").unionByName(held.select("term", F.lit(1).cast("long").alias("texts")))
+    texts = texts.groupBy("term").agg(F.sum("texts").alias("texts"))
+    holders = holding.groupBy("entity").agg(F.count("*").alias("holders"))
+    together = held.join(holding, "text_key").groupBy("entity", "term").agg(F.count("*").alias("together"))
+    total = F.lit(float(max(2, copies.count())))
+    known = F.least(F.col("holders") / total, F.lit(0.5))
+    given = F.col("together") / F.col("texts")
+    share = F.log2(given / known) / -F.log2(known)
+    strong = pairs.join(together, ["entity", "term"]).join(holders, "entity").join(texts, "term").withColumn("share", share)
+    strong = strong.where(F.col("share") >= generalise).select("entity", "term", "share")
+    term_spans = near.join(strong, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("share").alias("share"))
     term_spans = term_spans.groupBy("row").agg(F.collect_list(F.struct(
         "start", F.lit(len(KINDS)).alias("kind"), "end", F.lit("term").alias("name"),
         F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action"))).alias("terms"))

@@ -80,6 +80,21 @@ def test_private_spans_and_terms(spark):
     assert privacy.report(privacy.find(docs(spark, []))).count() == 0
 
 
+def test_terms_are_counted_in_distinct_texts(spark):
+    # one page with 200 copies and one other text; then a signature equal in many texts
+    page, signed = "a b zebrafish jo@site.example.com c d", " ".join(f"s{i}" for i in range(8)) + " okapi al@site.example.com " + " ".join(f"e{i}" for i in range(8))
+    rows = [(i, page, "s") for i in range(200)] + [(300, "e f zebrafish jo@site.example.com g h", "s")]
+    rows += [(400 + i, f"body{i} {signed} end{i}", "s") for i in range(6)] + [(420, "u v okapi al@site.example.com w x", "s")]
+    rows += [(1000 + i, f"a b c d filler{i}", "s") for i in range(300)]
+    clean = {r.doc_id: r.text for r in privacy.sanitise(docs(spark, rows)).collect()}
+    assert len(clean) == len(rows)
+    for i in [0, 199, 300]:
+        assert "zebrafish" not in clean[i] and "[EMAIL]" in clean[i]
+    for i in [400, 405, 420]:
+        assert "okapi" not in clean[i] and "[EMAIL]" in clean[i]
+    assert clean[0].startswith("a b ") and clean[1000] == "a b c d filler0"
+
+
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
