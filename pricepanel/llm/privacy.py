@@ -7,8 +7,8 @@ entity's information that knowing the word gives,
 
     log2(p(entity | word) / p(entity)) / -log2 p(entity)
 
-and is generalised from ``generalise`` on, removed from ``remove`` on.  A word seen near an entity
-in one context only says nothing about co-occurrence and is left alone.  All counts are of distinct
+and is generalised from ``generalise`` on, removed from ``remove`` on, wherever it stands: far from
+the entity and in texts without it too.  A word seen near an entity in one context only says nothing about co-occurrence and is left alone.  All counts are of distinct
 texts (by their hash), however many rows hold copies of a text.
 
 Each text is read by itself; counts are combined per task before the shuffle, so neither a common
@@ -107,13 +107,12 @@ def hash_words(items: list[str]) -> np.ndarray:
 
 
 _FOUND = ("row long, spans array<struct<start:long,kind:int,end:long>>, entities array<struct<kind:int,value:string>>, "
-          "near array<struct<kind:int,value:string,context:long,term:long,start:long,end:long>>")
+          "near array<struct<kind:int,value:string,context:long,term:long>>")
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
-    close = pa.list_(pa.struct([("kind", pa.int32()), ("value", pa.string()), ("context", pa.int64()), ("term", pa.int64()),
-                                ("start", pa.int64()), ("end", pa.int64())]))
+    close = pa.list_(pa.struct([("kind", pa.int32()), ("value", pa.string()), ("context", pa.int64()), ("term", pa.int64())]))
     entity = pa.list_(pa.struct([("kind", pa.int32()), ("value", pa.string())]))
     for b in batches:
         spans, entities, near = [], [], []
@@ -127,8 +126,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if w:
                     terms = [text[p:q] for p, q in w]
                     context = int(hash_words(["\x01".join(terms)])[0])
-                    rows += [{"kind": k, "value": text[s:e].lower(), "context": context, "term": int(h), "start": p, "end": q}
-                             for h, (p, q) in zip(hash_words(terms), w)]
+                    rows += [{"kind": k, "value": text[s:e].lower(), "context": context, "term": int(h)} for h in hash_words(terms)]
             near.append(rows)
         yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(spans, span), pa.array(entities, entity), pa.array(near, close)],
                                           ["row", "spans", "entities", "near"])
@@ -185,6 +183,35 @@ def text_words(docs: DataFrame, keep: np.ndarray, marked: np.ndarray) -> DataFra
     return docs.select("text", "text_key").mapInArrow(count, "term long, text_key long, texts long")
 
 
+def places(docs: DataFrame, keep: np.ndarray) -> DataFrame:
+    """text_key, term, start, end: where words let through by a filter of word hashes stand, in
+    code points; copies of a text give the same rows, once a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for b in batches:
+            keys = b.column("text_key").to_numpy(zero_copy_only=False)
+            again = np.zeros(len(keys), bool)
+            for lo, hi, data, offsets in pieces(b):
+                w = words(data, offsets)
+                pick = np.flatnonzero(passes(keep, w.hashes))
+                doc = w.doc[pick]
+                for i in np.unique(doc).tolist():
+                    again[lo + i] = int(keys[lo + i]) in seen
+                    seen.add(int(keys[lo + i]))
+                new = ~again[lo:hi][doc]
+                pick, doc = pick[new], doc[new]
+                if not len(pick):
+                    continue
+                chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+                before = chars[offsets[doc]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[lo:hi][doc]), pa.array(w.hashes[pick].view(np.int64)), pa.array(chars[w.starts[pick]] - before), pa.array(chars[w.ends[pick]] - before)],
+                    ["text_key", "term", "start", "end"])
+
+    return docs.select("text", "text_key").mapInArrow(run, "text_key long, term long, start long, end long")
+
+
 def find(docs: DataFrame, generalise: float = 0.5, remove: float = 0.8, least_contexts: int = 2,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, row, text_key, spans(start, kind, end, name, action): base spans and disclosing
@@ -195,7 +222,7 @@ def find(docs: DataFrame, generalise: float = 0.5, remove: float = 0.8, least_co
     kept = f"doc_id {src.schema['doc_id'].dataType.simpleString()}, text_key long"
     found = saved(src.mapInArrow(_with_ids(_find), f"{kept}, {_FOUND}"), "privacy")
     entity = F.xxhash64("kind", "value").alias("entity")
-    near = found.where(F.size("near") > 0).select("row", F.explode("near").alias("n")).select("row", "n.*").select("row", entity, "term", "context", "start", "end")
+    near = found.where(F.size("near") > 0).select(F.explode("near").alias("n")).select("n.*").select(entity, "term", "context")
 
     # terms of an entity: words near it in several contexts
     pairs = near.groupBy("entity", "term", "context").agg(F.lit(1).alias("one")).groupBy("entity", "term").agg(F.count("*").alias("contexts"))
@@ -218,16 +245,20 @@ def find(docs: DataFrame, generalise: float = 0.5, remove: float = 0.8, least_co
     given = F.col("together") / F.col("texts")
     share = F.log2(given / known) / -F.log2(known)
     strong = pairs.join(together, ["entity", "term"]).join(holders, "entity").join(texts, "term").withColumn("share", share)
-    strong = strong.where(F.col("share") >= generalise).select("entity", "term", "share")
-    term_spans = near.join(strong, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("share").alias("share"))
-    term_spans = term_spans.groupBy("row").agg(F.collect_list(F.struct(
+    strong = strong.where(F.col("share") >= generalise).groupBy("term").agg(F.max("share").alias("share"))
+    strong = saved(strong, "privacy-strong")
+    # where these terms stand, in all texts
+    term_spans = places(src, slot_filter(strong, "term")).join(strong, "term").groupBy("text_key", "start", "end").agg(F.max("share").alias("share"))
+    term_spans = term_spans.groupBy("text_key").agg(F.collect_list(F.struct(
         "start", F.lit(len(KINDS)).alias("kind"), "end", F.lit("term").alias("name"),
         F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action"))).alias("terms"))
     names = F.array(*[F.lit(k) for k in KINDS])
     base = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"),
                                                    F.element_at(names, s["kind"] + 1).alias("name"), F.lit("replace").alias("action")))
-    out = found.select("row", "doc_id", "text_key", base.alias("base")).join(term_spans, "row", "left")
-    return out.select("doc_id", "row", "text_key", F.array_sort(F.concat("base", F.coalesce("terms", F.array()))).alias("spans"))
+    out = found.select("row", "doc_id", "text_key", base.alias("base")).join(term_spans, "text_key", "left")
+    # a word that is part of a base span goes with it
+    apart = F.filter("terms", lambda t: ~F.exists("base", lambda s: (t["start"] < s["end"]) & (s["start"] < t["end"])))
+    return out.select("doc_id", "row", "text_key", F.array_sort(F.concat("base", F.coalesce(apart, F.array()))).alias("spans"))
 
 
 def _with_ids(fn):

@@ -95,6 +95,22 @@ def test_terms_are_counted_in_distinct_texts(spark):
     assert clean[0].startswith("a b ") and clean[1000] == "a b c d filler0"
 
 
+def test_disclosing_terms_far_from_their_entity(spark):
+    far = " ".join(["common"] * 12)
+    rows = [(i, f"w{i} x{i} zebrafish jo@site.example.com y{i}", "s") for i in range(8)]
+    rows += [(20, f"ñ😀 Zebrafish {far} zebrafish jo@site.example.com {far}\tzebrafish", "s"), (21, "ü before zebrafish after", "s"), (21, "ü before zebrafish after", "s")]
+    rows += [(30, "zebrafish@site.example.com common", "s")] + [(100 + i, f"common filler{i}", "s") for i in range(200)]
+    found = privacy.find(docs(spark, rows)).collect()
+    terms = {r.doc_id: [(s.start, s.end) for s in r.spans if s.name == "term"] for r in found}
+    assert len(found) == len(rows)
+    for i in [20, 21]:
+        text = next(t for d, t, _ in rows if d == i)
+        assert terms[i] == [m.span() for m in re.finditer("zebrafish", text, re.I)]
+    assert terms[30] == [] and terms[100] == []
+    clean = {r.doc_id: r.text for r in privacy.sanitise(docs(spark, rows)).collect()}
+    assert clean[21] in ("ü before  after", "ü before [TERM] after") and "ebrafish" not in clean[20] and "common" in clean[20]
+
+
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
