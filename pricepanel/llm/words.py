@@ -87,15 +87,10 @@ def split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def trim(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words without ASCII punctuation at either end; words of nothing else are left out."""
-    for _ in range(8):
-        left = (starts < ends) & _PUNCTUATION[data[np.minimum(starts, len(data) - 1)]]
-        starts = starts + left
-        right = (starts < ends) & _PUNCTUATION[data[np.maximum(ends - 1, 0)]]
-        ends = ends - right
-        if not (left.any() or right.any()):
-            break
-    keep = starts < ends
-    starts, ends = starts[keep], ends[keep]
+    solid = np.flatnonzero(~_PUNCTUATION[data])
+    left, right = np.searchsorted(solid, starts), np.searchsorted(solid, ends)
+    keep = left < right
+    starts, ends = solid[left[keep]], solid[right[keep] - 1] + 1
     return starts, ends, np.searchsorted(starts, offsets)
 
 

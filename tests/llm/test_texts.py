@@ -47,6 +47,15 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 
+def test_long_runs_of_marks_are_trimmed():
+    texts = ["price" + "." * 40 + " " + "*" * 9 + "bold" + "*" * 9 + " " + "-" * 100_000 + " a-b", "", "#" * 17, "price bold a-b"]
+    data, offsets = words.text_bytes(pa.array(texts))
+    w = words.words(data, offsets, trimmed=True)
+    assert w.counts.tolist() == [3, 0, 0, 3]
+    assert [bytes(data[a:b]).decode() for a, b in zip(w.starts, w.ends)] == ["price", "bold", "a-b"] * 2
+    assert w.hashes[:3].tolist() == w.hashes[3:].tolist()
+
+
 def plain_private(t):
     s = [(m.start(), 0, m.end()) for m in EMAIL.finditer(t)]
     s += [(m.start(), 1, m.end()) for m in IP.finditer(t) if all(int(p) <= 255 for p in m[0].split("."))]
