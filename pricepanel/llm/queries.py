@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricepanel.llm import ann, chat, decontaminate, mixing, neardup, ngram_lm, privacy, quality, secrets, tokens
+from pricepanel.llm import ann, chat, decontaminate, importance, lexical, mixing, neardup, ngram_lm, privacy, quality, secrets, tokens
 from pricepanel.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -118,6 +118,69 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+# The checksum goes byte by byte over a table made from its polynomial; each run of words that
+# occurs is read once.
+_RESAMPLE_SQL = r"""
+WITH RECURSIVE bits AS (
+  SELECT i AS b, i::UBIGINT AS c, 0 AS k FROM range(256) t(i)
+  UNION ALL SELECT b, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS tab FROM bits WHERE k = 8),
+worded AS (
+  SELECT 'd' AS kind, row_number() OVER () AS id, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT 't', row_number() OVER (), NULL, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+spread AS (SELECT kind, id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM worded),
+ahead AS (SELECT kind, id, w, lead(w) OVER line AS w2, lead(w, 2) OVER line AS w3 FROM spread WINDOW line AS (PARTITION BY kind, id ORDER BY i)),
+runs AS (SELECT kind, id, w AS feature FROM ahead UNION ALL SELECT kind, id, w || ' ' || w2 FROM ahead WHERE w2 IS NOT NULL
+         UNION ALL SELECT kind, id, w || ' ' || w2 || ' ' || w3 FROM ahead WHERE w3 IS NOT NULL),
+texts AS (SELECT feature, hex(encode(feature)) AS h FROM (SELECT DISTINCT feature FROM runs)),
+buckets AS (
+  SELECT feature, xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(1, len(h), 2), lambda p: ('0x' || substr(h, p, 2))::UBIGINT)),
+         lambda c, b: xor(c >> 8, tab[(xor(c, b) % 256)::BIGINT + 1])), 4294967295) % 10000 AS bucket
+  FROM texts, crc),
+hits AS (SELECT kind, id, bucket, count(*) AS n FROM runs JOIN buckets USING (feature) GROUP BY ALL),
+counts AS (SELECT bucket, coalesce(sum(n) FILTER (kind = 'd'), 0)::BIGINT AS s, coalesce(sum(n) FILTER (kind = 't'), 0)::BIGINT AS t FROM hits GROUP BY bucket),
+gains AS (SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1) * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM counts),
+weighed AS (
+  SELECT d.id, any_value(d.doc_id) AS doc_id, any_value(len(d.w)) AS words, coalesce(sum(n), 0)::BIGINT AS n_features, coalesce(sum(n * gain), 0)::BIGINT AS weight,
+         ('0x' || substr(sha256('42:' || coalesce(CAST(any_value(d.doc_id) AS VARCHAR), '')), 1, 8))::BIGINT AS h
+  FROM worded d LEFT JOIN hits ON hits.kind = 'd' AND hits.id = d.id LEFT JOIN gains USING (bucket) WHERE d.kind = 'd' GROUP BY d.id),
+scored AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score, words >= 20 AS fit FROM weighed),
+placed AS (SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id NULLS LAST, n_features) AS r, count(*) FILTER (fit) OVER () AS all_fit FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN fit AND r <= all_fit * 5 // 100 THEN r END AS rank FROM placed
+"""
+
+
+@query("op11_importance_resample", _RESAMPLE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_SEARCH_SQL = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS id, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+sized AS (SELECT id, doc_id, len(w) AS n, w, count(*) OVER () AS docs, sum(len(w)) OVER () AS total FROM split WHERE len(w) > 0),
+held AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(w) AS term FROM sized) GROUP BY ALL),
+used AS (SELECT term, count(*) AS df FROM held GROUP BY term),
+items AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+          FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+asked AS (SELECT item, item_id, term, count(*) AS times FROM (SELECT item, item_id, unnest(w) AS term FROM items) GROUP BY ALL),
+scored AS (
+  SELECT item, item_id, id, doc_id,
+         sum(times * floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total))))::BIGINT AS score
+  FROM asked JOIN used USING (term) JOIN held USING (term) JOIN sized USING (id) GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op13_lexical_search", _SEARCH_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline

@@ -14,6 +14,9 @@ import pyarrow as pa
 
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: For terms of letters and digits: all ASCII bytes but those separate.
+NOT_ALNUM = np.zeros(256, bool)
+NOT_ALNUM[[*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -68,12 +71,12 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
 
-def split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def split(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First and last+1 byte of every word, and the first word of each text."""
     n = len(data)
     if not n:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = ~SEPARATOR[data]
+    inside = ~separator[data]
     begin, end = inside.copy(), inside.copy()
     begin[1:] &= ~inside[:-1]
     end[:-1] &= ~inside[1:]
@@ -94,8 +97,8 @@ def trim(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.nda
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def words(data: np.ndarray, offsets: np.ndarray, trimmed: bool = False) -> Words:
-    starts, ends, first = split(data, offsets)
+def words(data: np.ndarray, offsets: np.ndarray, trimmed: bool = False, separator: np.ndarray = SEPARATOR) -> Words:
+    starts, ends, first = split(data, offsets, separator)
     if trimmed and len(starts):
         starts, ends, first = trim(data, offsets, starts, ends)
     n = len(data)
