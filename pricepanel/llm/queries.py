@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricepanel.llm import ann, chat, decontaminate, importance, lexical, mixing, neardup, ngram_lm, privacy, quality, secrets, tokens
+from pricepanel.llm import ann, chat, decontaminate, extract, importance, lexical, mixing, neardup, ngram_lm, privacy, quality, secrets, tokens
 from pricepanel.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -156,6 +156,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op12_block_labeller")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 _SEARCH_SQL = r"""
 WITH split AS (
   SELECT row_number() OVER () AS id, doc_id,
