@@ -1,43 +1,70 @@
 """Replacing slices of partitioned Parquet tables.
 
-Plain files have no DELETE.  A slice is replaced by rewriting just the partitions it touches
-with Spark's dynamic partition overwrite: the job writes to a staging folder and partitions
-are swapped in when all tasks are done, so the table may be read by the same job, and a lost
-executor only repeats its tasks.  Partitions left without rows are emptied afterwards.  A writer
-can be repeated after a failure and ends in the same state, with one exception: a driver lost
-while the staged partitions are renamed, the last step, can leave a partition out, and
-``replace_range`` has then lost the rows it kept of the range's two boundary months.
+Plain files have no DELETE.  A slice is replaced by writing the rows that stay of the partitions
+it touches, and the new rows, to a folder of their own, and then publishing a version of the table
+that lists this folder in place of those partitions (``manifest``).  Publishing is one rename:
+readers, also those already running, see the table before or after it, never between; a driver or
+executor lost at any time leaves the old rows readable, and the job can simply be run again.
+Partitions left without rows are only left out of the list.
+
+A writer that finds its number taken looks at the version published in between: where that has
+not changed the partitions it replaces, it publishes on top of it, else it starts again.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+import uuid
+from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from pricepanel.sinks import manifest as M
+
 # Characters Spark escapes in partition folder names.
 ESCAPED = set('"#%\'*/:=?\\{[]^\x7f') | {chr(i) for i in range(1, 32)}
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+#: Times a writer starts again after others were first.
+ATTEMPTS = 5
 
 
-def find_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """The table, or None if it was never written."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def _read(spark: SparkSession, path: str, schema: T.StructType, version: M.Manifest) -> DataFrame:
+    folders = sorted({f"{path}/{f}" for fs in version.folders.values() for f in fs})
+    if not folders:
+        return spark.createDataFrame([], schema)
+    found = spark.read.schema(schema).option("basePath", path).parquet(*folders)
+    return found.select(*[F.col(f.name) for f in schema])
+
+
+def find_table(spark: SparkSession, path: str, schema: T.StructType, number: int | None = None) -> DataFrame | None:
+    """The table, or its version ``number``; None if it was never written."""
+    version = M.newest(spark, path) if number is None else M.load(spark, path, number)
+    return None if version is None else _read(spark, path, schema, version)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: T.StructType, number: int | None = None) -> DataFrame:
     """The table, or no rows if it was never written."""
-    found = find_table(spark, path, schema)
+    found = find_table(spark, path, schema, number)
     return spark.createDataFrame([], schema) if found is None else found
 
 
+def version(spark: SparkSession, path: str) -> int:
+    """Number of the newest version, 0 if the table was never written."""
+    return max(M.numbers(spark, path), default=0)
+
+
+def partition_values(spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str], number: int | None = None) -> DataFrame:
+    """The values of the partition columns that have rows, from the manifest alone."""
+    found = M.newest(spark, path) if number is None else M.load(spark, path, number)
+    return _values(spark, schema, by, found or M.NOTHING)
+
+
+def _values(spark: SparkSession, schema: T.StructType, by: Sequence[str], found: M.Manifest) -> DataFrame:
+    text = T.StructType([T.StructField(c, T.StringType()) for c in by])
+    rows = spark.createDataFrame(list(found.folders), text)  # one row per partition
+    return rows.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in by])
+
+
 def _folder(by: Sequence[str], values: Sequence[object]) -> str:
     def text(v: object) -> str:
         if v is None:
@@ -47,106 +74,107 @@ def _folder(by: Sequence[str], values: Sequence[object]) -> str:
     return "/".join(f"{k}={text(v)}" for k, v in zip(by, values))
 
 
-def overwrite_partitions(rows: DataFrame, path: str, by: Sequence[str], sort: Sequence[str] = ()) -> None:
-    """Write ``rows`` over the partitions they belong to, leaving all others."""
+def _write(rows: DataFrame, path: str, schema: T.StructType, by: Sequence[str], sort: Sequence[str]) -> dict[M.Partition, str]:
+    """Write rows to a version folder of their own; the folder of each partition."""
+    name = f"version={uuid.uuid4().hex}"
     # gathers a partition's rows into few files, and splits one too large for a task
     out = rows.hint("rebalance", *by)
     if sort:
         out = out.sortWithinPartitions(*by, *sort)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-
-
-def _partitions(table: DataFrame, by: Sequence[str]) -> dict[tuple, str]:
-    """One file name per partition that has rows.  Reads no data columns."""
-    text = [F.col(c).cast("string").alias(c) for c in by]
-    files = table.select(*text, F.col("_metadata.file_path").alias("file"))
-    rows = files.groupBy(*by).agg(F.min("file").alias("file")).collect()  # one row per partition
-    return {tuple(r[:-1]): r["file"] for r in rows}
-
-
-def _empty_partitions(spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str],
-                      parts: Iterable[tuple]) -> None:
-    inner = T.StructType([f for f in schema if f.name not in by])
-    for part in parts:
-        spark.createDataFrame([], inner).write.mode("overwrite").parquet(f"{path}/{_folder(by, part)}")
+    out.write.partitionBy(*by).parquet(f"{path}/{name}")
+    spark, text = rows.sparkSession, [F.col(c).cast("string").alias(c) for c in by]
+    # partition columns only: no data column is read
+    found = spark.read.schema(schema).parquet(f"{path}/{name}").select(*text).distinct().collect()
+    return {tuple(r): f"{name}/{_folder(by, tuple(r))}" for r in found}
 
 
 def replace_rows(
     spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str], gone: Column, new: DataFrame,
     touched: Column | None = None, sort: Sequence[str] = (),
-) -> None:
-    """Delete the rows where ``gone`` holds and add ``new``.
+) -> int:
+    """Delete the rows where ``gone`` holds and add ``new``; the number of the version made.
 
     ``touched`` limits the partitions looked at (default: ``gone``); it must hold for every
-    row of the partitions concerned and may use partition columns only, so that the read is
-    pruned to them.  An empty ``new`` still deletes.
+    row of the partitions concerned and may use partition columns only.  Rows of ``new`` in
+    other partitions are added to those.  An empty ``new`` still deletes.
     """
     touched = gone if touched is None else touched
     fitted = new.select(*[F.col(f.name).cast(f.dataType) for f in schema])
-    table = find_table(spark, path, schema)
-    if table is None:
-        overwrite_partitions(fitted, path, by, sort)
-        return
-    old = table.where(touched)
-    before = _partitions(old, by)
-    kept = old.where(~F.coalesce(gone, F.lit(False)))
-    overwrite_partitions(kept.unionByName(fitted), path, by, sort)
-    if before:
-        # file names are unique per job: a name that is still there was not overwritten
-        after = _partitions(find_table(spark, path, schema).where(touched), by)
-        stale = [part for part, file in before.items() if after.get(part) == file]
-        _empty_partitions(spark, path, schema, by, stale)
-
-
-def replace_model(spark: SparkSession, path: str, schema: T.StructType, model: str, new: DataFrame) -> None:
+    for _ in range(ATTEMPTS):
+        base = M.newest(spark, path) or M.NOTHING
+        parts = [tuple(r) for r in _values(spark, schema, by, base).where(touched).select(*[F.col(c).cast("string") for c in by]).collect()]
+        old = M.Manifest(base.number, {p: base.folders[p] for p in parts})
+        rows = fitted
+        if parts:
+            rows = _read(spark, path, schema, old).where(~F.coalesce(gone, F.lit(False))).unionByName(fitted)
+        added = _write(rows, path, schema, by, sort)
+        for _ in range(ATTEMPTS):
+            made = base.replaced(parts, added)
+            try:
+                M.publish(spark, path, made)
+                return made.number
+            except M.Conflict:
+                base = M.newest(spark, path)
+                here = [tuple(r) for r in _values(spark, schema, by, base).where(touched).select(*[F.col(c).cast("string") for c in by]).collect()]
+                if {p: base.folders[p] for p in here} != old.folders:
+                    break  # the rows that stay are others now
+    raise M.Conflict(f"{path}: other writers were first {ATTEMPTS} times")
+
+
+def write_table(spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str], rows: DataFrame, sort: Sequence[str] = ()) -> int:
+    """Make ``rows`` the whole table; the number of the version made."""
+    return replace_rows(spark, path, schema, by, F.lit(True), rows, sort=sort)
+
+
+def replace_model(spark: SparkSession, path: str, schema: T.StructType, model: str, new: DataFrame) -> int:
     """All rows of one model; the table is partitioned by model."""
-    replace_rows(spark, path, schema, ["model"], F.col("model") == model, new)
+    return replace_rows(spark, path, schema, ["model"], F.col("model") == model, new)
 
 
-def delete_models(spark: SparkSession, path: str, schema: T.StructType, models: Sequence[str]) -> None:
+def delete_models(spark: SparkSession, path: str, schema: T.StructType, models: Sequence[str]) -> int:
     none = spark.createDataFrame([], schema)
-    replace_rows(spark, path, schema, ["model"], F.col("model").isin(list(models)), none)
+    return replace_rows(spark, path, schema, ["model"], F.col("model").isin(list(models)), none)
 
 
 def replace_range(
     spark: SparkSession, path: str, schema: T.StructType, lo: dt.date | None, hi: dt.date | None, new: DataFrame,
-) -> None:
+) -> int | None:
     """All rows with lo <= date <= hi; the table is partitioned by ``month``.
 
     Old dates in the range that ``new`` does not bring vanish.  Without a range nothing happens.
     """
     if lo is None or hi is None:
-        return
+        return None
     months = F.col("month").between(F.trunc(F.lit(lo), "MM"), F.trunc(F.lit(hi), "MM"))
     dated = new.withColumn("month", F.trunc("date", "MM"))
-    replace_rows(spark, path, schema, ["month"], F.col("date").between(F.lit(lo), F.lit(hi)), dated,
+    return replace_rows(spark, path, schema, ["month"], F.col("date").between(F.lit(lo), F.lit(hi)), dated,
                  touched=months, sort=["date"])
 
 
 def replace_day(
     spark: SparkSession, path: str, schema: T.StructType, day: dt.date, new: DataFrame, by: str = "run_date",
     sort: Sequence[str] = (),
-) -> None:
+) -> int:
     """The partition of one run date."""
-    replace_rows(spark, path, schema, [by], F.col(by) == F.lit(day), new, sort=sort)
+    return replace_rows(spark, path, schema, [by], F.col(by) == F.lit(day), new, sort=sort)
 
 
 def replace_review(
     spark: SparkSession, path: str, schema: T.StructType, day: dt.date, table_name: str, new: DataFrame
-) -> None:
+) -> int:
     """The rows of one review date and reviewed table (both are partition columns)."""
     slice_ = (F.col("review_date") == F.lit(day)) & (F.col("table_name") == table_name)
-    replace_rows(spark, path, schema, ["review_date", "table_name"], slice_, new,
+    return replace_rows(spark, path, schema, ["review_date", "table_name"], slice_, new,
                  sort=["metric_group", "series"])
 
 
 def replace_runs(
     spark: SparkSession, path: str, schema: T.StructType, runs: DataFrame, new: DataFrame,
     sort: Sequence[str] = (),
-) -> None:
+) -> int:
     """Every run date listed in ``runs``, whether or not ``new`` has rows for it.
 
     Run dates are calendar days, so the list is short.
     """
     days = [r[0] for r in runs.select("run_date").distinct().collect()]
-    replace_rows(spark, path, schema, ["run_date"], F.col("run_date").isin(days), new, sort=sort)
+    return replace_rows(spark, path, schema, ["run_date"], F.col("run_date").isin(days), new, sort=sort)

@@ -832,7 +832,7 @@ CURRENT = columns_of("forecast_date date, model string, target bigint, predicted
 
 def _stored(spark, sf):
     path = scratch(spark)
-    K.overwrite_partitions(current_long(spark, sf), path, ["model"])
+    K.write_table(spark, path, CURRENT, ["model"], current_long(spark, sf))
     return path
 
 
@@ -864,7 +864,7 @@ SERIES_TABLE = columns_of("series bigint, date date, value double, month date")
 def k3(spark, sf):
     path = scratch(spark)
     p = supplier_panel(spark, sf)
-    K.overwrite_partitions(p.withColumn("month", F.trunc("date", "MM")), path, ["month"])
+    K.write_table(spark, path, SERIES_TABLE, ["month"], p.withColumn("month", F.trunc("date", "MM")))
     lo, hi = dt.date(1999, 3, 10), dt.date(1999, 5, 20)
     new = P.business_days_only(p.where(F.col("date").between(F.lit(lo), F.lit(hi)) & (F.month("date") != 4)))
     K.replace_range(spark, path, SERIES_TABLE, lo, hi, new.withColumn("value", F.col("value") + 1))
@@ -878,8 +878,8 @@ def k4(spark, sf):
     path = scratch(spark)
     cur = current_long(spark, sf)
     both = blend.snapshot(cur, dt.date(2001, 8, 3)).unionByName(blend.snapshot(cur, AS_OF))
-    K.overwrite_partitions(both, path, ["run_date"])
     schema = T.StructType([*CURRENT.fields, T.StructField("run_date", T.DateType())])
+    K.write_table(spark, path, schema, ["run_date"], both)
     K.replace_day(spark, path, schema, AS_OF, blend.snapshot(cur.where("model = 'trend'"), AS_OF))
     return K.read_table(spark, path, schema)
 
@@ -892,7 +892,7 @@ def k5(spark, sf):
     g = gappy_panel(spark, sf)
     other = Q.Review(AS_OF, REVIEW.run_ts, "other")
     first = Q.flatline(g, REVIEW).unionByName(Q.flatline(g, other))
-    K.replace_rows(spark, path, S.QUALITY, ["review_date", "table_name"], F.lit(True), first)
+    K.write_table(spark, path, S.QUALITY, ["review_date", "table_name"], first)
     K.replace_review(spark, path, S.QUALITY, AS_OF, "panel", Q.null_share(g, REVIEW))
     return shown(K.read_table(spark, path, S.QUALITY), True).withColumn("t", F.lit("quality"))
 
@@ -907,7 +907,7 @@ MONTHLY = columns_of("run_date date, series bigint, date date, value double")
 def k6(spark, sf):
     path = scratch(spark)
     p = supplier_panel(spark, sf).withColumn("run_date", F.trunc("date", "MM"))
-    K.overwrite_partitions(p, path, ["run_date"])
+    K.write_table(spark, path, MONTHLY, ["run_date"], p)
     year = p.where(F.year("run_date") == 2000)
     new = year.where((F.month("run_date") != 7) & (F.col("series") % 2 == 1)).withColumn("value", F.col("value") * 2)
     K.replace_runs(spark, path, MONTHLY, year, new)
