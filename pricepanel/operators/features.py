@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pricepanel.functions.numbers import clean_number, divide
+from pricepanel.functions.transforms import yeo_johnson
+from pricepanel.session import saved
 
 # ---------------------------------------------------------------- calendar
 
@@ -256,34 +259,99 @@ def resolve_features(config: DataFrame, columns: Sequence[str], max_features: in
 # ---------------------------------------------------------------- transforms
 
 
+GRID = 12  # steps of one look at the likelihood
+SALTS = 16
+
+
 def fit_lambda(
     panel: DataFrame, kind: str = "yeojohnson", keys: Sequence[str] = ("series",), value: str = "value"
 ) -> DataFrame:
     """``keys, lam, shift``: the power parameter of maximum likelihood for every series.
 
-    One shuffle brings a daily series together (at most 366 values per year); the search over
-    the parameter is a few dozen vectorised passes over them.
+    The likelihood of a parameter needs two sums over the transformed values.  Each look is one
+    aggregation of these for a grid of parameters; the bracket around the best one, moved out
+    where the best stands at an edge, is the next look's grid, until the steps are so small that
+    a parabola through the best three gives the rest.  Values are counted first, so repeated ones
+    are transformed once, and joined to their series' bracket by salted keys: no task holds a
+    series, and what is shuffled in a look is a row per series and task.
     """
     keys = list(keys)
-    rows = panel.where(F.col(value).isNotNull()).select(*keys, value)
-
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        lam, shift = best_lambda(pdf[value].to_numpy("float64"), kind)
-        return pdf[keys].head(1).assign(lam=lam, shift=shift)
-
-    types = dict(rows.dtypes)
-    schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", lam double, shift double"
-    return spread(rows, keys).groupBy(*keys).applyInPandas(search, schema)
-
-
-def spread(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Partition by ``keys`` into the session's full number of shuffle partitions.
-
-    For groups that are small in bytes but costly to compute: adaptive execution merges
-    partitions by size and would put them all into one task.
-    """
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, *keys)
+    own = [f"key_{i}" for i in range(len(keys))]
+    rows = panel.where(F.col(value).isNotNull()).select(
+        *[F.col(k).alias(o) for k, o in zip(keys, own)], F.col(value).cast("double").alias("v"))
+    done = [*[F.col(o).alias(k) for k, o in zip(keys, own)], "lam", "shift"]
+    if kind not in ("yeojohnson", "boxcox"):
+        return rows.select(*own).distinct().withColumns({"lam": F.lit(0.0), "shift": F.lit(0.0)}).select(*done)
+    counted = saved(rows.groupBy(*own, "v").agg(F.count("*").cast("double").alias("times")), "values")
+    salted = counted.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+
+    def with_state(state: DataFrame) -> DataFrame:
+        """Values beside the state of their series."""
+        other = state.withColumnsRenamed({o: f"of_{o}" for o in own}).withColumn("of_salt", salts)
+        on = F.col("salt") == F.col("of_salt")
+        for o in own:
+            on = on & F.col(o).eqNullSafe(F.col(f"of_{o}"))
+        return salted.join(other, on).drop("of_salt", *[f"of_{o}" for o in own])
+
+    state = counted.groupBy(*own).agg(F.min("v").alias("least"), F.max("v").alias("most"))
+    low = F.col("least")
+    state = state.withColumn("shift", F.when(low <= 0, 1e-6 - low).otherwise(0.0) if kind == "boxcox" else F.lit(0.0))
+    logs = (F.log(F.greatest(F.col("v") + F.col("shift"), F.lit(1e-12))) if kind == "boxcox"
+            else F.signum("v") * F.log1p(F.abs("v")))
+    moments = with_state(state).groupBy(*own, "least", "most", "shift").agg(
+        F.sum("times").alias("n"), (F.sum(F.col("times") * logs) / F.sum("times")).alias("centre"),
+        (F.sum(F.col("times") * F.col("v")) / F.sum("times")).alias("mean"))
+    one_sided = F.lit(True) if kind == "boxcox" else F.col("least") >= 0
+    state = moments.withColumns({
+        "one_sided": one_sided, "lo": F.lit(-8.0), "hi": F.lit(10.0),
+        # a constant series has nothing to fit
+        "lam": F.when(F.col("least") == F.col("most"), 1.0)})
+    state = saved(state, "brackets")
+
+    # one-sided values over their geometric mean: the same likelihood but for a constant, and
+    # nothing overflows
+    def sums_at(i: int) -> str:
+        a = f"at[{i}]"
+        up = f"CASE WHEN abs({a}) < 1e-12 THEN log1p(v) ELSE try_divide(pow(v + 1, {a}) - 1, {a}) END"
+        down = f"CASE WHEN abs(2 - {a}) < 1e-12 THEN -log1p(-v) ELSE -try_divide(pow(1 - v, 2 - {a}) - 1, 2 - {a}) END"
+        one = f"CASE WHEN abs({a}) < 1e-12 THEN beside ELSE try_divide(expm1({a} * beside), {a}) END"
+        return f"CASE WHEN one_sided THEN {one} ELSE CASE WHEN v >= 0 THEN {up} ELSE {down} END - anchor[{i}] END AS t{i}"
+
+    carried = ["n", "shift", "centre", "mean", "one_sided", "lo", "hi"]
+    each = range(GRID + 1)
+    at = F.expr(f"transform(sequence(0, {GRID}), i -> lo + (hi - lo) * i / {GRID})")
+    anchor = F.transform("at", lambda a: yeo_johnson(F.col("mean"), a))
+    beside, transformed = logs - F.col("centre"), [F.expr(sums_at(i)) for i in each]
+    sums = F.expr("array(" + ", ".join(f"struct(sum(times * t{i}) AS s1, sum(times * t{i} * t{i}) AS s2)" for i in each) + ")").alias("sums")
+    likelihood = F.expr("""zip_with(sums, at, (s, a) -> CASE WHEN s.s2 / n - pow(s.s1 / n, 2) > 0 AND s.s2 / n - pow(s.s1 / n, 2) < double('Infinity')
+        THEN -0.5 * ln(s.s2 / n - pow(s.s1 / n, 2)) + CASE WHEN one_sided THEN 0 ELSE (a - 1) * centre END END)""")
+    best_place = F.expr("-array_max(filter(transform(l, (x, i) -> struct(x AS l, -i AS i)), x -> x.l IS NOT NULL)).i")
+    i, step, width = F.col("i"), (F.col("hi") - F.col("lo")) / GRID, F.col("hi") - F.col("lo")
+    best, inside = F.col("lo") + step * i, (i > 0) & (i < GRID)
+    off = F.expr("greatest(-1D, least(1D, coalesce(try_divide(get(l, i - 1) - get(l, i + 1), 2 * (get(l, i - 1) - 2 * get(l, i) + get(l, i + 1))), 0D)))")
+    # coarse looks keep both neighbours of the best; finer ones trust the parabola, and one that
+    # was wrong ends at an edge and is moved out again
+    vertex, coarse = best + step * off, step > 0.5
+    middle, reach = F.when(coarse, best).otherwise(vertex), F.when(coarse, step).otherwise(step / 10)
+    after = {
+        "lam": F.when(i.isNull(), 1.0).when(inside & (step <= 1e-3 * F.greatest(F.lit(1.0), F.abs(best))), vertex),
+        "lo": F.when(inside, middle - reach).when(i == 0, F.col("lo") - width).otherwise(F.col("lo")),
+        "hi": F.when(inside, middle + reach).when(i == GRID, F.col("hi") + width).otherwise(F.col("hi"))}
+    same = functools.reduce(Column.__and__, [F.col(o).eqNullSafe(F.col(f"of_{o}")) for o in own])
+    finished = []
+    while True:
+        finished.append(state.where("lam IS NOT NULL").select(*own, "lam", "shift"))
+        still = state.where("lam IS NULL").select(*own, *carried)
+        if not still.take(1):
+            break
+        # one row per series; all parameters of a look are sums of one pass
+        look = still.withColumn("at", at).withColumn("anchor", anchor)
+        values = with_state(look.select(*own, "shift", "centre", "one_sided", "at", "anchor")).withColumn("beside", beside)
+        found = values.select(*own, "times", *transformed).groupBy(*own).agg(sums).withColumnsRenamed({o: f"of_{o}" for o in own})
+        found = look.join(found, same).withColumn("l", likelihood).withColumn("i", best_place)
+        state = saved(found.withColumns(after).select(*own, *carried, "lam"), "brackets")
+    return functools.reduce(DataFrame.unionByName, finished).select(*done)
 
 
 def power_transform(y: np.ndarray, kind: str, lam: float, shift: float = 0.0) -> np.ndarray:
@@ -304,67 +372,6 @@ def power_transform(y: np.ndarray, kind: str, lam: float, shift: float = 0.0) ->
     return np.where(y >= 0, pos, neg)
 
 
-def best_lambda(y: np.ndarray, kind: str, low: float = -8.0, high: float = 10.0) -> tuple[float, float]:
-    """Parameter with the highest profile likelihood, and the shift that makes values positive.
-
-    A coarse grid finds the hill, a golden-section search its top.  ``low`` and ``high`` are
-    where the search starts, not limits: a side on which the likelihood still rises is moved out
-    until it falls or is no longer a number.
-    """
-    if kind not in ("yeojohnson", "boxcox"):
-        return 0.0, 0.0
-    shift = 0.0
-    if kind == "boxcox" and y.min() <= 0:
-        shift = 1e-6 - float(y.min())
-    if np.ptp(y) == 0:
-        return 1.0, shift  # constant series: nothing to fit
-    n = len(y)
-    values, times = np.unique(y, return_counts=True)  # repeated values are transformed once
-    one_sided = kind == "boxcox" or values[0] >= 0
-    if one_sided:
-        # over the geometric mean: the same likelihood but for a constant, and nothing overflows
-        logs = np.log(np.maximum(values + shift, 1e-12)) if kind == "boxcox" else np.log1p(values)
-        logs = logs - times @ logs / n
-        slope = 0.0
-    else:
-        slope = float(times @ (np.sign(values) * np.log1p(np.abs(values))))
-
-    def likelihood(lam: float) -> float:
-        with np.errstate(all="ignore"):
-            if not one_sided:
-                t = power_transform(values, kind, lam, shift)
-            else:
-                t = logs if abs(lam) < 1e-12 else np.expm1(lam * logs) / lam
-            var = float(times @ (t - times @ t / n) ** 2 / n)
-        if not np.isfinite(var) or var <= 0:
-            return -np.inf
-        return -n / 2 * np.log(var) + (lam - 1) * slope
-
-    while True:
-        grid = np.linspace(low, high, 37)
-        tries = [likelihood(x) for x in grid]
-        if not np.isfinite(max(tries)):
-            return 1.0, shift
-        i = int(np.argmax(tries))
-        if 0 < i < len(grid) - 1:
-            break
-        low, high = (low - (high - low), high) if i == 0 else (low, high + (high - low))
-    a, b = grid[i - 1], grid[i + 1]
-    ratio = (np.sqrt(5) - 1) / 2
-    c, d = b - ratio * (b - a), a + ratio * (b - a)
-    fc, fd = likelihood(c), likelihood(d)
-    while b - a > 1e-7:
-        if fc > fd:
-            b, d, fd = d, c, fc
-            c = b - ratio * (b - a)
-            fc = likelihood(c)
-        else:
-            a, c, fc = c, d, fd
-            d = a + ratio * (b - a)
-            fd = likelihood(d)
-    return float((a + b) / 2), shift
-
-
 # ---------------------------------------------------------------- model inputs
 
 

@@ -1,13 +1,15 @@
-"""Forecast jobs: one regression per (target, window, grid point), all of them in parallel.
+"""Forecast jobs: one regression per (target, window, grid point) from running sums.
 
 The bundled estimator is least squares on differenced, power-transformed values with
-autoregressive, seasonal and covariate terms; moving-average terms use the residuals of a
-long autoregression (the two-stage method of Hannan and Rissanen).  It is not a state-space
-likelihood fit: its numbers differ from one.  Forecasts of outside models come in as tables.
+autoregressive, seasonal, covariate and moving-average terms (``running_fit``).  It is not a
+state-space likelihood fit: its numbers differ from one.  Forecasts of outside models come in as
+tables.
 
-Spark partitions the work by target, and in backtests by (target, window, grid point): every
-fit is a group of its own.  Windows, training rows, inverse transform and scoring are Spark
-expressions.  A fit sees one daily series, at most 366 rows per year.
+History is shuffled once, by target, and read once, in date order: each fit keeps the sums of
+products of its terms, and a backtest solves for a window when the reading comes to its start.
+With one power parameter for all windows their fits share the sums; with one per window each has
+sums of its own.  No row is copied to windows or grid points, and memory is bounded by the terms
+and one Arrow batch.  Windows, inverse transform and scoring are Spark expressions.
 
 ``status`` says how a forecast came about: ``covariates``, ``no_covariates``, ``naive`` (only
 where a fallback is asked for), ``failed`` (no fit, NULL forecast), ``no_rows`` (the target has
@@ -16,130 +18,186 @@ no value, NULL forecast) or, in backtests, ``few_rows`` (window skipped, NULL fo
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import datetime as dt
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pricepanel.functions.dates import next_business_days
 from pricepanel.functions.transforms import inverse
-from pricepanel.operators.features import best_lambda, fit_lambda, power_transform, spread
+from pricepanel.operators.features import fit_lambda, power_transform
+from pricepanel.operators.running_fit import Covariates, Order, RunningFit
 from pricepanel.operators.scoring import fold_summary, ljung_box, rank_grid
 
-# (p, d, q), (P, D, Q, s)
-Order = tuple[tuple[int, int, int], tuple[int, int, int, int]]
+# ---------------------------------------------------------------- reading series
+
+
+@dataclass(frozen=True)
+class Job:
+    """What to fit; travels to the tasks."""
+
+    horizon: int
+    orders: Mapping[object, Sequence[Order]]
+    default: Sequence[Order]
+    transform: str
+    method: str
+    median_of: str
+    fallback: bool
+    min_rows: int
+    min_train: int
+
+
+class Series:
+    """One target: the windows still to come, and the running fits."""
+
+    def __init__(self, job: Job, target: object, windows: list[tuple[int, int, float, float]], width: int):
+        self.job, self.target, self.width = job, target, width
+        self.windows = sorted(windows)
+        orders = job.orders.get(target, job.default)
+        # windows of one power parameter share their sums
+        self.fits = {power: [RunningFit(o, width) for o in orders] for power in {w[2:] for w in self.windows}}
+        self.context = max((f.terms.context for fits in self.fits.values() for f in fits), default=0) + 1
+        self.covariates = Covariates(width, job.method, job.median_of)
+        self.y, self.columns, self.rows = np.empty(0), np.empty((0, 2 * width)), 0
+        self.out: list[tuple] = []
+
+    def add(self, days: np.ndarray, y: np.ndarray, x: np.ndarray) -> None:
+        """Rows in date order; windows that begin on the way are fitted on the rows before them."""
+        a = 0
+        while a < len(days):
+            while self.windows and self.windows[0][0] <= days[a]:
+                self._fit(self.windows.pop(0))
+            if not self.windows:
+                return
+            b = int(np.searchsorted(days, self.windows[0][0]))
+            self._piece(y[a:b], x[a:b])
+            a = b
+
+    def end(self) -> list[tuple]:
+        while self.windows:
+            self._fit(self.windows.pop(0))
+        return self.out
+
+    def _piece(self, y: np.ndarray, x: np.ndarray) -> None:
+        old = len(self.y)
+        self.y = np.concatenate([self.y, y])
+        self.columns = np.vstack([self.columns, self.covariates.columns(x)])
+        for (lam, shift), fits in self.fits.items():
+            t = power_transform(self.y, self.job.transform, lam, shift)
+            for f in fits:
+                back = min(old, f.terms.context)
+                f.add(t[old - back:], self.columns[old - back:], back)
+        self.rows += len(y)
+        self.y, self.columns = self.y[-self.context:], self.columns[-self.context:]
+
+    def _fit(self, window: tuple[int, int, float, float]) -> None:
+        _, window_id, lam, shift = window
+        job, n = self.job, self.rows
+        if n and n >= job.min_train:
+            centre = self.covariates.centre()
+            ahead = self.covariates.next(centre, job.horizon)
+            t = power_transform(self.y, job.transform, lam, shift)
+            for point, f in enumerate(self.fits[lam, shift]):
+                fit, status = self._attempts(f, t, centre, ahead)
+                self.out += [(self.target, window_id, point + 1, h + 1, None if np.isnan(v) else float(v), lam, shift, float(self.y[-1]), n,
+                              fit["aic"], fit["bic"], status) for h, v in enumerate(fit["path"])]
+        if not any(w[2:] == (lam, shift) for w in self.windows):
+            del self.fits[lam, shift]
+
+    def _attempts(self, f: RunningFit, t: np.ndarray, centre: np.ndarray, ahead: np.ndarray) -> tuple[dict, str]:
+        """The model with its covariates; with ``fallback`` then without them, then the last value
+        repeated, which is also all a series of fewer than ``min_rows`` rows gets."""
+        job = self.job
+        tries = ["covariates"] if self.width else []
+        if not self.width or job.fallback:
+            tries.append("no_covariates")
+        if job.fallback and self.rows < job.min_rows:
+            tries = []
+        back = min(len(t), f.terms.context + 1)
+        for status in tries:
+            try:
+                return f.forecast(t[-back:], self.columns[-back:], centre, ahead, status == "covariates"), status
+            except (ValueError, np.linalg.LinAlgError):
+                continue
+        path = np.repeat(t[-1] if job.fallback else np.nan, job.horizon)
+        return {"path": path, "aic": None, "bic": None}, "naive" if job.fallback else "failed"
 
 
-# ---------------------------------------------------------------- numeric helper
-
-
-def _difference(v: np.ndarray, lag: int) -> np.ndarray:
-    return v[lag:] - v[:-lag]
+FIT_SCHEMA = (
+    "window_id long, grid_point long, step long, t_hat double, lam double, shift double, y_base double, train_rows long, "
+    "aic double, bic double, status string"
+)
 
 
-def _design(y: np.ndarray, e: np.ndarray, x: np.ndarray, ar: list[int], ma: list[int], start: int) -> np.ndarray:
-    cols = [y[start - k: len(y) - k] for k in ar] + [e[start - k: len(y) - k] for k in ma]
-    cols += [x[start:, j] for j in range(x.shape[1])]
-    return np.column_stack(cols) if cols else np.zeros((len(y) - start, 0))
+def _reader(job: Job, types: list[pa.DataType]) -> Callable:
+    """Tasks get, target by target, its windows and then its rows in date order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["target", *[part.split()[0] for part in FIT_SCHEMA.split(", ")]]
+        current: Series | None = None
+        target, windows, done = None, [], []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            columns = list(zip(*done)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names)
+            done.clear()
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys = b.column("target")
+            edges = np.flatnonzero(np.r_[True, keys[1:].to_numpy(zero_copy_only=False) != keys[:-1].to_numpy(zero_copy_only=False), True])
+            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                key, part = keys[lo].as_py(), b.slice(lo, hi - lo)
+                if key != target:
+                    done += current.end() if current else []
+                    target, current, windows = key, None, []
+                    if len(done) > 10_000:
+                        yield from flush()
+                days, of_row = part.column("day").to_numpy(), part.column("is_row").to_numpy()
+                first = int(np.searchsorted(of_row, 1))  # windows come before rows
+                windows += [tuple(w) for w in zip(days[:first].tolist(), *(part.column(c)[:first].to_pylist() for c in ("window_id", "lam", "shift")))]
+                if first == len(days):
+                    continue
+                x = part.column("x")[first:]
+                flat = x.flatten().to_numpy(zero_copy_only=False).astype(float)
+                x = flat.reshape(len(days) - first, -1) if len(flat) else np.zeros((len(days) - first, 0))
+                if current is None:
+                    current = Series(job, target, windows, x.shape[1])
+                current.add(days[first:], part.column("y")[first:].to_numpy(), x)
+        done += current.end() if current else []
+        yield from flush()
+
+    return run
+
+
+def _fits(rows: DataFrame, windows: DataFrame, job: Job) -> DataFrame:
+    """``target`` and ``FIT_SCHEMA`` for ``windows``: ``target, window_id, window_start, lam,
+    shift``, one row each."""
+    kind = dict(rows.dtypes)["target"]
+    day = lambda c: F.datediff(F.col(c), F.lit(dt.date(1970, 1, 1)))
+    line = rows.where(F.col("target").isNotNull()).select(
+        "target", F.lit(1).alias("is_row"), day("date").alias("day"), F.col("y").cast("double").alias("y"), F.col("x").cast("array<double>").alias("x"),
+        F.lit(None).cast("long").alias("window_id"), F.lit(None).cast("double").alias("lam"), F.lit(None).cast("double").alias("shift"))
+    none = F.lit(None)
+    ahead = windows.where(F.col("target").isNotNull() & F.col("window_start").isNotNull()).select(
+        F.col("target").cast(kind).alias("target"), F.lit(0).alias("is_row"), day("window_start").alias("day"), none.cast("double").alias("y"),
+        none.cast("array<double>").alias("x"), F.col("window_id").cast("long").alias("window_id"),
+        F.coalesce("lam", F.lit(0.0)).alias("lam"), F.coalesce("shift", F.lit(0.0)).alias("shift"))
+    # adaptive execution would merge partitions by size, but fits are dear for their bytes
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    line = line.unionByName(ahead).repartition(n, "target").sortWithinPartitions("target", "is_row", "day")
+    schema = f"target {kind}, {FIT_SCHEMA}"
+    return line.mapInArrow(_reader(job, _arrow_types(line.sparkSession, schema)), schema)
 
 
-def fit_and_forecast(y: np.ndarray, x: np.ndarray, x_next: np.ndarray, order: Order) -> dict:
-    """Forecast ``len(x_next)`` steps; ``x``/``x_next`` may have no columns.
+def _arrow_types(spark, schema: str) -> list[pa.DataType]:
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-    Returns the path and the Gaussian AIC and BIC of the regression.  Raises ``ValueError``
-    where there are too few rows for the terms.  The long autoregression behind moving-average
-    terms has as many lags as the longest term of the model and five more.
-    """
-    (p, d, q), (sp, sd, sq, s) = order
-    lags = [1] * d + [s] * (sd if s else 0)
-    ar = sorted({*range(1, p + 1), *(s * i for i in range(1, sp + 1) if s)})
-    ma = sorted({*range(1, q + 1), *(s * i for i in range(1, sq + 1) if s)})
-
-    levels, z = [], y
-    xs = np.vstack([x, x_next])
-    for lag in lags:  # covariates are differenced like the series
-        levels.append(z)
-        z, xs = _difference(z, lag), _difference(xs, lag)
-    xz, xf = xs[: len(z)], xs[len(z):]
-    keep = np.ptp(xz, axis=0) > 0 if len(xz) else np.zeros(xz.shape[1], bool)
-    xz, xf = xz[:, keep], xf[:, keep]
-
-    e = np.zeros(len(z))
-    if ma:
-        m = max(ma + ar) + 5
-        if len(z) - m <= m + xz.shape[1]:
-            raise ValueError(f"{len(z)} rows for {m} lags")
-        long_ar = _design(z, e, xz, list(range(1, m + 1)), [], m)
-        e[m:] = z[m:] - long_ar @ np.linalg.lstsq(long_ar, z[m:], rcond=None)[0]
-        start = m + max(ma)
-    else:
-        start = 0
-    start = max([start, *ar, *ma]) if ar or ma else start
-    design = _design(z, e, xz, ar, ma, start)
-    n, k = design.shape
-    if n <= k + 1:
-        raise ValueError(f"{n} rows for {k} terms")
-    beta = np.linalg.lstsq(design, z[start:], rcond=None)[0]
-    sse = float(np.sum((z[start:] - design @ beta) ** 2))
-    fit = n * np.log(max(sse / n, 1e-300))
-
-    path, shocks = list(z), list(e)
-    for h in range(len(xf)):
-        row = [path[-j] for j in ar] + [shocks[-j] for j in ma] + list(xf[h])
-        path.append(float(np.dot(row, beta)) if row else 0.0)
-        shocks.append(0.0)
-    out = np.asarray(path[len(z):])
-    for lag, level in zip(reversed(lags), reversed(levels)):
-        full = list(level)
-        for step in out:
-            full.append(full[-lag] + step)
-        out = np.asarray(full[len(level):])
-    if not np.isfinite(out).all():
-        raise ValueError("forecast is not finite")
-    return {"path": out, "aic": fit + 2 * (k + 1), "bic": fit + np.log(n) * (k + 1)}
-
-
-def _most_common(column: np.ndarray) -> float:
-    """Most frequent number, the lowest on a tie."""
-    values, times = np.unique(column, return_counts=True)
-    return values[times.argmax()]
-
-
-def _covariates(x: np.ndarray, horizon: int, method: str, median_of: str) -> tuple[np.ndarray, np.ndarray]:
-    """Covariate history without gaps, and what stands for each covariate over the horizon.
-
-    A gap takes the newest number before it, a gap at the start the column's median (0 for a
-    column without numbers).
-    """
-    seen = np.isfinite(x)
-    newest = np.maximum.accumulate(np.where(seen, np.arange(len(x))[:, None], -1), axis=0)
-    held = newest >= 0
-    carried = np.take_along_axis(x, np.maximum(newest, 0), axis=0)
-    known = seen if median_of == "raw" else held
-    centre = np.array([np.median(carried[k, j]) if k.any() else 0.0 for j, k in enumerate(known.T)])
-    past = np.where(held, carried, centre)
-    row = {"median": lambda: centre, "mode": lambda: np.array([_most_common(c) for c in past.T]), "last": lambda: past[-1]}[method]()
-    return past, np.tile(row, (horizon, 1))
-
-
-def _attempts(y, x, horizon, order, method, median_of, fallback, min_rows) -> tuple[dict, str]:
-    """The model with its covariates; with ``fallback`` then without them, then the last value
-    repeated, which is also all a series of fewer than ``min_rows`` rows gets."""
-    none = np.zeros((len(y), 0))
-    tries = [("no_covariates", none, np.zeros((horizon, 0)))]
-    if x.shape[1]:
-        with_x = ("covariates", *_covariates(x, horizon, method, median_of))
-        tries = [with_x, *tries] if fallback else [with_x]
-    if fallback and len(y) < min_rows:
-        tries = []
-    for status, past, ahead in tries:
-        try:
-            return fit_and_forecast(y, past, ahead, order), status
-        except (ValueError, np.linalg.LinAlgError):
-            continue
-    path = np.repeat(y[-1] if fallback else np.nan, horizon)
-    return {"path": path, "aic": None, "bic": None}, "naive" if fallback else "failed"
+    return list(to_arrow_schema(spark.createDataFrame([], schema).schema).types)
 
 
 # ---------------------------------------------------------------- jobs
@@ -164,26 +222,6 @@ def target_rows(wide: DataFrame, features: Mapping[str, Sequence[str]], keep: Se
     return rows.select("r.target", "date", *keep, "r.y", "r.x").where(F.col("y").isNotNull())
 
 
-FIT_SCHEMA = (
-    "step long, t_hat double, lam double, shift double, y_base double, train_rows long, "
-    "aic double, bic double, status string"
-)
-FIT_COLUMNS = [part.split()[0] for part in FIT_SCHEMA.split(", ")]
-
-
-def _fit_rows(
-    pdf: pd.DataFrame, horizon: int, order: Order, kind: str, method: str, median_of: str, fallback: bool,
-    min_rows: int, power: tuple[float, float] | None = None,
-) -> list[tuple]:
-    """One row of ``FIT_COLUMNS`` per step for the training rows ``date, y, x``."""
-    y = pdf["y"].to_numpy("float64")
-    x = np.vstack(pdf["x"].to_numpy()).astype("float64") if len(pdf["x"].iloc[0]) else np.zeros((len(y), 0))
-    lam, shift = power or best_lambda(y, kind)
-    fit, status = _attempts(power_transform(y, kind, lam, shift), x, horizon, order, method, median_of, fallback, min_rows)
-    return [(h + 1, None if np.isnan(v) else float(v), lam, shift, y[-1], len(y), fit["aic"], fit["bic"], status)
-            for h, v in enumerate(fit["path"])]
-
-
 def _back(transform: str, clipped: bool) -> Column:
     return inverse(F.col("t_hat"), transform, F.col("lam"), F.col("shift"), clipped)
 
@@ -202,15 +240,12 @@ def forecast(
     NULL forecasts with status ``no_rows``.
     """
     least = max(20, 3 * horizon) if min_rows is None else min_rows
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        target = pdf["target"].iloc[0]
-        fits = _fit_rows(pdf.sort_values("date"), horizon, orders.get(target, default), transform, method,
-                         median_of, fallback, least)
-        return pd.DataFrame([(target, *f) for f in fits], columns=["target", *FIT_COLUMNS])
-
+    job = Job(horizon, {k: [o] for k, o in orders.items()}, [default], transform, method, median_of, fallback, least, 1)
     kind = dict(rows.dtypes)["target"]
-    fits = spread(rows, ["target"]).groupBy("target").applyInPandas(run, f"target {kind}, {FIT_SCHEMA}")
+    # one window, after the last row
+    after = fit_lambda(rows, transform, ["target"], "y").select(
+        "target", F.lit(1).alias("window_id"), F.lit(dt.date(9999, 12, 31)).alias("window_start"), "lam", "shift")
+    fits = _fits(rows, after, job)
     days = rows.agg(F.max("date").alias("last")).select(
         F.posexplode(next_business_days(F.col("last"), horizon)).alias("i", "forecast_date")
     ).select((F.col("i") + 1).cast("long").alias("step"), "forecast_date")
@@ -239,8 +274,7 @@ def backtest(
     are the rows before the window; the base is the last of them.  A window with fewer than
     ``min_train`` training rows keeps its records, with NULL forecasts and status ``few_rows``.
 
-    A target's rows are copied to each of its fits, so that a fit, by far the dearer part, is
-    the unit of work: tasks grow with windows and grid points, not with targets alone.
+    Rows are shuffled once, by target, and read once for all its windows and grid points.
     """
     if lambda_from not in ("window", "global"):
         raise ValueError("lambda_from must be 'window' or 'global'")
@@ -253,21 +287,17 @@ def backtest(
     names = ["target", "window_id", "window_start"]
     bounds = windows.select(*[F.col(c).alias(c) for c in names]).distinct().withColumn(
         "grid_point", F.explode(F.sequence(F.lit(1).cast("long"), points.cast("long"))))
-    past = rows.join(bounds, "target").where(F.col("date") < F.col("window_start"))
+    starts = bounds.select("target", "window_id", "window_start").distinct()
     if lambda_from == "global":
-        past = past.join(fit_lambda(rows, transform, ["target"], "y"), "target")
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        target, window_id, point = key
-        fits = []
-        if len(pdf) >= min_train:
-            power = (pdf["lam"].iloc[0], pdf["shift"].iloc[0]) if "lam" in pdf else None
-            order = orders.get(target, default)[point - 1]
-            fits = _fit_rows(pdf.sort_values("date"), horizon, order, transform, method, median_of, fallback, least, power)
-        return pd.DataFrame([(*key, *f) for f in fits], columns=[*keys, *FIT_COLUMNS])
-
-    fits = spread(past, keys).groupBy(*keys).applyInPandas(
-        run, f"target {kind}, window_id long, grid_point long, {FIT_SCHEMA}")
+        found = fit_lambda(rows, transform, ["target"], "y")
+        starts = starts.join(found, "target", "left")
+    elif transform in ("none", "log"):
+        starts = starts.withColumns({"lam": F.lit(0.0), "shift": F.lit(0.0)})
+    else:
+        past = rows.select("target", "date", "y").join(starts, "target").where(F.col("date") < F.col("window_start"))
+        found = fit_lambda(past, transform, ["target", "window_id"], "y")
+        starts = starts.join(found, ["target", "window_id"], "left")
+    fits = _fits(rows, starts, Job(horizon, dict(orders), default, transform, method, median_of, fallback, least, min_train))
     by_date = W.partitionBy(*keys).orderBy("date")
     steps = windows.select("target", "window_id", "date", "y_true").join(
         bounds.select(*keys), ["target", "window_id"]

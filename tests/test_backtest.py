@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 from pricepanel import fixed_values as fv
 from pricepanel.operators import backtest as bt, forecast as fc, scoring as M
+from pricepanel.operators.features import power_transform
+from pricepanel.operators.running_fit import Covariates, RunningFit
+from tests import plain_regression as plain
 from tests.conftest import day, rows
 
 LONG = "series string, date date, value double"
@@ -81,12 +84,119 @@ def test_grid_sizes_and_points(spark):
 NONE = np.zeros((0, 0))
 
 
+def running(y, x, ahead, order, cuts=(), gap=None):
+    """The running fit, fed in pieces."""
+    f = RunningFit(order, x.shape[1])
+    columns = np.hstack([np.nan_to_num(x), np.isnan(x).astype(float)])
+    edges = [0, *cuts, len(y)]
+    for a, b in zip(edges, edges[1:]):
+        old = min(a, f.terms.context)
+        f.add(y[a - old:b], columns[a - old:b], old)
+    tail = min(len(y), f.terms.context + 1)
+    return f.forecast(y[-tail:], columns[-tail:], np.zeros(x.shape[1]) if gap is None else gap, ahead)
+
+
+ORDERS = [((0, 0, 0), (0, 0, 0, 0)), ((1, 1, 0), (0, 0, 0, 0)), ((2, 0, 0), (1, 0, 0, 5)), ((0, 1, 1), (0, 0, 0, 0)), ((2, 1, 1), (1, 0, 0, 5)),
+          ((1, 1, 1), (1, 1, 1, 5)), ((0, 2, 0), (0, 0, 1, 7)), ((1, 0, 2), (0, 1, 0, 6))]
+
+
+@pytest.mark.parametrize("order", ORDERS)
+@pytest.mark.parametrize("cuts", [(), (1, 2, 3, 40, 41, 100), (90, 180)])
+def test_running_fit_equals_the_plain_one(order, cuts):
+    rng = np.random.default_rng(5)
+    n = 200
+    x = np.column_stack([rng.normal(size=n).cumsum() * 1000, rng.normal(size=n), np.full(n, 3.0), rng.normal(size=n).cumsum()])
+    y = 0.002 * x[:, 0] + x[:, 1] + rng.normal(size=n).cumsum() + np.sin(np.arange(n))
+    x[:17, 3] = np.nan  # a gap at the start, filled with a value known later
+    gap = np.array([0.0, 0.0, 0.0, 2.5])
+    ahead = np.tile([x[-1, 0], 0.3, 3.0, 1.0], (6, 1))
+    for width in (0, 2, 4):
+        got = running(y, x[:, :width], ahead[:, :width], order, cuts, gap[:width])
+        want = plain.fit_and_forecast(y, np.where(np.isnan(x), gap, x)[:, :width], ahead[:, :width], order)
+        np.testing.assert_allclose(got["path"], want["path"], rtol=1e-8)
+        assert got["aic"] == pytest.approx(want["aic"], rel=1e-8) and got["bic"] == pytest.approx(want["bic"], rel=1e-8)
+
+
+@pytest.mark.parametrize("order", [((9, 1, 9), (0, 0, 0, 0)), ((1, 1, 0), (0, 0, 0, 0)), ((3, 0, 0), (0, 1, 0, 7))])
+def test_running_fit_of_few_rows(order):
+    for n in range(1, 16):
+        y, x, ahead = np.arange(n) ** 1.5, np.cos(np.arange(n))[:, None], np.zeros((3, 1))
+        try:
+            want = plain.fit_and_forecast(y, x, ahead, order)["path"]
+        except (ValueError, IndexError):
+            want = None
+        try:
+            got = running(y, x, ahead, order, range(1, n))["path"]
+        except ValueError:
+            got = None
+        assert (got is None) == (want is None), n
+        if want is not None:
+            np.testing.assert_allclose(got, want, rtol=1e-6)
+
+
+@pytest.mark.parametrize("method", ["last", "median", "mode"])
+@pytest.mark.parametrize("median_of", ["raw", "filled"])
+def test_running_covariates_equal_the_plain_ones(method, median_of):
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 5, (60, 4)).astype(float)
+    x[rng.random((60, 4)) < 0.3] = np.nan
+    x[:9, 0], x[:, 3] = np.nan, np.inf
+    for n in (1, 8, 10, 60):
+        past, ahead = plain.covariates(np.where(np.isinf(x), np.nan, x)[:n], 3, method, median_of)
+        c = Covariates(4, method, median_of)
+        columns = np.vstack([c.columns(x[a:min(a + 7, n)]) for a in range(0, n, 7)])
+        centre = c.centre()
+        np.testing.assert_allclose(columns[:, :4] + columns[:, 4:] * centre, past)
+        np.testing.assert_allclose(c.next(centre, 3), ahead)
+
+
+def test_backtest_equals_plain_fits_whatever_the_batches(spark):
+    rng = np.random.default_rng(7)
+    pts, n = [], 130
+    for t in ("a", "b", "c"):
+        x = rng.normal(size=(n, 2)).cumsum(0)
+        x[:11, 1] = np.nan
+        y = np.exp(0.1 * x[:, 0] + rng.normal(size=n).cumsum() * 0.1) + (-2 if t == "c" else 0)
+        pts += [(t, day(i), float(y[i]), [float(x[i, 0]), None if i < 11 else float(x[i, 1])] if t != "b" else []) for i in range(n)]
+    df = spark.createDataFrame(pts, "target string, date date, y double, x array<double>").repartition(5)
+    held = bt.holdout_windows(df.drop("x"), 28, 7, ["target"]).withColumnRenamed("y", "y_true")
+    orders = {"a": ORDERS[:6], "c": [ORDERS[4]]}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = fc.backtest(df, held, 7, orders, "m", transform="yeojohnson").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 28 * (6 + 1 + 1)
+    found = {(r.target, r.window_id, r.grid_point, (r.date - day(0)).days): r for r in got}
+    for t in "abc":
+        y = np.array([p[2] for p in pts if p[0] == t])
+        x = np.array([p[3] for p in pts if p[0] == t], float).reshape(n, -1)
+        for w in range(1, 5):
+            m = n - 28 + 7 * (w - 1)
+            lam, shift = plain.best_lambda(y[:m], "yeojohnson")
+            past, ahead = plain.covariates(x[:m], 7, "last", "raw") if x.shape[1] else (x[:m], np.zeros((7, 0)))
+            for g, order in enumerate(orders.get(t, [ORDERS[1]])):
+                want = plain.fit_and_forecast(power_transform(y[:m], "yeojohnson", lam, shift), past, ahead, order)
+                r = found[t, w, g + 1, m]
+                assert r.aic == pytest.approx(want["aic"], rel=1e-4) and r.status == ("covariates" if x.shape[1] else "no_covariates")
+                assert r.y_base == y[m - 1]
+                if lam * want["path"][0] + 1 > 1e-3:  # the inverse of others is clipped
+                    assert r.y_pred == pytest.approx(float(inverse_yj(want["path"][0], lam)), rel=1e-3)
+
+
+def inverse_yj(t, lam):
+    if t >= 0:
+        return np.expm1(t) if abs(lam) < 1e-12 else (lam * t + 1) ** (1 / lam) - 1
+    k = 2 - lam
+    return 1 - np.exp(-t) if abs(k) < 1e-12 else 1 - (1 - k * t) ** (1 / k)
+
+
 def test_ar_process_is_recovered():
     rng = np.random.default_rng(1)
     y = np.zeros(3000)
     for i in range(2, 3000):
         y[i] = 0.6 * y[i - 1] + 0.2 * y[i - 2] + rng.normal()
-    fit = fc.fit_and_forecast(y, np.zeros((3000, 0)), np.zeros((3, 0)), ((2, 0, 0), (0, 0, 0, 0)))
+    fit = running(y, np.zeros((3000, 0)), np.zeros((3, 0)), ((2, 0, 0), (0, 0, 0, 0)))
     one = 0.6 * y[-1] + 0.2 * y[-2]
     assert fit["path"][0] == pytest.approx(one, abs=0.15)
     assert fit["bic"] > fit["aic"]
@@ -96,7 +206,7 @@ def test_differencing_is_undone():
     t = np.arange(200.0)
     season = np.tile([1.0, 5.0, 2.0, 0.0, -3.0], 40)
     y = 3 * t + season
-    fit = fc.fit_and_forecast(y, np.zeros((200, 0)), np.zeros((5, 0)), ((0, 1, 0), (0, 1, 0, 5)))
+    fit = running(y, np.zeros((200, 0)), np.zeros((5, 0)), ((0, 1, 0), (0, 1, 0, 5)))
     np.testing.assert_allclose(fit["path"], 3 * np.arange(200, 205) + season[:5])
 
 
@@ -105,7 +215,7 @@ def test_covariate_effect_and_constant_covariates():
     x = np.column_stack([rng.normal(size=400).cumsum(), np.ones(400)])
     y = 4 * x[:, 0] + rng.normal(scale=0.01, size=400)
     ahead = np.column_stack([np.repeat(x[-1, 0] + 2, 3), np.ones(3)])
-    fit = fc.fit_and_forecast(y, x, ahead, ((0, 1, 0), (0, 0, 0, 0)))
+    fit = running(y, x, ahead, ((0, 1, 0), (0, 0, 0, 0)))
     np.testing.assert_allclose(fit["path"], 4 * ahead[:, 0], atol=0.2)
 
 
@@ -114,8 +224,8 @@ def test_moving_average_terms_beat_none():
     e = rng.normal(size=3001)
     y = e[1:] + 0.7 * e[:-1]
     empty = np.zeros((3000, 0)), np.zeros((2, 0))
-    with_ma = fc.fit_and_forecast(y, *empty, ((0, 0, 1), (0, 0, 0, 0)))
-    without = fc.fit_and_forecast(y, *empty, ((1, 0, 0), (0, 0, 0, 0)))
+    with_ma = running(y, *empty, ((0, 0, 1), (0, 0, 0, 0)))
+    without = running(y, *empty, ((1, 0, 0), (0, 0, 0, 0)))
     assert with_ma["aic"] < without["aic"]
     assert with_ma["path"][0] == pytest.approx(0.7 * e[-1], abs=0.15) and abs(with_ma["path"][1]) < 1e-9
 
@@ -168,7 +278,7 @@ def test_backtest_uses_only_earlier_rows(spark, lambda_from):
         assert r.y_base == train["y"].iloc[-1]
     # the same forecast from the training rows alone
     y = pdf[pdf.target == "b"]["y"].to_numpy()[:129]
-    path = fc.fit_and_forecast(y, np.zeros((129, 0)), np.zeros((7, 0)), ((1, 1, 0), (0, 0, 0, 0)))["path"]
+    path = plain.fit_and_forecast(y, np.zeros((129, 0)), np.zeros((7, 0)), ((1, 1, 0), (0, 0, 0, 0)))["path"]
     mine = sorted((r.date, r.y_pred) for r in got if r.target == "b" and r.window_id == 1)
     np.testing.assert_allclose([v for _, v in mine], path, rtol=1e-9)
     ranked = M.rank_grid(fc.grid_results(rec))
