@@ -75,7 +75,7 @@ def load_panel(spark: SparkSession, t: Tables, s: Settings) -> tuple[dt.date | N
     # the fill goes on from the newest row before the range: in its first month, or else in the
     # newest one before that, which partition values alone tell
     table, month = K.read_table(spark, t.panel, schema), F.trunc(F.lit(lo), "MM")
-    newest = table.where(F.col("month") < month).agg(F.max("month")).first()[0]
+    newest = K.partition_values(spark, t.panel, schema, ["month"]).where(F.col("month") < month).agg(F.max("month")).first()[0]
     months = F.col("month") == month
     if newest is not None:
         months = months | (F.col("month") == F.lit(newest))
@@ -88,6 +88,13 @@ def stored_panel(spark: SparkSession, t: Tables, s: Settings) -> DataFrame:
     return K.read_table(spark, t.panel, S.stored_panel_schema(s.columns)).drop("month")
 
 
+def newest_month(spark: SparkSession, t: Tables, s: Settings) -> DataFrame:
+    """The panel's newest month with rows, which holds its newest row."""
+    schema = S.stored_panel_schema(s.columns)
+    newest = K.partition_values(spark, t.panel, schema, ["month"]).agg(F.max("month")).first()[0]
+    return K.read_table(spark, t.panel, schema).where(F.col("month") == F.lit(newest)).drop("month")
+
+
 def forecast_model(spark: SparkSession, t: Tables, s: Settings, features: Mapping[str, Sequence[str]]) -> None:
     """Fit the bundled estimator for all targets and replace its rows.
 
@@ -120,11 +127,11 @@ def blend_and_archive(spark: SparkSession, t: Tables, s: Settings, as_of: dt.dat
     K.delete_models(spark, t.forecasts, schema, derived)
     current = K.read_table(spark, t.forecasts, schema)
     new = blend.derived_forecasts(
-        current, stored_panel(spark, t, s), s.targets, s.model_a, s.model_b, s.mixed, s.ensemble
+        current, newest_month(spark, t, s), s.targets, s.model_a, s.model_b, s.mixed, s.ensemble
     )
     K.replace_rows(spark, t.forecasts, schema, ["model"], F.col("model").isin(derived), new)
     current = K.read_table(spark, t.forecasts, schema)
-    K.replace_day(spark, t.history, S.history_schema(s.targets), as_of, blend.snapshot(current, as_of))
+    K.replace_day(spark, t.history, S.history_schema(s.targets), as_of, blend.snapshot(current, as_of), span="forecast_date")
 
 
 def write_log(spark: SparkSession, t: Tables, s: Settings, as_of: dt.date, run_ts: dt.datetime) -> None:
@@ -155,21 +162,50 @@ def write_errors(
     scored again: that day's run, and every run with a forecast for the panel's changed dates
     (``changed_from`` on).  Older rows stay, and still count as earlier publications.
     """
-    history = K.read_table(spark, t.history, S.history_schema(s.targets))
-    stored = K.find_table(spark, t.errors, S.ERRORS)
-    if stored is not None and as_of is not None:
-        since = as_of
-        if changed_from is not None:
-            due = history.where(F.col("forecast_date") >= F.lit(changed_from))
-            since = min(as_of, due.agg(F.min("run_date")).first()[0] or as_of)
-        history = history.where(F.col("run_date") >= F.lit(since))
+    if as_of is None or K.find_table(spark, t.errors, S.ERRORS) is None:
+        history = K.read_table(spark, t.history, S.history_schema(s.targets))
+        actuals = P.to_long(stored_panel(spark, t, s).select("date", *s.targets), s.targets, keep_nulls=False)
+        new = scoring.forecast_errors(scoring.predictions(history, s.targets, s.models), actuals)
+        runs = [r[0] for r in K.partition_values(spark, t.history, S.history_schema(s.targets), ["run_date"]).collect()]
+    else:
+        runs = due_runs(spark, t, as_of, changed_from)
+        preds, actuals, stored = due_rows(spark, t, s, runs)
+        new = scoring.new_publications(scoring.forecast_errors(preds, actuals), stored)
+    K.replace_runs(spark, t.errors, S.ERRORS, runs, new, sort=["model", "target", "forecast_date"], span="forecast_date")
+
+
+def due_runs(spark: SparkSession, t: Tables, as_of: dt.date, changed_from: dt.date | None) -> list[dt.date]:
+    """Run dates whose scores a day can change, from the manifest of the history alone."""
+    meeting = K.partitions_meeting(spark, t.history, min(as_of, changed_from) if changed_from else as_of)
+    stored = {dt.date.fromisoformat(p[0]) for p in meeting} if changed_from else set()
+    return sorted(stored | {as_of})
+
+
+def due_rows(spark: SparkSession, t: Tables, s: Settings, runs: Sequence[dt.date]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Predictions of the runs, the actuals they meet, and errors of other runs for their dates.
+
+    All three are read by partition: the runs themselves, the months of their forecast dates with
+    the newest month before (whose last row, filled forward, holds every target's value before),
+    and the runs whose spans meet those dates.
+    """
+    history = K.read_table(spark, t.history, S.history_schema(s.targets)).where(F.col("run_date").isin(list(runs)))
     preds = scoring.predictions(history, s.targets, s.models)
-    actuals = P.to_long(stored_panel(spark, t, s).select("date", *s.targets), s.targets, keep_nulls=False)
-    new = scoring.forecast_errors(preds, actuals)
-    runs = preds.select("run_date").distinct()
-    if stored is not None:
-        new = scoring.new_publications(new, stored.join(runs, "run_date", "left_anti"))
-    K.replace_runs(spark, t.errors, S.ERRORS, runs, new, sort=["model", "target", "forecast_date"])
+    panel = K.read_table(spark, t.panel, S.stored_panel_schema(s.columns))
+    stored = K.read_table(spark, t.errors, S.ERRORS)
+    wanted = {d.isoformat() for d in runs}
+    spans = [span for p, span in K.partitions_meeting(spark, t.history, dt.date.min).items() if p[0] in wanted]
+    if spans and None not in spans:
+        lo, hi = (dt.date.fromisoformat(f(x)) for f, x in ((min, [a for a, _ in spans]), (max, [b for _, b in spans])))
+        months = sorted(r[0] for r in K.partition_values(spark, t.panel, S.stored_panel_schema(s.columns), ["month"]).collect())
+        first, last = lo.replace(day=1), hi.replace(day=1)
+        before = [m for m in months if m < first][-1:]
+        panel = panel.where(F.col("month").isin([*before, *(m for m in months if first <= m <= last)]))
+        others = [p[0] for p in K.partitions_meeting(spark, t.errors, lo, hi) if p[0] not in wanted]
+        stored = stored.where(F.col("run_date").isin([dt.date.fromisoformat(p) for p in others]) if others else F.lit(False))
+    else:
+        stored = stored.where(~F.col("run_date").isin(list(runs)))
+    actuals = P.to_long(panel.select("date", *s.targets), s.targets, keep_nulls=False)
+    return preds, actuals, stored
 
 
 def create_views(spark: SparkSession, t: Tables, s: Settings) -> None:

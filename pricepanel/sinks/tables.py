@@ -65,6 +65,15 @@ def _values(spark: SparkSession, schema: T.StructType, by: Sequence[str], found:
     return rows.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in by])
 
 
+def partitions_meeting(spark: SparkSession, path: str, lo: dt.date, hi: dt.date | None = None) -> dict[M.Partition, tuple[str, str] | None]:
+    """Partitions that may hold dates from ``lo`` to ``hi`` (on, if None), with their least and
+    greatest date, by the manifest alone.  The dates are those of the column the writers named as
+    ``span``; a partition written without one may hold any date."""
+    found = M.newest(spark, path) or M.NOTHING
+    spans = {p: found.span(p) for p in found.folders}
+    return {p: s for p, s in spans.items() if s is None or (s[1] >= lo.isoformat() and (hi is None or s[0] <= hi.isoformat()))}
+
+
 def _folder(by: Sequence[str], values: Sequence[object]) -> str:
     def text(v: object) -> str:
         if v is None:
@@ -74,29 +83,35 @@ def _folder(by: Sequence[str], values: Sequence[object]) -> str:
     return "/".join(f"{k}={text(v)}" for k, v in zip(by, values))
 
 
-def _write(rows: DataFrame, path: str, schema: T.StructType, by: Sequence[str], sort: Sequence[str]) -> dict[M.Partition, str]:
-    """Write rows to a version folder of their own; the folder of each partition."""
+def _write(
+    rows: DataFrame, path: str, schema: T.StructType, by: Sequence[str], sort: Sequence[str], span: str | None,
+) -> tuple[dict[M.Partition, str], dict[str, tuple[str | None, str | None]]]:
+    """Write rows to a version folder of their own; the folder of each partition, and its span."""
     name = f"version={uuid.uuid4().hex}"
     # gathers a partition's rows into few files, and splits one too large for a task
     out = rows.hint("rebalance", *by)
     if sort:
         out = out.sortWithinPartitions(*by, *sort)
     out.write.partitionBy(*by).parquet(f"{path}/{name}")
-    spark, text = rows.sparkSession, [F.col(c).cast("string").alias(c) for c in by]
-    # partition columns only: no data column is read
-    found = spark.read.schema(schema).parquet(f"{path}/{name}").select(*text).distinct().collect()
-    return {tuple(r): f"{name}/{_folder(by, tuple(r))}" for r in found}
+    text = [F.col(c).cast("string").alias(c) for c in by]
+    written = rows.sparkSession.read.schema(schema).parquet(f"{path}/{name}")
+    # of the data no column is read but the span's
+    bounds = [F.min(span).cast("string"), F.max(span).cast("string")] if span else [F.lit(None), F.lit(None)]
+    found = written.groupBy(*text).agg(bounds[0].alias("_lo"), bounds[1].alias("_hi")).collect()  # one row per partition
+    folders = {tuple(r)[:-2]: f"{name}/{_folder(by, tuple(r)[:-2])}" for r in found}
+    return folders, {folders[tuple(r)[:-2]]: (r["_lo"], r["_hi"]) for r in found} if span else {}
 
 
 def replace_rows(
     spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str], gone: Column, new: DataFrame,
-    touched: Column | None = None, sort: Sequence[str] = (),
+    touched: Column | None = None, sort: Sequence[str] = (), span: str | None = None,
 ) -> int:
     """Delete the rows where ``gone`` holds and add ``new``; the number of the version made.
 
     ``touched`` limits the partitions looked at (default: ``gone``); it must hold for every
     row of the partitions concerned and may use partition columns only.  Rows of ``new`` in
-    other partitions are added to those.  An empty ``new`` still deletes.
+    other partitions are added to those.  An empty ``new`` still deletes.  ``span`` names a date
+    column whose least and greatest value the manifest keeps for each partition.
     """
     touched = gone if touched is None else touched
     fitted = new.select(*[F.col(f.name).cast(f.dataType) for f in schema])
@@ -107,9 +122,9 @@ def replace_rows(
         rows = fitted
         if parts:
             rows = _read(spark, path, schema, old).where(~F.coalesce(gone, F.lit(False))).unionByName(fitted)
-        added = _write(rows, path, schema, by, sort)
+        added, spans = _write(rows, path, schema, by, sort, span)
         for _ in range(ATTEMPTS):
-            made = base.replaced(parts, added)
+            made = base.replaced(parts, added, spans)
             try:
                 M.publish(spark, path, made)
                 return made.number
@@ -153,10 +168,10 @@ def replace_range(
 
 def replace_day(
     spark: SparkSession, path: str, schema: T.StructType, day: dt.date, new: DataFrame, by: str = "run_date",
-    sort: Sequence[str] = (),
+    sort: Sequence[str] = (), span: str | None = None,
 ) -> int:
     """The partition of one run date."""
-    return replace_rows(spark, path, schema, [by], F.col(by) == F.lit(day), new, sort=sort)
+    return replace_rows(spark, path, schema, [by], F.col(by) == F.lit(day), new, sort=sort, span=span)
 
 
 def replace_review(
@@ -169,12 +184,13 @@ def replace_review(
 
 
 def replace_runs(
-    spark: SparkSession, path: str, schema: T.StructType, runs: DataFrame, new: DataFrame,
-    sort: Sequence[str] = (),
+    spark: SparkSession, path: str, schema: T.StructType, runs: DataFrame | Sequence[dt.date], new: DataFrame,
+    sort: Sequence[str] = (), span: str | None = None,
 ) -> int:
     """Every run date listed in ``runs``, whether or not ``new`` has rows for it.
 
     Run dates are calendar days, so the list is short.
     """
-    days = [r[0] for r in runs.select("run_date").distinct().collect()]
-    return replace_rows(spark, path, schema, ["run_date"], F.col("run_date").isin(days), new, sort=sort)
+    days = [r[0] for r in runs.select("run_date").distinct().collect()] if isinstance(runs, DataFrame) else list(runs)
+    gone = F.col("run_date").isin(days) if days else F.lit(False)
+    return replace_rows(spark, path, schema, ["run_date"], gone, new, sort=sort, span=span)

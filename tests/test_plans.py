@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricepanel import schema as S
+from pricepanel.plans import daily
 from pricepanel.operators import backtest as bt, fill, panel as P, quality as Q, scoring as M
 from pricepanel.sinks import tables as K
 from tests.conftest import day
@@ -88,3 +89,32 @@ def test_slices_read_only_their_partitions(spark, tmp_path):
     K.replace_range(spark, path, S.stored_panel_schema(["a"]), day(0), day(99), df)
     one = K.read_table(spark, path, S.stored_panel_schema(["a"])).where(F.col("month") == F.lit(dt.date(2024, 2, 1)))
     assert "PartitionFilters: [isnotnull(month" in plan(one)
+
+
+def test_a_day_is_scored_from_its_partitions(spark, tmp_path):
+    """History, panel and errors are read by the partitions that meet the changed dates."""
+    names = ["raw", "panel", "forecasts", "history", "errors", "quality", "run_log"]
+    t = daily.Tables(*[str(tmp_path / n) for n in names])
+    s = daily.Settings(columns=["a"], watched=["a"], targets=["a"], anchor="a", model_a="m", model_b="n")
+    panel = spark.createDataFrame([(day(i), float(i)) for i in range(300)], "date date, a double")
+    K.replace_range(spark, t.panel, S.stored_panel_schema(["a"]), day(0), day(299), panel)
+    for run in (40, 100, 250, 280):
+        ahead = spark.createDataFrame([(day(run + i), 5.0, "m", day(run)) for i in range(10)], "forecast_date date, a double, model string, run_date date")
+        K.replace_day(spark, t.history, S.history_schema(["a"]), day(run), ahead, span="forecast_date")
+    daily.write_errors(spark, t, s)
+    whole = sorted(map(str, K.read_table(spark, t.errors, S.ERRORS).collect()))
+    assert daily.due_runs(spark, t, day(281), day(255)) == [day(250), day(280), day(281)]
+    preds, actuals, stored = daily.due_rows(spark, t, s, [day(250)])
+    for df, column in ((preds, "run_date"), (actuals, "month")):
+        filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan(df))
+        assert filters and all(column in f for f in filters), column
+    assert actuals.count() == 61 and preds.count() == 10  # two months of 300 days
+    assert stored.count() == 0 and "FileScan" not in plan(stored)
+    _, _, stored = daily.due_rows(spark, t, s, [day(281), day(280)])
+    assert stored.count() == 0
+    K.replace_day(spark, t.history, S.history_schema(["a"]), day(281), ahead.withColumn("run_date", F.lit(day(281))), span="forecast_date")
+    _, _, stored = daily.due_rows(spark, t, s, [day(281)])
+    assert re.search(r"PartitionFilters: \[[^\]]*run_date", plan(stored)) and {r.run_date for r in stored.select("run_date").distinct().collect()} == {day(280)}
+    for _ in range(2):
+        daily.write_errors(spark, t, s, day(281), day(255))
+        assert sorted(map(str, K.read_table(spark, t.errors, S.ERRORS).collect())) == whole  # an earlier run said the same
