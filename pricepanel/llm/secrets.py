@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pricepanel.llm.arrays import let, starts
 from pricepanel.session import saved
 
 #: The base patterns, in the order in which spans of the same start are listed. Fixed values.
@@ -39,12 +40,12 @@ MARK, OTHER = "\x01", "\x02"
 def located(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches of a pattern: array of (at, hit), ``at`` in code points."""
     parts = F.split(F.regexp_replace(F.translate(text, MARK, OTHER), f"({pattern})", f"{MARK}$1{MARK}"), MARK, -1)
-    steps = F.aggregate(
-        parts, F.struct(F.lit(0).cast("long").alias("at"), F.lit(0).alias("i"), F.array().cast("array<struct<at:bigint,hit:string>>").alias("found")),
-        lambda s, x: F.struct((s["at"] + F.length(x)).alias("at"), (s["i"] + 1).alias("i"),
-                              F.when(s["i"] % 2 == 1, F.concat(s["found"], F.array(F.struct(s["at"].alias("at"), x.alias("hit")))))
-                              .otherwise(s["found"]).alias("found")))
-    return steps["found"]
+
+    def hits(parts: Column) -> Column:
+        placed = F.zip_with(starts(F.transform(parts, lambda x: F.length(x).cast("long"))), parts, lambda at, x: F.struct(at.alias("at"), x.alias("hit")))
+        return F.filter(placed, lambda x, i: i % 2 == 1)
+
+    return let(parts, hits)
 
 
 def _value(kind: str, hit: Column) -> Column:
