@@ -22,6 +22,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pricepanel.llm.arrays import let, starts
+
 TAGS = {"user": "INST", "assistant": "ANSWER", "system": "SYS"}
 _ANGLE, _SQUARE = r"<(?=/?s>)", r"\[(?=/?(?:INST|ANSWER|SYS)\]|ROLE |/ROLE\])"
 MARKER = rf"{_ANGLE}|{_SQUARE}"
@@ -106,21 +108,34 @@ def _escaped(touched) -> Column:
 
 def loss_ranges(sent: Column) -> Column:
     """Where the assistant bodies stand in the text rendered from ``sent``."""
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("found"))
+    lengths = F.transform(sent, lambda t: (F.length(_open(t["role"])) + F.length(t["body"]) + F.length(_close(t["role"]))).cast("long"))
+
+    def placed(t: Column, at: Column) -> Column:
+        begin = (at + F.length(_open(t["role"]))).cast("int")
+        return F.struct(t["role"].alias("role"), begin.alias("start"), (begin + F.length(t["body"])).alias("end"))
+
+    said = F.filter(F.zip_with(sent, starts(lengths), placed), lambda r: r["role"] == "assistant")
+    return F.transform(said, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end")))
+
+
+def under_mask(formatted: Column, loss: Column) -> Column:
+    """The text of each loss range, escapes and all.  Turns are cut once, and each range is taken
+    from the assistant turn it lies in."""
 
-    def step(s: Column, t: Column) -> Column:
-        begin = s["at"] + F.length(_open(t["role"]))
-        end = begin + F.length(t["body"])
-        found = F.when(t["role"] == "assistant", F.concat(s["found"], F.array(F.struct(begin.alias("start"), end.alias("end"))))).otherwise(s["found"])
-        return F.struct((end + F.length(_close(t["role"]))).alias("at"), found.alias("found"))
+    def cut(turns: Column) -> Column:
+        placed = F.zip_with(turns, starts(F.transform(turns, lambda t: F.length(t["whole"]).cast("long"))),
+                            lambda t, at: F.struct(t["whole"].alias("whole"), t["tag"].alias("tag"), at.alias("at")))
+        said = F.filter(placed, lambda t: _role(t["tag"]) == "assistant")
+        return F.zip_with(said, loss, lambda t, r: F.substring(t["whole"], (r["start"] - t["at"] + 1).cast("int"), r["end"] - r["start"]))
 
-    return F.aggregate(sent, zero, step)["found"]
+    whole, tags = (F.regexp_extract_all(formatted, F.lit(TURN), F.lit(g)) for g in (0, 1))
+    return let(F.arrays_zip(whole.alias("whole"), tags.alias("tag")), cut)
 
 
 def report(formatted: DataFrame) -> DataFrame:
     """Digest of the formatted conversations, from what their text reads back to."""
     f = formatted.withColumn("read", parse(F.col("formatted")))
-    said = F.transform("loss", lambda r: unescape(F.substring(F.col("formatted"), r["start"] + 1, r["end"] - r["start"])))
+    said = F.transform(under_mask(F.col("formatted"), F.col("loss")), unescape)
     f = f.withColumn("learned", F.array_join(said, ""))
     lines = F.array_join(F.transform("read", lambda t: F.concat(t["role"], F.lit("\n"), t["body"], F.lit("\n"))), "")
     return f.select(
