@@ -21,6 +21,8 @@ ids; an empty table gives an empty result; other columns are kept out of the way
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -106,6 +108,24 @@ def hash_words(items: list[str]) -> np.ndarray:
     return words(np.frombuffer(data, np.uint8), np.array([0, len(data)])).hashes.view(np.int64)
 
 
+def _neighbours(text: str, found: list[tuple[int, int, int]]) -> list[dict]:
+    """The words next to each span that are no part of a span, and their context."""
+    begins = [s for s, _, _ in found]
+    furthest = list(itertools.accumulate((e for _, _, e in found), max))  # end of any span up to each
+    said: list[tuple[int, str, list[str]]] = []
+    for s, k, e in found:
+        # spans that begin before a word ends: does one of them end behind its begin?
+        w = [(p, q) for p, q in _near(text, s, e) if not (n := bisect.bisect_left(begins, q)) or furthest[n - 1] <= p]
+        if w:
+            said.append((k, text[s:e].lower(), [text[p:q] for p, q in w]))
+    hashes = iter(hash_words([x for _, _, terms in said for x in ("\x01".join(terms), *terms)]).tolist())
+    rows = []
+    for k, value, terms in said:
+        context = next(hashes)
+        rows += [{"kind": k, "value": value, "context": context, "term": next(hashes)} for _ in terms]
+    return rows
+
+
 _FOUND = ("row long, spans array<struct<start:long,kind:int,end:long>>, entities array<struct<kind:int,value:string>>, "
           "near array<struct<kind:int,value:string,context:long,term:long>>")
 
@@ -120,14 +140,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = base_spans(text) if text else []
             spans.append([{"start": s, "kind": k, "end": e} for s, k, e in found])
             entities.append([{"kind": k, "value": v} for k, v in sorted({(k, text[s:e].lower()) for s, k, e in found})])
-            inside, rows = [(s, e) for s, _, e in found], []
-            for s, k, e in found:
-                w = [x for x in _near(text, s, e) if not any(x[0] < q and p < x[1] for p, q in inside)]
-                if w:
-                    terms = [text[p:q] for p, q in w]
-                    context = int(hash_words(["\x01".join(terms)])[0])
-                    rows += [{"kind": k, "value": text[s:e].lower(), "context": context, "term": int(h)} for h in hash_words(terms)]
-            near.append(rows)
+            near.append(_neighbours(text, found))
         yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(spans, span), pa.array(entities, entity), pa.array(near, close)],
                                           ["row", "spans", "entities", "near"])
 
@@ -212,6 +225,24 @@ def places(docs: DataFrame, keep: np.ndarray) -> DataFrame:
     return docs.select("text", "text_key").mapInArrow(run, "text_key long, term long, start long, end long")
 
 
+def pairs_held(held: DataFrame, holding: DataFrame, pairs: DataFrame) -> DataFrame:
+    """entity, term, once for each text that holds both: ``held(term, text_key)``, ``holding(text_key,
+    entity)`` and the tried ``pairs(entity, term)``.
+
+    A text's words are paired with its entities, or its entities with the words tried for them and
+    these looked up in the text, whichever makes fewer rows for that text: neither a list of many
+    entities nor an entity tried with many words is multiplied out.  Pairs that were not tried may
+    be among them.
+    """
+    tried = pairs.groupBy("entity").agg(F.count("*").alias("tried"))
+    sizes = holding.join(tried, "entity").groupBy("text_key").agg(F.count("*").alias("entities"), F.sum("tried").alias("tried"))
+    sizes = held.groupBy("text_key").agg(F.count("*").alias("words")).join(sizes, "text_key")
+    turned = sizes.where(F.col("words") * F.col("entities") > F.col("tried")).select("text_key")
+    direct = held.join(turned, "text_key", "left_anti").join(holding, "text_key")
+    looked_up = holding.join(turned, "text_key", "left_semi").join(pairs, "entity").join(held, ["text_key", "term"], "left_semi")
+    return direct.select("entity", "term").unionByName(looked_up.select("entity", "term"))
+
+
 def find(docs: DataFrame, generalise: float = 0.5, remove: float = 0.8, least_contexts: int = 2,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, row, text_key, spans(start, kind, end, name, action): base spans and disclosing
@@ -239,7 +270,7 @@ def find(docs: DataFrame, generalise: float = 0.5, remove: float = 0.8, least_co
     texts = counted.where(F.col("text_key").isNull()).select("term", "texts").unionByName(held.select("term", F.lit(1).cast("long").alias("texts")))
     texts = texts.groupBy("term").agg(F.sum("texts").alias("texts"))
     holders = holding.groupBy("entity").agg(F.count("*").alias("holders"))
-    together = held.join(holding, "text_key").groupBy("entity", "term").agg(F.count("*").alias("together"))
+    together = pairs_held(held, holding, pairs).groupBy("entity", "term").agg(F.count("*").alias("together"))
     total = F.lit(float(max(2, copies.count())))
     known = F.least(F.col("holders") / total, F.lit(0.5))
     given = F.col("together") / F.col("texts")
