@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pricepanel.functions.dates import expected_data_date
 from pricepanel.functions.numbers import divide
 from pricepanel.operators.panel import business_calendar, to_long
+from pricepanel.session import saved
 
 FACT = [
     "review_date", "review_ts", "table_name", "metric_group", "metric", "series",
@@ -87,10 +88,14 @@ def freshness(dates: DataFrame, review: Review) -> DataFrame:
     )
 
 
+def rows_per_day(dates: DataFrame) -> DataFrame:
+    """``date, n``: combined before the shuffle, however often one date repeats."""
+    return dates.where(F.col("date").isNotNull()).groupBy("date").agg(F.count("*").alias("n"))
+
+
 def duplicate_dates(dates: DataFrame, review: Review) -> DataFrame:
-    """Rows beyond one per date."""
-    # count per date first: combined before the shuffle, however often one date repeats
-    per_day = dates.where(F.col("date").isNotNull()).groupBy("date").agg(F.count("*").alias("n"))
+    """Rows beyond one per date; ``dates`` may be counted already (``rows_per_day``)."""
+    per_day = dates if "n" in dates.columns else rows_per_day(dates)
     n = per_day.agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_dates")).where("n_dates > 0")
     extra = F.col("n_rows") - F.col("n_dates")
     return review.rows(
@@ -136,14 +141,20 @@ def _newest(long: DataFrame, dates: DataFrame | None) -> Column:
     return (long if dates is None else dates).agg(F.max("date")).scalar()
 
 
+def _times(long: DataFrame) -> Column:
+    """How often a row counts: ``copies``, where equal rows were counted."""
+    return F.col("copies") if "copies" in long.columns else F.lit(1).cast("long")
+
+
 def null_share(long: DataFrame, review: Review, n_dates: int = 20, dates: DataFrame | None = None) -> DataFrame:
     """Percent of NULLs per series on the newest dates of the table.
 
     The newest dates are the ones from the oldest of them on: as a range it reaches the scan.
     """
     since = newest_dates(long if dates is None else dates, n_dates).agg(F.min("date")).scalar()
+    times = _times(long)
     stats = long.where(F.col("date") >= since).groupBy("series").agg(
-        F.count("*").alias("n"), F.count_if(F.col("value").isNull()).alias("nulls")
+        F.sum(times).alias("n"), F.sum(F.when(F.col("value").isNull(), times).otherwise(0)).alias("nulls")
     )
     pct = 100 * divide(F.col("nulls").cast("double"), F.col("n").cast("double"))
     return review.rows(
@@ -161,6 +172,8 @@ def null_share(long: DataFrame, review: Review, n_dates: int = 20, dates: DataFr
 def latest_null(long: DataFrame, review: Review, dates: DataFrame | None = None) -> DataFrame:
     """Whether each series is NULL on the newest date."""
     latest = long.where(F.col("date") == _newest(long, dates))
+    if "copies" in long.columns:
+        latest = latest.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     missing = F.col("value").isNull()
     return review.rows(
         latest.select(
@@ -181,13 +194,33 @@ def newest_observations(long: DataFrame, n_dates: int) -> DataFrame:
     history is never shuffled.  What is left is counted per distinct row before the next
     shuffle, so neither a hot series nor a hot group of copies reaches one task.
     """
-    seen = long.where(F.col("value").isNotNull()).withColumn("part", F.spark_partition_id())
-    own = W.partitionBy("series", "part").orderBy(F.desc("date"))
-    near = seen.withColumn("rank", F.dense_rank().over(own)).where(F.col("rank") <= n_dates)
-    copies = near.groupBy("series", "date", "value").agg(F.count("*").alias("copies"))
+    seen = long.where(F.col("value").isNotNull())
+    if "copies" not in long.columns:
+        seen = _counted(_near(seen, n_dates))
     by_date = W.partitionBy("series").orderBy(F.desc("date"))
-    ranked = copies.withColumn("rank", F.dense_rank().over(by_date))
-    return ranked.where(F.col("rank") <= n_dates).drop("rank")
+    ranked = seen.withColumn("rank", F.dense_rank().over(by_date))
+    return ranked.where(F.col("rank") <= n_dates).select("series", "date", "value", "copies")
+
+
+def _near(rows: DataFrame, n_dates: int) -> DataFrame:
+    """Rows of each series' ``n_dates`` newest dates within each input partition."""
+    own = W.partitionBy("series", "empty", "part").orderBy(F.desc("date"))
+    parted = rows.withColumns({"part": F.spark_partition_id(), "empty": F.col("value").isNull()})
+    return parted.withColumn("rank", F.dense_rank().over(own)).where(F.col("rank") <= n_dates)
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("series", "date", "value").agg(F.count("*").alias("copies"))
+
+
+def newest_state(long: DataFrame, n_dates: int) -> DataFrame:
+    """``series, date, value, copies``: all that the value checks ask of a table, in one scan.
+
+    Values and NULLs apart, the rows of each series' ``n_dates`` newest dates in each input
+    partition; so both the newest observations of a series and all its rows on the table's newest
+    ``n_dates`` dates are among them, whatever lies between.
+    """
+    return _counted(_near(long, n_dates))
 
 
 LOOKBACK = 30
@@ -264,13 +297,18 @@ def flatline(
 
 
 def all_checks(wide: DataFrame, columns: Sequence[str], review: Review) -> DataFrame:
-    """Every check over a wide table with a ``date`` column; one error row if it is empty."""
+    """Every check over a wide table with a ``date`` column; one error row if it is empty.
+
+    The table is read twice, once for its dates and once for its values; what the checks need of
+    either, a row per date and the newest rows of each series, is written down and shared.
+    """
     base = wide.where(F.col("date").isNotNull()).select("date", *columns)
-    long = to_long(base, columns, keep_nulls=True)
-    dates = base.select("date")
+    days = saved(rows_per_day(base.select("date")), "days")
+    long = saved(newest_state(to_long(base, columns, keep_nulls=True), LOOKBACK + 1), "newest")
+    dates = days.select("date")
     recent = newest_observations(long, LOOKBACK + 1)
     parts = [
-        no_data(dates, review), freshness(dates, review), duplicate_dates(dates, review),
+        no_data(dates, review), freshness(dates, review), duplicate_dates(days, review),
         gaps(dates, review), null_share(long, review, dates=dates), latest_null(long, review, dates),
         outliers(long, review, dates=dates, recent=recent), flatline(long, review, dates=dates, recent=recent),
     ]

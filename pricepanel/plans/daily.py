@@ -145,12 +145,9 @@ def write_log(spark: SparkSession, t: Tables, s: Settings, as_of: dt.date, run_t
 
 
 def write_quality(spark: SparkSession, t: Tables, s: Settings, as_of: dt.date, run_ts: dt.datetime) -> None:
-    watched = P.clean_numeric(stored_panel(spark, t, s).select("date", *s.watched), s.watched).persist()
-    try:
-        rows = quality.all_checks(watched, s.watched, quality.Review(as_of, run_ts, s.table_name))
-        K.replace_review(spark, t.quality, S.QUALITY, as_of, s.table_name, rows)
-    finally:
-        watched.unpersist()
+    watched = P.clean_numeric(stored_panel(spark, t, s).select("date", *s.watched), s.watched)
+    rows = quality.all_checks(watched, s.watched, quality.Review(as_of, run_ts, s.table_name))
+    K.replace_review(spark, t.quality, S.QUALITY, as_of, s.table_name, rows)
 
 
 def write_errors(

@@ -118,3 +118,19 @@ def test_a_day_is_scored_from_its_partitions(spark, tmp_path):
     for _ in range(2):
         daily.write_errors(spark, t, s, day(281), day(255))
         assert sorted(map(str, K.read_table(spark, t.errors, S.ERRORS).collect())) == whole  # an earlier run said the same
+
+
+def test_all_checks_read_the_table_twice_and_keep_no_history(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "panel")
+    inputs.market_wide(spark, SF).repartition(3).write.parquet(path)
+    table, kept = spark.read.parquet(path), []
+    save = Q.saved
+    monkeypatch.setattr(Q, "saved", lambda df, name: kept.append(df) or save(df, name))
+    text = plan(Q.all_checks(table, inputs.TARGETS, Q.Review(dt.date(2001, 8, 6))))
+    scans = lambda t: len(re.findall(r"FileScan[^\n]*" + re.escape(path), t))
+    assert scans(text) == 0 and [scans(plan(df)) for df in kept] == [1, 1]
+    dates, state = (plan(df) for df in kept)
+    assert "ReadSchema: struct<date:date>" in dates
+    first = state.rindex("Exchange ")  # rows are cut before the only shuffle of values
+    assert "WindowGroupLimit [series" in state[first:]
+    assert kept[1].count() <= 3 * 2 * 31 * len(inputs.TARGETS) < table.count() * len(inputs.TARGETS)
