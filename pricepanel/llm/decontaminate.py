@@ -13,7 +13,11 @@ confirmed on the words around them: the three-word shingles of the item's questi
 its answer must both be there to a large part.
 
 The index is built per shard of items; the number of shards keeps each below ``SHARD_BYTES``, and
-the corpus is read once per shard.  Terms are weighed within their shard.
+the corpus is read once per shard.  Terms are weighed by counts over all items, so shards change
+no score and no threshold.  Each distinct text is indexed once; the ids of its items are joined to
+the hits.
+
+The question of an item is its first two thirds of words, the answer the rest.
 
 Defined cases: null and empty texts and items match nothing; an item without words is no item;
 repeated rows are searched each; an item id may repeat; of equal matches the earliest place
@@ -30,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pricepanel.llm.words import Words, distinct, mix, pieces, text_bytes, words
-from pricepanel.session import ship
+from pricepanel.session import saved, ship
 
 PASSAGE = 64  # words; passages begin every half passage
 HALF = PASSAGE // 2
@@ -72,7 +76,19 @@ class Index:
     lengths: np.ndarray
 
 
-def build_index(ids: np.ndarray, texts: pa.Array, share: float) -> Index:
+@dataclass
+class Counts:
+    """Of all items: how many have words, their mean number of words, and for some terms, by rising
+    hash, the items that hold each."""
+
+    items: int
+    mean_length: float
+    terms: np.ndarray
+    df: np.ndarray
+
+
+def build_index(ids: np.ndarray, texts: pa.Array, share: float, counts: Counts | None = None) -> Index:
+    """The index of some texts, weighed by ``counts``, or by their own."""
     data, offsets = text_bytes(texts)
     w = words(data, offsets, trimmed=True)
     have = w.counts > 0
@@ -85,8 +101,11 @@ def build_index(ids: np.ndarray, texts: pa.Array, share: float) -> Index:
     pair, tf = np.unique(term.astype(np.int64) * max(n, 1) + owner, return_counts=True)
     t, item = pair // max(n, 1), pair % max(n, 1)
     df = np.bincount(t, minlength=len(terms))
-    idf = np.log1p((n - df + 0.5) / (df + 0.5))
-    norm = K1 * (1 - B + B * lengths / max(1.0, lengths.mean() if n else 1.0))
+    if counts is None:
+        counts = Counts(n, lengths.mean() if n else 1.0, terms, df)
+    df = counts.df[np.searchsorted(counts.terms, terms)] if len(terms) else df
+    idf = np.log1p((counts.items - df + 0.5) / (df + 0.5))
+    norm = K1 * (1 - B + B * lengths / max(1.0, counts.mean_length))
     impact = idf[t] * tf * (K1 + 1) / (tf + norm[item])
     first = np.searchsorted(t, np.arange(len(terms) + 1))
     most = np.maximum.reduceat(impact, first[:-1]) if len(t) else np.empty(0)
@@ -195,14 +214,49 @@ def matches(w: Words, index: Index, overlap: float) -> list[tuple[int, int, int,
     return [(d, item, f[2], -f[1], f[3], f[4]) for (d, item), f in sorted(best.items())]
 
 
-def indexes(items: DataFrame, share: float, id_col: str = "item_id", text_col: str = "text") -> Iterator[Index]:
-    """The index of each shard of items, each of at most about ``SHARD_BYTES`` of text."""
+def _item_terms(items: DataFrame) -> DataFrame:
+    """term, items, words: the distinct terms of each item, counted per task; term NULL has the
+    items with words, and their words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n, total = 0, 0
+            for _, _, data, offsets in pieces(b):
+                w = words(data, offsets, trimmed=True)
+                n, total = n + int((w.counts > 0).sum()), total + len(w.hashes)
+                terms, df = np.unique(distinct(w.hashes, w.first)[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(df.astype(np.int64)), pa.array(np.zeros(len(terms), np.int64))],
+                                                 ["term", "items", "words"])
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([n], pa.int64()), pa.array([total], pa.int64())], ["term", "items", "words"])
+
+    found = items.select("text").mapInArrow(run, "term long, items long, words long")
+    return found.groupBy("term").agg(F.sum("items").alias("items"), F.sum("words").alias("words"))
+
+
+def prepared(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """item_id, text, text_key."""
     src = items.select(F.col(id_col).alias("item_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    total = src.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return src.withColumn("text_key", F.xxhash64("text"))
+
+
+def indexes(items: DataFrame, share: float) -> Iterator[Index]:
+    """The index of each shard of the distinct texts of ``prepared`` items, each of at most about
+    ``SHARD_BYTES`` of text; ids are keys of texts."""
+    counts = saved(_item_terms(items), "item-terms")
+    whole = counts.where(F.col("term").isNull()).first()
+    n, mean = (whole["items"], whole["words"] / max(1, whole["items"])) if whole else (0, 1.0)
+    texts = items.select("text_key", "text").distinct()
+    total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = max(1, -(-total // SHARD_BYTES))
     for s in range(shards):
-        t = src.where(F.pmod(F.xxhash64("text"), F.lit(shards)) == s).toArrow().sort_by([("item_id", "ascending"), ("text", "ascending")])
-        index = build_index(t.column("item_id").to_numpy(zero_copy_only=False), t.column("text").combine_chunks(), share)
+        part = texts.where(F.pmod("text_key", F.lit(shards)) == s)
+        t = part.toArrow().sort_by([("text_key", "ascending"), ("text", "ascending")])
+        # as many terms as the shard's texts have
+        own = counts.join(_item_terms(part).select("term"), "term", "left_semi").toArrow()
+        terms = own.column("term").to_numpy().view(np.uint64)
+        order = np.argsort(terms)
+        weighed = Counts(n, mean, terms[order], own.column("items").to_numpy()[order])
+        index = build_index(t.column("text_key").to_numpy(), t.column("text").combine_chunks(), share, weighed)
         if len(index.ids):
             yield index
 
@@ -217,8 +271,8 @@ def find(docs: DataFrame, items: DataFrame, share: float = 0.6, overlap: float =
     spark = docs.sparkSession
     ship(spark)
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = f"doc_id {src.schema['doc_id'].dataType.simpleString()}, item_id long, first_word long, score double, question_overlap double, answer_overlap double"
-    found = None
+    kind = f"doc_id {src.schema['doc_id'].dataType.simpleString()}, text_key long, first_word long, score double, question_overlap double, answer_overlap double"
+    found, items = None, prepared(items)
     for index in indexes(items, share):
         shared = spark.sparkContext.broadcast(index)  # bounded by SHARD_BYTES of text
 
@@ -230,11 +284,14 @@ def find(docs: DataFrame, items: DataFrame, share: float = 0.6, overlap: float =
                         d, item, start, score, in_q, in_a = zip(*hits)
                         yield pa.RecordBatch.from_arrays(
                             [b.column("doc_id").slice(lo, hi - lo).take(pa.array(d)), pa.array(shared.value.ids[list(item)], pa.int64()), pa.array(start, pa.int64()),
-                             pa.array(score), pa.array(in_q), pa.array(in_a)], ["doc_id", "item_id", "first_word", "score", "question_overlap", "answer_overlap"])
+                             pa.array(score), pa.array(in_q), pa.array(in_a)], ["doc_id", "text_key", "first_word", "score", "question_overlap", "answer_overlap"])
 
         part = src.mapInArrow(run, kind)
         found = part if found is None else found.unionByName(part)
-    return found if found is not None else spark.createDataFrame([], kind)
+    if found is None:
+        found = spark.createDataFrame([], kind)
+    ids = items.select("text_key", F.col("item_id").cast("long").alias("item_id"))
+    return found.join(ids, "text_key").select("doc_id", "item_id", "first_word", "score", "question_overlap", "answer_overlap")
 
 
 def clean(docs: DataFrame, items: DataFrame, share: float = 0.6, overlap: float = 0.6) -> DataFrame:
@@ -243,7 +300,7 @@ def clean(docs: DataFrame, items: DataFrame, share: float = 0.6, overlap: float
     spark = docs.sparkSession
     ship(spark)
     columns, schema = docs.columns, docs.schema
-    for index in indexes(items, share):
+    for index in indexes(prepared(items), share):
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
