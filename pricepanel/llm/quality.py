@@ -5,7 +5,7 @@ attention network (tanh times sigmoid) gives each passage a weight within its do
 weighted sum of the passages represents the document, and a logistic layer scores it.  Only
 documents have labels: which passages speak for a low quality is learned.
 
-The network is fitted on the driver on at most ``sample`` labelled documents, the ones with the
+The network is fitted on the driver on at most ``sample`` labelled documents at hand, the ones with the
 least digest of their id, and of these on as many as have ``SAMPLE_PASSAGES`` passages together,
 bounds that do not depend on the corpus; texts of more than ``LONGEST`` passages are scored, but
 not learned from.  Every document is scored, by its whole text; each task holds the passages of
@@ -176,6 +176,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label_col: s
     """Fit on the labelled documents outside the held-out fold, at most ``sample`` of them."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg((F.avg(label_col) >= 0.5).cast("double").alias("y"))
+    # labels without a document take no place in the sample
+    known = known.join(docs.select(F.col("doc_id").alias("id")).distinct(), F.col("doc_id") == F.col("id"), "left_semi")
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).withColumnRenamed("doc_id", "id")
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
