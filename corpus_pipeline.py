@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pricepanel.llm import decontaminate, mixing, neardup, quality, secrets
@@ -33,10 +34,19 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with the words it takes of each (repeats counted)."""
-    taken = mixing.mix(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.max("target").alias("target"), F.sum("taken").alias("taken"))
-    joined = docs.drop("target", "taken").join(taken, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
-    return joined.where(F.col("taken") > 0)
+    """The documents that the mix takes, with the words it takes of each (repeats counted); rows of
+    one id are documents of their own."""
+    try:
+        keyed = with_place(docs)
+    except AnalysisException:  # not read from files
+        keyed = with_place(saved(docs, "mix-documents"))
+    taken = mixing.mix(keyed, row_col="_place").select(F.col("_place").alias("_of"), "target", "taken").where(F.col("taken") > 0)
+    return keyed.drop("target", "taken").join(taken, F.col("_place") == F.col("_of")).drop("_place", "_of")
+
+
+def with_place(docs: DataFrame) -> DataFrame:
+    """The documents with the place of each row in its file, which is the same in every reading."""
+    return docs.select("*", F.struct(F.xxhash64("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")).alias("_place"))
 
 
 STAGES = [("quality", good), ("near duplicates", unique), ("test items", untested), ("secrets", without_secrets), ("mix", mixed)]

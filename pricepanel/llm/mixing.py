@@ -55,11 +55,15 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2,
-        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, size, source_size, target, taken: one row per document."""
+        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken: one row per document.
+
+    ``row_col`` names a column that tells rows apart, also those of one id; it is returned too.
+    """
+    ref = [] if row_col is None else ["ref"]
     key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     sized = saved(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), key.alias("key"),
-                              word_count(F.col(text_col)).alias("size")), "mix-sizes")
+                              word_count(F.col(text_col)).alias("size"), *[F.col(row_col).alias(r) for r in ref]), "mix-sizes")
     rows, total = sized.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     ranges = min(MOST_RANGES, max(1, rows // ROWS_PER_RANGE))
     slots = min(MOST_RANGES, max(1, (rows + total // PACKET) // ROWS_PER_RANGE))
@@ -97,5 +101,5 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     c = c.join(line.where(F.col("ahead") < budget), "slot", "left")
     left = F.lit(budget) - F.coalesce("ahead", F.lit(budget)) - F.col("sent")
     c = c.withColumn("taken", F.greatest(F.lit(0), F.least(F.col("words"), left)))
-    return (c.groupBy("source", "part", "row", "doc_id", "key", "size", "source_size", "target").agg(F.sum("taken").alias("taken"))
-            .select("doc_id", "source", "size", "source_size", "target", "taken"))
+    return (c.groupBy("source", "part", "row", "doc_id", "key", "size", "source_size", "target", *ref).agg(F.sum("taken").alias("taken"))
+            .select("doc_id", "source", "size", "source_size", "target", "taken", *[F.col(r).alias(row_col) for r in ref]))
