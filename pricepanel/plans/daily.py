@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pricepanel import fixed_values as fv, schema as S
 from pricepanel.operators import blend, fill, forecast as fc, panel as P, quality, report, runlog, scoring
+from pricepanel.plans.ledger import Ledger
 from pricepanel.session import saved
 from pricepanel.sinks import tables as K
 from pricepanel.sources.files import model_panel, read_panel
@@ -30,6 +31,7 @@ class Tables:
     errors: str
     quality: str
     run_log: str
+    ledger: str | None = None
 
 
 @dataclass(frozen=True)
@@ -220,14 +222,21 @@ def run_daily(
     spark: SparkSession, t: Tables, as_of: dt.date, run_ts: dt.datetime, features: Mapping[str, Sequence[str]],
     outside: Mapping[str, DataFrame] | None = None, settings: Settings | None = None,
 ) -> None:
-    """One day, in order.  ``outside`` holds wide forecasts of models run elsewhere, by label."""
-    s = settings or Settings()
-    changed_from, _ = load_panel(spark, t, s)
-    forecast_model(spark, t, s, features)
-    for model, preds in (outside or {}).items():
-        take_forecasts(spark, t, s, model, preds)
-    blend_and_archive(spark, t, s, as_of)
-    write_log(spark, t, s, as_of, run_ts)
-    write_quality(spark, t, s, as_of, run_ts)
-    write_errors(spark, t, s, as_of, changed_from)
+    """One day, in order.  ``outside`` holds wide forecasts of models run elsewhere, by label; if the
+    first model is among them, the bundled estimator does not run.
+
+    With ``Tables.ledger`` a run that stopped goes on where it stopped when called again with the
+    same day and time.
+    """
+    s, outside = settings or Settings(), outside or {}
+    ledger = Ledger(spark, t.ledger, as_of, run_ts, {n: getattr(t, n) for n in ("panel", "forecasts", "history", "errors", "quality", "run_log")})
+    changed_from, _ = ledger.step("load", [], ["panel"], lambda: load_panel(spark, t, s))
+    if s.model_a not in outside:
+        ledger.step("forecast", ["panel"], ["forecasts"], lambda: forecast_model(spark, t, s, features))
+    for model, preds in sorted(outside.items()):
+        ledger.step(f"take {model}", [], ["forecasts"], lambda: take_forecasts(spark, t, s, model, preds))  # noqa: B023
+    ledger.step("blend", ["panel", "forecasts"], ["forecasts", "history"], lambda: blend_and_archive(spark, t, s, as_of))
+    ledger.step("log", ["panel", "forecasts", "history"], ["run_log"], lambda: write_log(spark, t, s, as_of, run_ts))
+    ledger.step("quality", ["panel"], ["quality"], lambda: write_quality(spark, t, s, as_of, run_ts))
+    ledger.step("errors", ["panel", "history", "errors"], ["errors"], lambda: write_errors(spark, t, s, as_of, changed_from))
     create_views(spark, t, s)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import functions as F, types as T
@@ -979,7 +980,7 @@ def _loads_sql() -> tuple[str, dict[str, str]]:
 def _loaded_twice(spark, sf, then):
     """A first load, then a reload of the last days; ``then`` runs after each."""
     base = scratch(spark)
-    t = daily.Tables(*[f"{base}/{n}" for n in ("raw", "panel", "forecasts", "history", "errors", "quality", "run_log")])
+    t = daily.Tables(*[f"{base}/{n}" for n in ("raw", "panel", "forecasts", "history", "errors", "quality", "run_log", "ledger")])
     wide = P.left_align(market_wide(spark, sf), [drivers_wide(spark, sf)])
     for as_of, raw in ((dt.date(2001, 7, 23), wide.where("date < '2001-07-20'")),
                        (AS_OF, wide.where("date >= '2001-07-10'"))):
@@ -1050,3 +1051,23 @@ def r4(spark, sf):
     _loaded_twice(spark, sf, lambda t, as_of: daily.run_daily(
         spark, t, as_of, dt.datetime.combine(as_of, dt.time(9)), {x: DRIVERS for x in TARGETS}, {"outside": outside}, s))
     return rounded(spark.table("report_actuals_and_forecasts"), "value")
+
+
+def _blended_sql() -> tuple[str, dict[str, str]]:
+    """The history's rows of the second day: the two models as they came, and both derived ones from
+    the newest row of the panel that two loads leave."""
+    panel, steps = _loads_sql()
+    pairs = {k: v.replace("market_wide", "panel_twice") for k, v in MARKET_PAIRS.items()}
+    return (f"SELECT *, DATE '{AS_OF.isoformat()}' AS run_date FROM ({CUR} UNION ALL {B4})", {**steps, "panel_twice": panel, **pairs, **MIX})
+
+
+@query("r4c_daily_outside", with_inputs(["market_wide", "drivers_wide", "current_wide"], *_blended_sql()))
+def r4c(spark, sf):
+    """Two whole days with both models from outside and a ledger: load, take, blend, archive, log, check
+    and score; the second day's archived forecasts."""
+    s = dataclasses.replace(daily_settings(), model_a="trend", model_b="level", logged=["trend", "level", "mixed"])
+    outside = {m: current_wide(spark, sf).where(F.col("model") == m) for m in ("trend", "level")}
+    t = _loaded_twice(spark, sf, lambda t, as_of: daily.run_daily(
+        spark, t, as_of, dt.datetime.combine(as_of, dt.time(9)), {}, outside, s))
+    history = K.read_table(spark, t.history, S.history_schema(TARGETS)).where(F.col("run_date") == F.lit(AS_OF))
+    return rounded(history, *TARGETS).select("forecast_date", "model", *TARGETS, "run_date")
