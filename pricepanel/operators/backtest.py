@@ -100,23 +100,27 @@ def naive_last(
     """Backtest records of the persistence forecast: every window repeats the last non-null
     value before its first day.
 
-    One shuffle and one sort by series serve the row numbers, the carried value and the window
-    base; history is never joined to the windows.
+    Only the newest ``test_rows`` rows of a series, and as many of its non-null ones and one more,
+    go through a shuffle: the last non-null value before the first window is among the latter.
+    Rows are counted by aggregation; history is neither sorted nor joined to the windows.
     """
-    part = W.partitionBy(*keys)
-    by_date = part.orderBy("date")
-    seen = panel.withColumns({
-        "n": F.count(F.lit(1)).over(part),
-        "rn": F.row_number().over(by_date),
-        "carried": F.last("value", ignorenulls=True).over(by_date.rowsBetween(W.unboundedPreceding, -1)),
-    }).withColumn("at", F.col("rn") - 1 - (F.col("n") - test_rows))
+    keys = list(keys)
+    tail = newest_rows(panel, test_rows, keys).where(F.col("have") == test_rows).withColumn("at", F.lit(test_rows - 1) - F.col("e"))
+    begins = tail.where(F.col("at") == 0).select(*keys, F.col("date").alias("begin"))
+    held = newest_rows(panel.where(F.col("value").isNotNull()), test_rows + 1, keys).drop("e", "have")
+    before = held.join(begins, keys).where(F.col("date") < F.col("begin")).groupBy(*keys).agg(F.max_by("value", "date").alias("before"))
+    n = panel.groupBy(*keys).agg(F.count("*").alias("n"))
+    by_date = W.partitionBy(*keys).orderBy("date")
+    carried = F.coalesce(F.last("value", ignorenulls=True).over(by_date.rowsBetween(W.unboundedPreceding, -1)), F.col("before"))
+    seen = tail.join(before, keys, "left").withColumn("carried", carried)
     # the value carried into a window's first day; once there is one, later days have one too
-    base = F.last(F.when((F.col("at") >= 0) & (F.col("at") % window == 0), F.col("carried")), ignorenulls=True)
+    base = F.last(F.when(F.col("at") % window == 0, F.col("carried")), ignorenulls=True)
     window_id = (F.floor(F.col("at") / window) + 1).cast("long")
     return (
         seen.withColumn("y_base", base.over(by_date.rowsBetween(W.unboundedPreceding, 0)))
-        .where((F.col("n") >= test_rows) & F.col("at").between(0, (test_rows // window) * window - 1))
+        .where(F.col("at") < (test_rows // window) * window)
         .withColumn("window_id", window_id)
+        .join(n, keys)
         .where(F.col("n") - test_rows + (F.col("window_id") - 1) * window >= min_train)
         .where(F.col("y_base").isNotNull())
         .select(

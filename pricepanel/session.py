@@ -59,19 +59,28 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
     Where that is unset, a folder of our own in local mode; on a cluster the warehouse, which
-    is shared too.
+    must be shared too: one on a local disk is refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
-        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        files = spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+        return shared_only(folder, files.getUri().getScheme())
     app = spark.sparkContext.applicationId
     if app not in _own_folder:
         _own_folder[app] = tempfile.mkdtemp(prefix="run-")
     return _own_folder[app]
 
 
+def shared_only(folder: str, scheme: str) -> str:
+    """``folder``, unless its file system is the local disk of one machine."""
+    if scheme == "file":
+        raise ValueError(f"{folder} is a local folder: set spark.checkpoint.dir to one that all executors share")
+    return folder
+
+
 def scratch(spark: SparkSession, name: str = "pricepanel") -> str:
     """A new folder name below the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -87,3 +87,12 @@ def test_chi_square_tail(spark):
     for k, q, p in [(10, 18.307, 0.05), (2, 5.991, 0.05), (1, 3.841, 0.05), (5, 11.070, 0.05), (7, 18.475, 0.01)]:
         got = spark.createDataFrame([(q,)], "q double").select(chi2_tail(F.col("q"), k)).first()[0]
         assert got == pytest.approx(p, abs=5e-5)
+
+
+def test_local_folders_are_no_shared_ones():
+    from pricepanel.session import shared_only
+
+    assert shared_only("hdfs://n/warehouse", "hdfs") == "hdfs://n/warehouse" and shared_only("/warehouse", "s3a") == "/warehouse"
+    for folder in ("/tmp/warehouse", "file:/x", "spark-warehouse"):
+        with pytest.raises(ValueError):
+            shared_only(folder, "file")

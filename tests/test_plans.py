@@ -134,3 +134,14 @@ def test_all_checks_read_the_table_twice_and_keep_no_history(spark, tmp_path, mo
     first = state.rindex("Exchange ")  # rows are cut before the only shuffle of values
     assert "WindowGroupLimit [series" in state[first:]
     assert kept[1].count() <= 3 * 2 * 31 * len(inputs.TARGETS) < table.count() * len(inputs.TARGETS)
+
+
+def test_naive_forecasts_sort_no_history(spark, tmp_path):
+    path = str(tmp_path / "p")
+    spark.createDataFrame([(s, day(i), float(i)) for s in "ab" for i in range(200)], "series string, date date, value double").write.parquet(path)
+    text = plan(bt.naive_last(spark.read.parquet(path)))
+    # below every exchange of rows stand a rank limit or a partial aggregate
+    for part in re.split(r"[-+ ]Exchange ", text)[1:]:
+        below = part[: part.find("FileScan")] if "FileScan" in part else part
+        assert "WindowGroupLimit" in below or "partial_" in below or "FileScan" not in part
+    assert text.count("WindowGroupLimit") >= 4
