@@ -218,6 +218,23 @@ def create_views(spark: SparkSession, t: Tables, s: Settings) -> None:
     report.summary(panel, history, s.targets, s.models).createOrReplaceTempView("report_summary")
 
 
+def create_published_views(spark: SparkSession, t: Tables, s: Settings) -> None:
+    """Temporary views ``published_*`` of all tables and both reports, under the published column
+    names.  Needs ``create_views``."""
+    forecasts, history = S.forecast_schema(s.targets), S.history_schema(s.targets)
+    published = {
+        "forecasts": (K.read_table(spark, t.forecasts, forecasts), fv.PUBLISHED_FORECAST_NAMES),
+        "history": (K.read_table(spark, t.history, history), fv.PUBLISHED_FORECAST_NAMES),
+        "errors": (K.read_table(spark, t.errors, S.ERRORS), fv.PUBLISHED_ERROR_NAMES),
+        "quality": (K.read_table(spark, t.quality, S.QUALITY), fv.PUBLISHED_QUALITY_NAMES),
+        "run_log": (K.read_table(spark, t.run_log, S.RUN_LOG), fv.PUBLISHED_LOG_NAMES),
+        "actuals_and_forecasts": (spark.table("report_actuals_and_forecasts"), fv.PUBLISHED_REPORT_NAMES),
+        "summary": (spark.table("report_summary"), fv.PUBLISHED_REPORT_NAMES),
+    }
+    for name, (table, names) in published.items():
+        P.rename(table, names).createOrReplaceTempView(f"published_{name}")
+
+
 def run_daily(
     spark: SparkSession, t: Tables, as_of: dt.date, run_ts: dt.datetime, features: Mapping[str, Sequence[str]],
     outside: Mapping[str, DataFrame] | None = None, settings: Settings | None = None,
@@ -240,3 +257,4 @@ def run_daily(
     ledger.step("quality", ["panel"], ["quality"], lambda: write_quality(spark, t, s, as_of, run_ts))
     ledger.step("errors", ["panel", "history", "errors"], ["errors"], lambda: write_errors(spark, t, s, as_of, changed_from))
     create_views(spark, t, s)
+    create_published_views(spark, t, s)

@@ -145,3 +145,19 @@ def test_naive_forecasts_sort_no_history(spark, tmp_path):
         below = part[: part.find("FileScan")] if "FileScan" in part else part
         assert "WindowGroupLimit" in below or "partial_" in below or "FileScan" not in part
     assert text.count("WindowGroupLimit") >= 4
+
+
+def test_published_views_have_the_published_names(spark, tmp_path):
+    from pricepanel import fixed_values as fv
+
+    names = ["raw", "panel", "forecasts", "history", "errors", "quality", "run_log"]
+    t = daily.Tables(*[str(tmp_path / n) for n in names])
+    s = daily.Settings(columns=["a"], watched=["a"], targets=["a"], anchor="a")
+    K.replace_range(spark, t.panel, S.stored_panel_schema(["a"]), day(0), day(1), spark.createDataFrame([(day(0), 1.0)], "date date, a double"))
+    daily.create_views(spark, t, s)
+    daily.create_published_views(spark, t, s)
+    columns = lambda name: set(spark.table(f"published_{name}").columns)
+    assert columns("history") == {"a", *fv.PUBLISHED_FORECAST_NAMES.values()} and columns("forecasts") == {"a", "fecha_prediccion", "modelo"}
+    for name, published in (("errors", fv.PUBLISHED_ERROR_NAMES), ("quality", fv.PUBLISHED_QUALITY_NAMES), ("run_log", fv.PUBLISHED_LOG_NAMES), ("summary", fv.PUBLISHED_REPORT_NAMES)):
+        assert columns(name) == set(published.values()), name
+    assert spark.table("published_summary").where("RESUMEN = 'real'").count() == 4
