@@ -3,7 +3,14 @@
 import numpy as np
 
 from pricepanel.operators import features
-from pricepanel.operators.forecast import _covariates
+from pricepanel.operators.running_fit import Covariates
+
+
+def _covariates(x, horizon, method, median_of):
+    c = Covariates(x.shape[1], method, median_of)
+    columns = np.split(c.columns(x), 2, axis=1)
+    centre = c.centre()
+    return columns[0] + columns[1] * centre, c.next(centre, horizon)
 
 
 def test_pair_sums_leave_out_what_is_no_number(spark):
