@@ -161,11 +161,14 @@ def write_errors(
     scored again: that day's run, and every run with a forecast for the panel's changed dates
     (``changed_from`` on).  Older rows stay, and still count as earlier publications.
     """
-    if as_of is None or K.find_table(spark, t.errors, S.ERRORS) is None:
+    stored = K.find_table(spark, t.errors, S.ERRORS)
+    if as_of is None or stored is None:
         history = K.read_table(spark, t.history, S.history_schema(s.targets))
         actuals = P.to_long(stored_panel(spark, t, s).select("date", *s.targets), s.targets, keep_nulls=False)
         new = scoring.forecast_errors(scoring.predictions(history, s.targets, s.models), actuals)
         runs = [r[0] for r in K.partition_values(spark, t.history, S.history_schema(s.targets), ["run_date"]).collect()]
+        if stored is not None:  # runs no longer in the history stay, and count as earlier
+            new = scoring.new_publications(new, stored.where(~F.col("run_date").isin(runs)))
     else:
         runs = due_runs(spark, t, as_of, changed_from)
         preds, actuals, stored = due_rows(spark, t, s, runs)

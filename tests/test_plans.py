@@ -118,6 +118,10 @@ def test_a_day_is_scored_from_its_partitions(spark, tmp_path):
     for _ in range(2):
         daily.write_errors(spark, t, s, day(281), day(255))
         assert sorted(map(str, K.read_table(spark, t.errors, S.ERRORS).collect())) == whole  # an earlier run said the same
+    # a run that is no longer in the history still counts as earlier in a rebuild
+    K.replace_day(spark, t.history, S.history_schema(["a"]), day(280), ahead.where("false"), span="forecast_date")
+    daily.write_errors(spark, t, s)
+    assert sorted(map(str, K.read_table(spark, t.errors, S.ERRORS).collect())) == whole
 
 
 def test_all_checks_read_the_table_twice_and_keep_no_history(spark, tmp_path, monkeypatch):
