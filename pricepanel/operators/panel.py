@@ -156,6 +156,22 @@ def reindex(df: DataFrame, spine: DataFrame, date: str = "date") -> DataFrame:
     return spine.select(date).distinct().join(df, date, "left")
 
 
+# ---------------------------------------------------------------- tasks
+
+TASK_ROWS = 100_000
+
+
+def by_series(panel: DataFrame, rows: int, keys: Sequence[str] = ("series",)) -> DataFrame:
+    """Whole series dealt to tasks of about ``TASK_ROWS`` rows, ``rows`` being the panel's number
+    of rows or more.
+
+    The number of tasks grows with the panel, and adaptive execution, which fits tasks to shuffled
+    bytes, leaves it: a few bytes a row unpack to many in sorts and aggregates.  Windows, aggregates
+    and joins that have the keys among theirs need no other shuffle.
+    """
+    return panel.repartition(max(1, -(-rows // TASK_ROWS)), *keys)
+
+
 # ---------------------------------------------------------------- calendars
 
 

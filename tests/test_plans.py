@@ -140,6 +140,16 @@ def test_all_checks_read_the_table_twice_and_keep_no_history(spark, tmp_path, mo
     assert kept[1].count() <= 3 * 2 * 31 * len(inputs.TARGETS) < table.count() * len(inputs.TARGETS)
 
 
+def test_forecasts_of_whole_series_go_to_as_many_tasks_as_rows_ask_for(spark, monkeypatch):
+    rows = inputs.table(spark, SF, "lineitem").count()
+    monkeypatch.setattr(P, "TASK_ROWS", 100)
+    spark.conf.set("spark.sql.adaptive.enabled", "true")  # a few MB, which it would put into one task
+    tasks = lambda df: df.select(F.spark_partition_id()).rdd.getNumPartitions()
+    df = P.to_wide(inputs.supplier_forecasts(spark, SF), inputs.MODELS, ["run_date", "forecast_date", "target"], "model", "predicted")
+    assert tasks(df) == -(-rows // 100)
+    assert P.by_series(df.limit(0), 0, ["target"]).count() == 0
+
+
 def test_naive_forecasts_sort_no_history(spark, tmp_path):
     path = str(tmp_path / "p")
     spark.createDataFrame([(s, day(i), float(i)) for s in "ab" for i in range(200)], "series string, date date, value double").write.parquet(path)

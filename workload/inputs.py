@@ -10,6 +10,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
+from pricepanel.operators.panel import by_series
+
 TARGETS = ["gold", "silver", "copper", "brent", "gas"]
 PRIORITY = {
     "gold": "1-URGENT", "silver": "2-HIGH", "copper": "3-MEDIUM", "brent": "4-NOT SPECIFIED", "gas": "5-LOW",
@@ -57,6 +59,12 @@ def supplier_panel(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def supplier_series(spark: SparkSession, sf: str) -> DataFrame:
+    """The supplier panel by whole series, as many tasks as its size asks for.  The table's number
+    of rows, at least the panel's, comes from the footers of its files."""
+    return by_series(supplier_panel(spark, sf), table(spark, sf, "lineitem").count())
+
+
 def gappy_panel(spark: SparkSession, sf: str) -> DataFrame:
     """The supplier panel with small quantities blanked."""
     p = supplier_panel(spark, sf)
@@ -76,7 +84,7 @@ def supplier_forecasts(spark: SparkSession, sf: str) -> DataFrame:
     """Forecast history, long: on every date of a supplier two models forecast its next two
     dates.  The trend model publishes each forecast again a day later."""
     w = W.partitionBy("series").orderBy("date")
-    p = supplier_panel(spark, sf).withColumns({"d1": F.lead("date", 1).over(w), "d2": F.lead("date", 2).over(w)})
+    p = supplier_series(spark, sf).withColumns({"d1": F.lead("date", 1).over(w), "d2": F.lead("date", 2).over(w)})
     steps = F.explode(F.array(*[
         F.struct(F.col(d).alias("forecast_date"), F.lit(m).alias("model"),
                  (F.col("value") * f).alias("predicted"), F.lit(late).alias("late"))
@@ -145,7 +153,6 @@ def backtest_records(spark: SparkSession, sf: str) -> DataFrame:
     """Backtest records of two simple models per supplier over the last 63 rows in 9 windows."""
     from pricepanel.operators.backtest import naive_last
 
-    keys = ["series"]
     naive = naive_last(supplier_panel(spark, sf), keys=keys)
     half = naive.withColumns({"model": F.lit("half_way"), "y_pred": F.col("y_base") * 0.5 + 12.75})
     return naive.unionByName(half).withColumnRenamed("series", "target")
