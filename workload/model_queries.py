@@ -18,8 +18,8 @@ from pricepanel.sinks import files as out, tables as K
 from pricepanel.sources import files
 from workload.inputs import (
     AS_OF, DRIVERS, MODELS, TARGETS, backtest_records, current_long, current_wide, drivers_wide,
-    forecast_history, gappy_panel, market_long, market_wide, supplier_forecasts, supplier_panel, table,
-    union_long, with_inputs,
+    forecast_history, gappy_panel, market_long, market_wide, supplier_forecasts, supplier_panel, supplier_series,
+    table, union_long, with_inputs,
 )
 from workload.registry import q6, query, r6, rounded, scratch
 
@@ -320,7 +320,7 @@ def m2(spark, sf):
 @query("m3_score", with_inputs(["supplier_forecasts"], f"SELECT {SHOW_ERRORS} FROM scored", _upto(S_STEPS, "scored")))
 def m3(spark, sf):
     preds = M.one_prediction(supplier_forecasts(spark, sf))
-    return show_errors(M.score(preds, M.actuals_with_previous(supplier_panel(spark, sf))))
+    return show_errors(M.score(preds, M.actuals_with_previous(supplier_series(spark, sf))))
 
 
 @query("m4_first_publication", with_inputs(["supplier_forecasts"], f"SELECT {SHOW_ERRORS} FROM first_made", S_STEPS))
