@@ -72,8 +72,8 @@ def score(preds: DataFrame, actuals: DataFrame) -> DataFrame:
 def first_publication(errors: DataFrame) -> DataFrame:
     """Drop a forecast that an earlier run already made with the same value.
 
-    Rows are unique per (run, date, model, target), and all columns but the run follow from
-    (date, model, target, value); so "no earlier equal row" is a minimum over the run date.
+    Rows, scored or not, are unique per (run, date, model, target), and all columns but the run
+    follow from (date, model, target, value); so "no earlier equal row" is a minimum over the run date.
     The minimum is combined before the shuffle, so a value repeated by every run costs one
     row per map task.  Rows without a forecast are kept.
     """
@@ -83,8 +83,11 @@ def first_publication(errors: DataFrame) -> DataFrame:
 
 
 def forecast_errors(preds: DataFrame, actuals: DataFrame) -> DataFrame:
-    """The error fact: a pure function of forecast history and actuals."""
-    return first_publication(score(preds, actuals_with_previous(actuals)))
+    """The error fact: a pure function of forecast history and actuals.
+
+    Repeated forecasts are dropped before they are scored, by the few columns a forecast has.
+    """
+    return score(first_publication(preds), actuals_with_previous(actuals))
 
 
 def new_publications(errors: DataFrame, stored: DataFrame) -> DataFrame:

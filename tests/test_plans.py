@@ -150,6 +150,12 @@ def test_forecasts_of_whole_series_go_to_as_many_tasks_as_rows_ask_for(spark, mo
     assert P.by_series(df.limit(0), 0, ["target"]).count() == 0
 
 
+def test_repeated_forecasts_are_dropped_before_the_join_to_actuals(spark):
+    preds = M.one_prediction(inputs.supplier_forecasts(spark, SF))
+    text = plan(M.forecast_errors(preds, inputs.supplier_series(spark, SF)))
+    assert "Aggregate" not in text[: text.index("SortMergeJoin")]  # no aggregate over all columns of an error
+
+
 def test_naive_forecasts_sort_no_history(spark, tmp_path):
     path = str(tmp_path / "p")
     spark.createDataFrame([(s, day(i), float(i)) for s in "ab" for i in range(200)], "series string, date date, value double").write.parquet(path)

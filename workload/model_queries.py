@@ -326,7 +326,7 @@ def m3(spark, sf):
 @query("m4_first_publication", with_inputs(["supplier_forecasts"], f"SELECT {SHOW_ERRORS} FROM first_made", S_STEPS))
 def m4(spark, sf):
     preds = M.one_prediction(supplier_forecasts(spark, sf))
-    return show_errors(M.forecast_errors(preds, supplier_panel(spark, sf)))
+    return show_errors(M.forecast_errors(preds, supplier_series(spark, sf)))
 
 
 @query("m5_error_fact", with_inputs(["forecast_history", "market_long"], f"SELECT {SHOW_ERRORS} FROM first_made", M_STEPS))
