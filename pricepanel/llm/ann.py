@@ -4,7 +4,8 @@ Vectors are rotated at random, so that any first few dimensions are a fair sampl
 and kept by list of an inverted file in blocks of columns.  A query goes through the blocks of
 its probed lists column block by column block: after each, the partial distance of a candidate is
 an estimate of its distance, and candidates whose estimate is too far above the worst distance
-kept so far, for a test of given strength, are given up.  Survivors get exact scores.
+kept so far, for a test of given strength, are given up.  Survivors get exact scores.  The queries
+of a block go together, tile by tile: each column block is one product of matrices.
 
 The largest inner product is the least distance after each vector is extended by one dimension
 that brings all to the same length; queries get a zero there.
@@ -34,6 +35,7 @@ from pricepanel.session import saved, ship
 SAMPLE = 16_384  # rows the centres are fitted on, at most
 BLOCK_ROWS = 2_048
 COLUMNS = 16  # dimensions of a column block
+TILE = 1 << 19  # pairs of queries and candidates looked at together
 
 
 def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -61,23 +63,36 @@ def rotation(dim: int, seed: int = 5) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def scan_block(query: np.ndarray, columns: list[np.ndarray], best: float, k: int, strength: float) -> np.ndarray:
-    """Positions of a block's candidates that survive the tests against the distance ``best``,
-    or against the k-th least found on the way, whichever is less."""
+def scan_tile(queries: np.ndarray, columns: list[np.ndarray], best: np.ndarray, k: int, strength: float) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (query, candidate) of a tile's pairs that survive the tests of each query against
+    its distance ``best``, and are among its k + 1 nearest survivors, ties kept.
+
+    A column block is one product of matrices; candidates that all queries gave up are left out
+    of the next.
+    """
     dim = sum(c.shape[1] for c in columns)
     live = np.arange(len(columns[0]))
-    partial = np.zeros(len(live))
-    seen = 0
+    partial = np.zeros((len(queries), len(live)))
+    keep = np.ones(partial.shape, bool)
+    seen, scale = 0, 0.0
     for c in columns:
-        d = c[live] - query[seen:seen + c.shape[1]]
-        partial += (d * d).sum(1)
+        c, z = c[live], queries[:, seen:seen + c.shape[1]]
+        n = (c * c).sum(1)
+        partial += n + (z * z).sum(1)[:, None] - 2 * (z @ c.T)
         seen += c.shape[1]
-        if seen == dim:
-            break
-        if len(live) > k and np.isfinite(best):
-            keep = partial * (dim / seen) <= best * (1 + strength / np.sqrt(seen)) ** 2
-            live, partial = live[keep], partial[keep]
-    return live[partial <= best] if np.isfinite(best) else live
+        scale += n.max(initial=0) + (z * z).sum(1).max(initial=0)
+        # a sum of products is exact to the scale of the vectors, not of their distance
+        bound = best if seen == dim else best * (1 + strength / np.sqrt(seen)) ** 2 * (seen / dim)
+        many = keep.sum(1) > k
+        keep &= (partial <= (bound + 1e-9 * scale)[:, None]) | ~many[:, None]
+        used = keep.any(0)
+        if seen < dim and 2 * used.sum() < len(live):
+            live, partial, keep = live[used], partial[:, used], keep[:, used]
+    partial[~keep] = np.inf
+    if len(live) > k + 1:
+        keep &= partial <= np.partition(partial, k, axis=1)[:, k:k + 1] + 1e-9 * scale
+    asks, found = np.nonzero(keep)
+    return asks, live[found]
 
 
 def search(df: DataFrame, k: int = 20, query_every: int = 20, probes: float = 0.7, strength: float = 2.1, id_col: str = "vec_id",
@@ -154,20 +169,23 @@ def search(df: DataFrame, k: int = 20, query_every: int = 20, probes: float = 0.
         ids = block.id.to_numpy()
         y = extend(x) @ turn
         columns = [np.ascontiguousarray(y[:, s:s + COLUMNS]) for s in range(0, y.shape[1], COLUMNS)]
+        first = y[:min(len(x), 4 * k)]
         keys, found, scores = [], [], []
-        first = np.arange(min(len(x), 4 * k))
-        for key, v in zip(ask.key, ask.vec):
-            v = np.asarray(v)
-            z = np.concatenate([v, [0.0]]) @ turn
-            d = ((y[first] - z) ** 2).sum(1)
-            best = np.partition(d, k)[k] if len(d) > k else np.inf
-            live = scan_block(z, columns, best * (1 + 1e-9), k, strength)
-            s = (x[live] * v).sum(1)
-            top = np.lexsort((ids[live], -s))[:k + 1]
-            keys += [key] * len(top)
-            found.append(ids[live][top])
+        step = max(1, TILE // len(x))
+        for at in range(0, len(ask), step):
+            v = np.stack(ask.vec.iloc[at:at + step].map(np.asarray).to_list())
+            z = np.concatenate([v, np.zeros((len(v), 1))], 1) @ turn
+            d = (first * first).sum(1) + (z * z).sum(1)[:, None] - 2 * (z @ first.T)
+            best = np.partition(d, k, axis=1)[:, k] if len(first) > k else np.full(len(v), np.inf)
+            i, j = scan_tile(z, columns, best * (1 + 1e-9), k, strength)
+            s = (x[j] * v[i]).sum(1)
+            order = np.lexsort((ids[j], -s, i))
+            i, j, s = i[order], j[order], s[order]
+            top = np.arange(len(i)) - np.searchsorted(i, i) <= k
+            keys.append(ask.key.to_numpy()[at + i[top]])
+            found.append(ids[j[top]])
             scores.append(s[top])
-        return pd.DataFrame({"key": keys, "id": np.concatenate(found), "score": np.concatenate(scores)})
+        return pd.DataFrame({"key": np.concatenate(keys), "id": np.concatenate(found), "score": np.concatenate(scores)})
 
     # queries of a block in chunks, so that a list that all ask for is not one group either
     chunks = max(1, -(-int(asked.count() * probed) // (lists * BLOCK_ROWS)))

@@ -237,6 +237,23 @@ def test_nearest(spark):
     assert ann.search(vectors(spark, [])).count() == 0
 
 
+def test_tile_keeps_the_nearest_of_each_query():
+    r = np.random.default_rng(4)
+    y, z = r.normal(size=(300, 40)) + 50, r.normal(size=(70, 40)) + 50
+    y[100:130] = y[5]  # ties are kept
+    z[0] = y[5]
+    d = ((z[:, None] - y) ** 2).sum(2)
+    columns = [y[:, :16], y[:, 16:32], y[:, 32:]]
+    for strength, least in ((1e9, 1.0), (2.1, 0.95)):
+        asks, found = ann.scan_tile(z, columns, np.sort(d, 1)[:, 90], 20, strength)
+        kept = set(zip(asks.tolist(), found.tolist()))
+        near = {(q, c) for q in range(70) for c in np.nonzero(d[q] <= np.sort(d[q])[20])[0].tolist()}
+        assert len(kept & near) >= least * len(near) and (least < 1 or kept == near)
+    assert {c for q, c in near if q == 0} == {5, *range(100, 130)} <= {c for q, c in kept if q == 0}
+    asks, found = ann.scan_tile(z, [c[:8] for c in columns], np.full(70, np.inf), 20, 2.1)
+    assert len(found) == 70 * 8
+
+
 def test_language_model(spark):
     r = random.Random(12)
     rows = [(i, prose(r, r.randint(1, 120)), "s") for i in range(300)] + [(800, None, "s"), (801, "", "s"), (802, "the of " * 30_000, "s"), (5, "twice", "s"), (5, "twice", "s")]
