@@ -156,6 +156,15 @@ def test_repeated_forecasts_are_dropped_before_the_join_to_actuals(spark):
     assert "Aggregate" not in text[: text.index("SortMergeJoin")]  # no aggregate over all columns of an error
 
 
+def test_backtest_records_of_a_series_are_made_in_one_task_of_bounded_rows(spark, monkeypatch):
+    rows = inputs.table(spark, SF, "lineitem").count()
+    monkeypatch.setattr(P, "TASK_ROWS", 100)
+    records = inputs.backtest_records(spark, SF)
+    assert records.select(F.spark_partition_id()).rdd.getNumPartitions() == -(-rows // 100)
+    text = plan(M.accuracy(records))
+    assert "Union" not in text and exchanges(text) == text.count("REPARTITION_BY_NUM") * 2  # only those of the panel
+
+
 def test_naive_forecasts_sort_no_history(spark, tmp_path):
     path = str(tmp_path / "p")
     spark.createDataFrame([(s, day(i), float(i)) for s in "ab" for i in range(200)], "series string, date date, value double").write.parquet(path)

@@ -153,9 +153,13 @@ def backtest_records(spark: SparkSession, sf: str) -> DataFrame:
     """Backtest records of two simple models per supplier over the last 63 rows in 9 windows."""
     from pricepanel.operators.backtest import naive_last
 
-    naive = naive_last(supplier_panel(spark, sf), keys=keys)
-    half = naive.withColumns({"model": F.lit("half_way"), "y_pred": F.col("y_base") * 0.5 + 12.75})
-    return naive.unionByName(half).withColumnRenamed("series", "target")
+    naive = naive_last(supplier_series(spark, sf), keys=["series"])
+    both = F.explode(F.array(
+        F.struct("model", "y_pred"), F.struct(F.lit("half_way").alias("model"), (F.col("y_base") * 0.5 + 12.75).alias("y_pred")),
+    )).alias("m")
+    return naive.select("*", both).select(
+        F.col("series").alias("target"), "m.model", "window_id", "date", "y_true", "m.y_pred", "y_base",
+    )
 
 
 # ---------------------------------------------------------------- the same in SQL

@@ -606,7 +606,7 @@ def e2d(spark, sf):
 
 @query("e3_naive", with_inputs(["naive"], "SELECT target AS series, model, window_id, date, y_true, y_pred, y_base FROM naive"))
 def e3(spark, sf):
-    return bt.naive_last(supplier_panel(spark, sf))
+    return bt.naive_last(supplier_series(spark, sf))
 
 
 ACC = (f"{q6('avg(CASE WHEN sign(y_true - y_base) = sign(y_pred - y_base) THEN CAST(1 AS DOUBLE) ELSE 0 END) * 100')} AS direction_pct, "
